@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports are batch jobs over daily snapshot tables; the source has no
+stream, watermark or stateful operator, so none is built here. A daily run
+is a batch job over the new ``snapshot_date`` partition.
+"""
