@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockplan.session import checkpoint_dir
+from dockplan.session import cut_lineage
 
 
 def _sort_col(c) -> Column:
@@ -27,11 +27,16 @@ def ordered_index(
     group: list[str] | tuple[str, ...] = (),
     name: str = "idx",
     num_partitions: int | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     """Add ``name``: 0-based position of the row in its group under ``order``.
 
     ``order`` must make the order total inside a group (end with a unique
-    key), otherwise positions of tied rows are arbitrary.
+    key), otherwise positions of tied rows are arbitrary. The ids are read
+    twice (per-partition counts, join back); both reads share the one range
+    exchange, whose partition count is fixed and whose rows are sorted by a
+    total order, so a recomputed partition gets the same ids. ``materialize``
+    writes the numbered rows to the checkpoint folder first instead.
     """
     spark = df.sparkSession
     group = list(group)
@@ -42,10 +47,9 @@ def ordered_index(
     # partitions, so both reads below see the same partition ids.
     ranged = df.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)
     ranged = ranged.withColumn("_mid", F.monotonically_increasing_id())
-    if checkpoint_dir(spark) is not None:
-        # The ids are read twice (counts and join back): materialise them once
-        # in the reliable folder so a retried task cannot renumber rows.
-        ranged = ranged.checkpoint(eager=True)
+    if materialize:
+        # Ids read twice (counts, join back) come from one written table.
+        ranged = cut_lineage(ranged)
     pid = F.shiftright(F.col("_mid"), 33)
     stats = ranged.groupBy(pid.alias("_pid"), *group).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")

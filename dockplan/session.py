@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DOCKPLAN_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -55,11 +57,18 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint when a folder is configured, else the frame as is.
+    """Write ``df`` as a Parquet table in the checkpoint folder and read it back.
 
-    Used where a frame is read more than once or feeds a long tail of stages,
-    so that a lost executor recomputes from the checkpoint, not from the scan.
+    Used where a frame is read more than once or feeds a long tail of stages:
+    a lost executor then recomputes from the written table, not from the scan.
+    A written table costs one pass; a reliable RDD checkpoint would compute the
+    frame twice (once for the action, once to save it). Without a configured
+    folder the frame is returned as is.
     """
-    if checkpoint_dir(df.sparkSession) is None:
+    spark = df.sparkSession
+    d = checkpoint_dir(spark)
+    if d is None:
         return df
-    return df.checkpoint(eager=True)
+    path = f"{d.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -29,7 +29,20 @@ from dockplan.config import (
 AS_OF = dt.date(2000, 1, 1)
 SITE = "EUROPE"
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+# Driver table schemas (read from the Parquet files), so reads skip inference.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
+DRIVER_TABLES = tuple(DRIVER_SCHEMAS)
 
 
 def _vendor_number(key: Column) -> Column:
@@ -47,14 +60,27 @@ class DriverTables:
 
     # -- raw driver tables -------------------------------------------------
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        key = f"raw:{name}"
+        if key not in self._cache:
+            reader = self.spark.read
+            if name in DRIVER_SCHEMAS:
+                reader = reader.schema(DRIVER_SCHEMAS[name])
+            self._cache[key] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cache[key]
+
+    def _scalars(self) -> tuple[int, int, int]:
+        """Location key range and supplier count: three aggregates, read once."""
+        if not hasattr(self, "_scalar_values"):
+            lo, hi = self.raw("region").agg(F.min("r_regionkey"), F.max("r_regionkey")).first()
+            (n,) = self.raw("supplier").agg(F.count(F.lit(1))).first()
+            self._scalar_values = (int(lo), int(hi), int(n))
+        return self._scalar_values
 
     def _with_locations(self, df: DataFrame) -> DataFrame:
         """Every row once per location (region), as an explode + key join."""
         region = self.raw("region")
-        lo = region.agg(F.min("r_regionkey")).scalar()
-        hi = region.agg(F.max("r_regionkey")).scalar()
-        grid = df.withColumn("r_regionkey", F.explode(F.sequence(lo, hi)))
+        lo, hi, _ = self._scalars()
+        grid = df.withColumn("r_regionkey", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
         return grid.join(region, "r_regionkey", "inner")
 
     def _lineitem_region(self) -> DataFrame:
@@ -118,7 +144,7 @@ class DriverTables:
 
     def _item_location_vendor(self) -> DataFrame:
         p = self.raw("part").select("p_partkey", "p_size")
-        n = self.raw("supplier").agg(F.count(F.lit(1))).scalar()
+        n = F.lit(self._scalars()[2])
         g = self._with_locations(p).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
         pk = F.col("p_partkey")
         mix = pk * 7 + F.col("r_regionkey") * 13 + F.col("k") * F.col("k") * 11
