@@ -27,6 +27,7 @@ from dockplan.config import PlanConfig
 from dockplan.functions.calendar import busday_sub, receive_day_date
 from dockplan.functions.numeric import stable_round
 from dockplan.functions.ordering import ordered_index
+from dockplan.session import cut_lineage
 
 _LONG_MAX = 9.2e18
 
@@ -239,7 +240,11 @@ def level_gap(levelled: DataFrame, cfg: PlanConfig) -> DataFrame:
 def audit_schedule(levelled: DataFrame, sized: DataFrame, cfg: PlanConfig) -> DataFrame:
     """One row per rule of the integer program with its violation count (L4)."""
     d = cfg.receiving_days
-    plan = feasible(sized, cfg).select("location_code", "vendor_number", "weekly_units", "orders", "order_size")
+    # Six rules read both inputs: materialise them once (checkpoint folder).
+    levelled = cut_lineage(levelled)
+    plan = cut_lineage(
+        feasible(sized, cfg).select("location_code", "vendor_number", "weekly_units", "orders", "order_size")
+    )
     per_vendor = levelled.groupBy("location_code", "vendor_number").agg(
         F.count_distinct("day_index").alias("_days"), F.sum("units").alias("_units")
     )
