@@ -10,7 +10,7 @@ broadcast only behind a row-count check, and AQE decides for the rest.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockplan.config import PlanConfig
@@ -84,6 +84,48 @@ def forecast_by_primary_vendor(forecast: DataFrame, ilv: DataFrame, cfg: PlanCon
     )
 
 
+def forecast_by_primary_vendor_uoms(forecast: DataFrame, ilv: DataFrame, cfg: PlanConfig) -> DataFrame:
+    """``forecast_by_primary_vendor`` joined to the item-vendor rows of its key (J5), in one join.
+
+    The source joins the item-vendor table a second time on (item, location,
+    vendor), primary or not, and de-duplicates the item rows afterwards, so
+    what that join contributes is the set of distinct unit quantities of the
+    key. Here one join on (item, area) brings every item-vendor row; an
+    aggregate per (item, area, vendor, unit qty) and a window per (item, area,
+    vendor) then give the primary sums and the distinct quantities. Both keep
+    the (item, area) hash partitioning of the join, so no further shuffle of
+    the item-vendor table or the forecast is needed.
+    """
+    agg = forecast_horizon(forecast, cfg)
+    v = (
+        item_vendors_at(ilv, cfg)
+        .where(F.col("vendor_number").isNotNull())
+        .select(
+            "item",
+            F.col("location_code").alias("area"),
+            "vendor_number",
+            F.col("primary_vendor_flag").eqNullSafe(True).alias("_primary"),
+            "vendor_uom_qty",
+        )
+    )
+    j = agg.join(v, ["item", "area"], "inner")
+    p = F.col("_primary")
+    per_qty = j.groupBy("item", "area", "vendor_number", "vendor_uom_qty").agg(
+        F.sum(F.when(p, F.col("base_forecast"))).alias("_base"),
+        F.sum(F.when(p, F.col("commercial_forecast"))).alias("_commercial"),
+        F.count_if(p).alias("_primary_rows"),
+    )
+    w = Window.partitionBy("item", "area", "vendor_number")
+    out = (
+        per_qty.withColumn("_key_primary_rows", F.sum("_primary_rows").over(w))
+        .withColumn("base_forecast", F.sum("_base").over(w))
+        .withColumn("commercial_forecast", F.sum("_commercial").over(w))
+    )
+    return out.where(F.col("_key_primary_rows") > 0).select(
+        "item", "area", "vendor_number", "base_forecast", "commercial_forecast", "vendor_uom_qty"
+    )
+
+
 def eligible_items(ilv: DataFrame, inv: DataFrame, cfg: PlanConfig) -> tuple[DataFrame, DataFrame]:
     """The six item predicates of the snapshot report, on each input."""
     i = item_vendors_at(ilv, cfg).where(
@@ -140,12 +182,7 @@ def horizon_item_rows(tables: dict, vmin: DataFrame, cfg: PlanConfig) -> DataFra
         # key add nothing, so the column is carried from the first join.
         f = forecast_by_vendor(tables["forecast"], ilv, cfg)
     else:
-        f = forecast_by_primary_vendor(tables["forecast"], ilv, cfg)
-        # All item-vendor rows of (item, location, vendor), primary or not.
-        v4 = item_vendors_at(ilv, cfg).select(
-            "item", F.col("location_code").alias("area"), "vendor_number", "vendor_uom_qty"
-        )
-        f = f.join(v4, ["item", "area", "vendor_number"], "inner")
+        f = forecast_by_primary_vendor_uoms(tables["forecast"], ilv, cfg)
     if cfg.vendors is not None:
         f = f.where(F.col("vendor_number").isin(list(cfg.vendors)))
     f = f.withColumnRenamed("area", "location_code")

@@ -129,11 +129,7 @@ def q_forecast_by_primary_vendor(spark, d):
 
 def q_join_demand_item_vendor(spark, d):
     t = _t(spark, d)
-    f = demand.forecast_by_primary_vendor(t["forecast"], t["item_location_vendor"], WP)
-    v4 = demand.item_vendors_at(t["item_location_vendor"], WP).select(
-        "item", F.col("location_code").alias("area"), "vendor_number", "vendor_uom_qty"
-    )
-    return finish(f.join(v4, ["item", "area", "vendor_number"], "inner"))
+    return finish(demand.forecast_by_primary_vendor_uoms(t["forecast"], t["item_location_vendor"], WP))
 
 
 def q_join_demand_vendor(spark, d):

@@ -161,7 +161,7 @@ class DriverTables:
             (pk % 47 == 0).alias("product_discontinued_flag"),
             (pk % 37 != 0).alias("product_published_flag"),
             F.when(pk % 59 == 0, F.lit("X")).alias("purchase_source_location"),
-        ).distinct()
+        ).repartition("item", "location_code").distinct()
 
     def _item_master(self) -> DataFrame:
         p = self.raw("part")
