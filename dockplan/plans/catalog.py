@@ -38,11 +38,27 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+class _LazyTables(dict):
+    """``{name: DataFrame}`` that defines a logical table on first use only."""
+
+    def __init__(self, binding):
+        super().__init__()
+        self._binding = binding
+
+    def __missing__(self, name):
+        df = self._binding.table(name)
+        self[name] = df
+        return df
+
+    def get(self, name, default=None):
+        try:
+            return self[name]
+        except AttributeError:
+            return default
+
+
 def _t(spark: SparkSession, sf_dir: str) -> dict:
-    b = bind(spark, sf_dir)
-    t = b.all()
-    t["plan_rows"] = b.table("plan_rows")
-    return t
+    return _LazyTables(bind(spark, sf_dir))
 
 
 # -- scans, projections, filters ---------------------------------------------

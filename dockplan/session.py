@@ -37,7 +37,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The reliable folder configured for this session, if any."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, read the session conf only
+        return spark.conf.get("spark.checkpoint.dir", None)
     d = sc.getCheckpointDir()
     if d:
         return d

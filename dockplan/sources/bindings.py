@@ -65,9 +65,29 @@ class DriverTables:
             reader = self.spark.read
             if name in DRIVER_SCHEMAS:
                 reader = reader.schema(DRIVER_SCHEMAS[name])
-            self._cache[key] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+            df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+            if name in self.SPREAD:
+                df = self._spread(df)
+            self._cache[key] = df
         return self._cache[key]
 
+    # Fact tables whose per-row work (joins, projections) follows the scan.
+    SPREAD = ("lineitem", "orders")
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Spread a scan that has fewer splits than cores (one row group per file).
+
+        The driver files hold one row group each, so one task would read and
+        process every row. Multi-file inputs already have at least as many
+        splits as cores and are left as they are.
+        """
+        try:
+            cores = self.spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # no RDD access (Spark Connect): leave the scan as is
+            return df
+        return df.repartition(cores) if splits < cores else df
+
     def _scalars(self) -> tuple[int, int, int]:
         """Location key range and supplier count: three aggregates, read once."""
         if not hasattr(self, "_scalar_values"):
