@@ -8,8 +8,9 @@ the driver tables. Location = region name, vendor number = ``'V' || suppkey``,
 item = ``p_partkey``.
 
 Location grids (item x location, vendor x location) are built by exploding
-the location key range from a one-value subquery and joining the location
-dimension on its key: a linear fan-out by the number of locations.
+the location key range (min and max key, read once as a two-value aggregate)
+and joining the location dimension on its key: a linear fan-out by the
+number of locations.
 """
 
 from __future__ import annotations
