@@ -18,9 +18,16 @@ from dockplan.sources.tables import at_location
 
 
 def receipt_filter(receipts: DataFrame, cfg: PlanConfig) -> DataFrame:
-    """Receipts of the sites, one transaction type, non-zero quantity."""
+    """Receipts of the sites, one transaction type, non-zero quantity.
+
+    The source reads all history (its date filter is commented out); with
+    ``cfg.upt_since`` set, only receipts on or after that date count (D12).
+    """
     r = at_location(receipts, "wh_id", cfg.locations)
-    return r.where((F.col("tran_type") == F.lit(RECEIPT_TRAN_TYPE)) & (F.col("tran_qty") != F.lit(0.0)))
+    r = r.where((F.col("tran_type") == F.lit(RECEIPT_TRAN_TYPE)) & (F.col("tran_qty") != F.lit(0.0)))
+    if cfg.upt_since is not None:
+        r = r.where(F.col("tran_date") >= F.lit(cfg.upt_since))
+    return r
 
 
 def document_vendors(docs: DataFrame, vendors: DataFrame) -> DataFrame:

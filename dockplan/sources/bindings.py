@@ -250,6 +250,7 @@ class DriverTables:
             F.col("l_partkey").cast("string").alias("item_number"),
             F.when(F.col("l_returnflag") == "R", F.lit(951)).otherwise(F.lit(151)).alias("tran_type"),
             F.when(F.col("l_linenumber") == 7, F.lit(0.0)).otherwise(F.col("l_quantity")).alias("tran_qty"),
+            F.to_date("l_shipdate").alias("tran_date"),
         )
 
     def _procurement_docs(self) -> DataFrame:

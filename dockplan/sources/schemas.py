@@ -78,7 +78,9 @@ PRODUCT_DIMS = _schema(
     ("discontinued_flag", B),
 )
 
-RECEIPT_LOG = _schema(("wh_id", S), ("control_number", S), ("item_number", S), ("tran_type", I), ("tran_qty", D))
+RECEIPT_LOG = _schema(
+    ("wh_id", S), ("control_number", S), ("item_number", S), ("tran_type", I), ("tran_qty", D), ("tran_date", DT)
+)
 
 PROCUREMENT_DOCS = _schema(("document_number", S), ("vendor_key", L), ("document_type", S))
 

@@ -123,7 +123,8 @@ SELECT r_name AS wh_id,
            AS control_number,
        CAST(l_partkey AS VARCHAR) AS item_number,
        CASE WHEN l_returnflag = 'R' THEN 951 ELSE 151 END AS tran_type,
-       CASE WHEN l_linenumber = 7 THEN 0.0e0 ELSE l_quantity END AS tran_qty
+       CASE WHEN l_linenumber = 7 THEN 0.0e0 ELSE l_quantity END AS tran_qty,
+       CAST(l_shipdate AS DATE) AS tran_date
 FROM li_region
 """)
 

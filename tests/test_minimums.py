@@ -54,3 +54,29 @@ def test_container_rule_and_moq_floor(spark):
     got = _get(vendor_minimums(vl, config.snapshot_report(AS_OF, None)))
     assert (got["V0"]["vendor_min_type"], got["V0"]["min_planning_amount"]) == ("cube", 20000.0)
     assert [got[f"V{i}"]["moq"] for i in range(6)] == [4150000.0, 4150000.0, 4000000.0, 42000.0, 38000.0, 10.0]
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["Shipping Container", "FTL (Full Truck Load)", "Prepaid"]),
+                          st.floats(0, 1e7), st.sampled_from([0, 1, 5])), min_size=1, max_size=30))
+def test_moq_floor_property(rows):
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    slots = [(None,) * 6 for _ in rows]
+    data = []
+    for (delivery, amount, slot), empty in zip(rows, slots):
+        mins = list(empty)
+        mins[slot] = amount
+        data.append((delivery, tuple(mins)))
+    got = vendor_minimums(_vl(spark, data), config.snapshot_report(AS_OF, None)).collect()
+    for r in got:
+        if r["vendor_delivery_type"] == "Shipping Container" or (
+                r["vendor_delivery_type"] == "FTL (Full Truck Load)" and r["vendor_min_type"] == "weight"):
+            assert r["moq"] >= r["min_planning_amount"]
+        else:
+            assert r["moq"] == r["min_planning_amount"]

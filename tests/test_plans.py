@@ -31,3 +31,8 @@ def test_lpt_is_only_python_node(spark):
     assert "FlatMapGroupsInPandas" in p
     p2 = _plan(catalog.QUERIES["level_days_snake"](spark, SF))
     assert "FlatMapGroupsInPandas" not in p2
+
+
+def test_override_join_is_broadcast(spark):
+    p = _plan(catalog.QUERIES["delivery_type_override"](spark, SF))
+    assert "BroadcastHashJoin" in p and "LeftOuter" in p

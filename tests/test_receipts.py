@@ -5,13 +5,14 @@ from dockplan.operators import receipts
 from dockplan.sources.schemas import PROCUREMENT_DOCS, RECEIPT_LOG, VENDORS
 
 CFG = config.snapshot_report(dt.date(2000, 1, 1), "W1")
+D0, D1 = dt.date(2019, 1, 5), dt.date(2019, 3, 5)
 
 
 def _inputs(spark, docs):
     r = spark.createDataFrame(
-        [("W1", "D1", "a", 151, 10.0), ("W1", "D1", "b", 151, 10.0), ("W1", "D1", "c", 151, 10.0),
-         ("W1", "D2", "a", 151, 10.0), ("W1", "D2", "a", 951, 99.0), ("W1", "D2", "z", 151, 0.0),
-         ("W2", "D1", "q", 151, 7.0)], RECEIPT_LOG)
+        [("W1", "D1", "a", 151, 10.0, D0), ("W1", "D1", "b", 151, 10.0, D0), ("W1", "D1", "c", 151, 10.0, D0),
+         ("W1", "D2", "a", 151, 10.0, D1), ("W1", "D2", "a", 951, 99.0, D1), ("W1", "D2", "z", 151, 0.0, D1),
+         ("W2", "D1", "q", 151, 7.0, D0)], RECEIPT_LOG)
     d = spark.createDataFrame(docs, PROCUREMENT_DOCS)
     v = spark.createDataFrame([(1, "V1", "One")], VENDORS)
     return r, d, v
@@ -35,3 +36,9 @@ def test_document_fanout_kept(spark):
 def test_transfer_documents_dropped(spark):
     r, d, v = _inputs(spark, [("D1", 1, "Transfer")])
     assert receipts.vendor_upt(r, d, v, CFG).count() == 0
+
+
+def test_since_keeps_recent_receipts(spark):
+    r, d, v = _inputs(spark, [("D1", 1, "Purchase"), ("D2", 1, "Purchase")])
+    recent = receipts.receipt_upt_by_document(r, d, v, CFG.with_(upt_since=dt.date(2019, 2, 1))).collect()
+    assert [x["control_number"] for x in recent] == ["D2"]
