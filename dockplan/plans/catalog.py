@@ -57,8 +57,20 @@ class _LazyTables(dict):
             return default
 
 
+_BINDINGS: dict = {}
+
+
 def _t(spark: SparkSession, sf_dir: str) -> dict:
-    return _LazyTables(bind(spark, sf_dir))
+    """Logical tables of one driver folder, defined once per session and folder.
+
+    Only the lazy plan definitions are shared between queries (as a program
+    would call ``read_tables`` once); nothing is persisted, so every run scans
+    and computes from the files again.
+    """
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _BINDINGS:
+        _BINDINGS[key] = _LazyTables(bind(spark, sf_dir))
+    return _BINDINGS[key]
 
 
 # -- scans, projections, filters ---------------------------------------------
