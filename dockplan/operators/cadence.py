@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockplan.config import DELIVERY_FULL_TRUCK, MAX_ORDERS_PER_WEEK, PlanConfig
-from dockplan.functions.numeric import ieee_div
+from dockplan.functions.numeric import dbl, ieee_div_sql, in_list, text
 
 GROUP_KEYS = (
     "vendor_number",
@@ -22,23 +22,30 @@ GROUP_KEYS = (
 )
 
 
-def cadence_clamp(ratio: Column) -> Column:
+def cadence_clamp_sql(ratio: str) -> str:
     """r <= 1 -> 1, r >= 5 -> 5, else floor(r); NULL and NaN give NULL."""
     top = MAX_ORDERS_PER_WEEK
     return (
-        F.when(ratio.isNull() | F.isnan(ratio), F.lit(None).cast("int"))
-        .when(ratio <= F.lit(1.0), F.lit(1))
-        .when(ratio >= F.lit(float(top)), F.lit(top))
-        .otherwise(F.floor(ratio).cast("int"))
+        f"(CASE WHEN {ratio} IS NULL OR isnan({ratio}) THEN CAST(NULL AS INT)"
+        f" WHEN {ratio} <= 1.0D THEN 1 WHEN {ratio} >= {dbl(top)} THEN {top}"
+        f" ELSE CAST(floor({ratio}) AS INT) END)"
     )
 
 
-def order_cadence(ratio: Column, ship: Column, delivery: Column, cfg: PlanConfig) -> Column:
+def order_cadence_sql(ratio: str, ship: str, delivery: str, cfg: PlanConfig) -> str:
     """House ship methods and single-order delivery types order once."""
-    out = F.when(ship.isin(*cfg.house_ship_methods), F.lit(1))
+    whens = f"WHEN {ship} IN {in_list(cfg.house_ship_methods)} THEN 1"
     if cfg.single_order_delivery_types:
-        out = out.when(delivery.isin(*cfg.single_order_delivery_types), F.lit(1))
-    return out.otherwise(cadence_clamp(ratio)).cast("int")
+        whens += f" WHEN {delivery} IN {in_list(cfg.single_order_delivery_types)} THEN 1"
+    return f"CAST(CASE {whens} ELSE {cadence_clamp_sql(ratio)} END AS INT)"
+
+
+def cadence_clamp(ratio: str) -> Column:
+    return F.expr(cadence_clamp_sql(ratio))
+
+
+def order_cadence(ratio: str, ship: str, delivery: str, cfg: PlanConfig) -> Column:
+    return F.expr(order_cadence_sql(ratio, ship, delivery, cfg))
 
 
 def vendor_weekly(items: DataFrame, cfg: PlanConfig) -> DataFrame:
@@ -58,10 +65,10 @@ def vendor_weekly(items: DataFrame, cfg: PlanConfig) -> DataFrame:
             F.sum("truckloads").alias("truckloads_per_week"),
         ]
     g = items.groupBy(*GROUP_KEYS).agg(*sums)
-    g = g.withColumn("_ratio", ieee_div(F.col("avg_per_week_in_uom"), F.col("moq")))
+    g = g.withColumn("_ratio", F.expr(ieee_div_sql("avg_per_week_in_uom", "moq")))
     g = g.withColumn(
         "num_orders_per_week",
-        order_cadence(F.col("_ratio"), F.col("vendor_shipment_method_code"), F.col("vendor_delivery_type"), cfg),
+        F.expr(order_cadence_sql("_ratio", "vendor_shipment_method_code", "vendor_delivery_type", cfg)),
     )
     return g.drop("_ratio")
 
@@ -76,17 +83,16 @@ def per_order_measures(
     trucks: str = "truckloads_per_week",
 ) -> DataFrame:
     """MOQs, quantity and truckloads per order."""
-    u, q, n = F.col(uom), F.col(moq_col), F.col(orders)
-    df = df.withColumn("_ratio", ieee_div(u, q))
-    ratio = F.col("_ratio")
-    moqs = F.when(ratio <= F.lit(1.0), F.lit(1.0)).otherwise(ieee_div(ieee_div(u, n), q))
-    per_order = ieee_div(F.col(qty), n)
-    per_truck = F.when(F.col(delivery) == F.lit(DELIVERY_FULL_TRUCK), F.round(ieee_div(ratio, n), 0)).otherwise(
-        ieee_div(F.col(trucks), n)
-    )
-    return (
-        df.withColumn("moqs_per_order", moqs.cast("double"))
-        .withColumn("forecast_qty_per_order", per_order)
-        .withColumn("truckloads_per_order", per_truck.cast("double"))
-        .drop("_ratio")
+    df = df.withColumn("_ratio", F.expr(ieee_div_sql(uom, moq_col)))
+    moqs = f"CAST(CASE WHEN _ratio <= 1.0D THEN 1.0D ELSE {ieee_div_sql(ieee_div_sql(uom, orders), moq_col)} END AS DOUBLE)"
+    per_truck = (
+        f"CAST(CASE WHEN {delivery} = {text(DELIVERY_FULL_TRUCK)} THEN round({ieee_div_sql('_ratio', orders)}, 0)"
+        f" ELSE {ieee_div_sql(trucks, orders)} END AS DOUBLE)"
     )
+    return df.withColumns(
+        {
+            "moqs_per_order": F.expr(moqs),
+            "forecast_qty_per_order": F.expr(ieee_div_sql(qty, orders)),
+            "truckloads_per_order": F.expr(per_truck),
+        }
+    ).drop("_ratio")

@@ -74,7 +74,7 @@ def forecast_by_primary_vendor(forecast: DataFrame, ilv: DataFrame, cfg: PlanCon
     agg = forecast_horizon(forecast, cfg)
     v = (
         item_vendors_at(ilv, cfg)
-        .where(F.col("primary_vendor_flag").eqNullSafe(True) & F.col("vendor_number").isNotNull())
+        .where("primary_vendor_flag <=> true AND vendor_number IS NOT NULL")
         .select(F.col("item"), F.col("location_code").alias("area"), "vendor_number")
     )
     return (
@@ -99,29 +99,27 @@ def forecast_by_primary_vendor_uoms(forecast: DataFrame, ilv: DataFrame, cfg: Pl
     agg = forecast_horizon(forecast, cfg)
     v = (
         item_vendors_at(ilv, cfg)
-        .where(F.col("vendor_number").isNotNull())
-        .select(
-            "item",
-            F.col("location_code").alias("area"),
-            "vendor_number",
-            F.col("primary_vendor_flag").eqNullSafe(True).alias("_primary"),
+        .where("vendor_number IS NOT NULL")
+        .selectExpr(
+            "item", "location_code AS area", "vendor_number", "primary_vendor_flag <=> true AS _primary",
             "vendor_uom_qty",
         )
     )
     j = agg.join(v, ["item", "area"], "inner")
-    p = F.col("_primary")
     per_qty = j.groupBy("item", "area", "vendor_number", "vendor_uom_qty").agg(
-        F.sum(F.when(p, F.col("base_forecast"))).alias("_base"),
-        F.sum(F.when(p, F.col("commercial_forecast"))).alias("_commercial"),
-        F.count_if(p).alias("_primary_rows"),
+        F.expr("sum(CASE WHEN _primary THEN base_forecast END)").alias("_base"),
+        F.expr("sum(CASE WHEN _primary THEN commercial_forecast END)").alias("_commercial"),
+        F.expr("count_if(_primary)").alias("_primary_rows"),
     )
     w = Window.partitionBy("item", "area", "vendor_number")
-    out = (
-        per_qty.withColumn("_key_primary_rows", F.sum("_primary_rows").over(w))
-        .withColumn("base_forecast", F.sum("_base").over(w))
-        .withColumn("commercial_forecast", F.sum("_commercial").over(w))
+    out = per_qty.withColumns(
+        {
+            "_key_primary_rows": F.sum("_primary_rows").over(w),
+            "base_forecast": F.sum("_base").over(w),
+            "commercial_forecast": F.sum("_commercial").over(w),
+        }
     )
-    return out.where(F.col("_key_primary_rows") > 0).select(
+    return out.where("_key_primary_rows > 0").select(
         "item", "area", "vendor_number", "base_forecast", "commercial_forecast", "vendor_uom_qty"
     )
 
@@ -129,13 +127,11 @@ def forecast_by_primary_vendor_uoms(forecast: DataFrame, ilv: DataFrame, cfg: Pl
 def eligible_items(ilv: DataFrame, inv: DataFrame, cfg: PlanConfig) -> tuple[DataFrame, DataFrame]:
     """The six item predicates of the snapshot report, on each input."""
     i = item_vendors_at(ilv, cfg).where(
-        F.col("product_discontinued_flag").eqNullSafe(False)
-        & F.col("product_published_flag").eqNullSafe(True)
-        & F.col("primary_vendor_flag").eqNullSafe(True)
-        & F.col("purchase_source_location").isNull()
+        "product_discontinued_flag <=> false AND product_published_flag <=> true"
+        " AND primary_vendor_flag <=> true AND purchase_source_location IS NULL"
     )
     s = at_location(at_snapshot(inv, "snapshot_date", cfg.as_of), "location_code", cfg.locations).where(
-        F.col("managed_flag").eqNullSafe(True) & F.col("location_discontinued_flag").eqNullSafe(False)
+        "managed_flag <=> true AND location_discontinued_flag <=> false"
     )
     return i, s
 
@@ -161,15 +157,15 @@ def snapshot_item_rows(tables: dict, vmin: DataFrame, cfg: PlanConfig) -> DataFr
         .join(m, "item", "inner")
         .join(_vendor_side(vmin, cfg), ["vendor_number", "location_code"], "inner")
     )
-    vt = F.col("vendor_min_type")
-    qty_any = F.coalesce(F.col("daily_forecast_qty"), F.lit(0.0)) * F.lit(float(cfg.days_per_week))
-    return j.select(
+    vt = "vendor_min_type"
+    qty_any = loads.snapshot_qty_sql("daily_forecast_qty", cfg.days_per_week)
+    uom = loads.weekly_uom_sql(vt, qty_any, "unit_cube", "unit_cost", "pallet_qty", "unit_weight", "case_qty")
+    trucks = loads.truckloads_by_type_sql(vt, qty_any, "unit_cube", "pallet_qty", "unit_weight", cfg)
+    return j.selectExpr(
         "item", "vendor_number", "location_code", *VENDOR_ATTRS, "moq", "vendor_lead_time_business_days",
-        loads.weekly_uom(vt, qty_any, F.col("unit_cube"), F.col("unit_cost"), F.col("pallet_qty"),
-                         F.col("unit_weight"), F.col("case_qty")).alias("weekly_uom"),
-        loads.weekly_qty_snapshot(F.col("daily_forecast_qty"), vt, cfg.days_per_week).alias("weekly_qty"),
-        loads.truckloads_by_type(vt, qty_any, F.col("unit_cube"), F.col("pallet_qty"), F.col("unit_weight"),
-                                 cfg).alias("truckloads"),
+        f"{uom} AS weekly_uom",
+        f"{loads.weekly_qty_snapshot_sql('daily_forecast_qty', vt, cfg.days_per_week)} AS weekly_qty",
+        f"{trucks} AS truckloads",
     )
 
 
@@ -193,32 +189,31 @@ def horizon_item_rows(tables: dict, vmin: DataFrame, cfg: PlanConfig) -> DataFra
         f = f.join(loads.eq_pallets(tables["product_dims"], cfg), "item", "inner")
     j = f.join(_vendor_side(vmin, cfg), ["vendor_number", "location_code"], "inner")
 
-    vt = F.col("vendor_min_type")
-    qty = loads.weekly_qty_horizon(F.col("commercial_forecast"), cfg.weeks_in_horizon)
+    vt = "vendor_min_type"
+    qty = loads.weekly_qty_horizon_sql("commercial_forecast", cfg.weeks_in_horizon)
+    uom = loads.weekly_uom_sql(vt, qty, "unit_cube", "unit_cost", "pallet_qty", "unit_weight", "vendor_uom_qty")
     cols = [
         "item", "location_code", "vendor_number", *VENDOR_ATTRS, "vendor_lead_time_business_days", "moq",
-        loads.masked_attr(vt, "cube", F.col("unit_cube")).alias("m_unit_cube"),
-        loads.masked_attr(vt, "dollar", F.col("unit_cost")).alias("m_unit_cost"),
-        loads.masked_attr(vt, "pallet", F.col("pallet_qty")).alias("m_pallet_qty"),
-        loads.masked_attr(vt, "weight", F.col("unit_weight")).alias("m_unit_weight"),
-        loads.masked_attr(vt, "case", F.col("vendor_uom_qty")).alias("m_vendor_uom_qty"),
+        f"{loads.masked_attr_sql(vt, 'cube', 'unit_cube')} AS m_unit_cube",
+        f"{loads.masked_attr_sql(vt, 'dollar', 'unit_cost')} AS m_unit_cost",
+        f"{loads.masked_attr_sql(vt, 'pallet', 'pallet_qty')} AS m_pallet_qty",
+        f"{loads.masked_attr_sql(vt, 'weight', 'unit_weight')} AS m_unit_weight",
+        f"{loads.masked_attr_sql(vt, 'case', 'vendor_uom_qty')} AS m_vendor_uom_qty",
         "commercial_forecast",
-        qty.alias("weekly_qty"),
-        loads.weekly_uom(vt, qty, F.col("unit_cube"), F.col("unit_cost"), F.col("pallet_qty"), F.col("unit_weight"),
-                         F.col("vendor_uom_qty")).alias("weekly_uom"),
+        f"{qty} AS weekly_qty",
+        f"{uom} AS weekly_uom",
     ]
     if cfg.truckloads == "weight_pallet":
         cols += [
             "weight", "weight_uom",
-            loads.weekly_weight(qty, F.col("unit_weight")).alias("weekly_weight"),
-            loads.truckloads_weight(qty, F.col("unit_weight")).alias("truckloads_wt"),
-            loads.truckloads_pallet(qty, F.col("eq_pallets")).alias("truckloads_pl"),
+            f"{loads.weekly_weight_sql(qty, 'unit_weight')} AS weekly_weight",
+            f"{loads.truckloads_weight_sql(qty, 'unit_weight')} AS truckloads_wt",
+            f"{loads.truckloads_pallet_sql(qty, 'eq_pallets')} AS truckloads_pl",
         ]
     else:
         cols += [
             "base_forecast",
-            loads.truckloads_by_type(vt, qty, F.col("unit_cube"), F.col("pallet_qty"), F.col("unit_weight"),
-                                     cfg).alias("truckloads"),
+            f"{loads.truckloads_by_type_sql(vt, qty, 'unit_cube', 'pallet_qty', 'unit_weight', cfg)} AS truckloads",
         ]
-    rows = j.select(*cols)
+    rows = j.selectExpr(*cols)
     return rows.distinct() if cfg.distinct_items else rows

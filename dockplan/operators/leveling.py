@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 
 from dockplan.config import PlanConfig
 from dockplan.functions.calendar import busday_sub, receive_day_date
-from dockplan.functions.numeric import stable_round
-from dockplan.functions.ordering import ordered_index
+from dockplan.functions.numeric import stable_round_sql
+from dockplan.functions.ordering import ordered_index, sized_broadcast
 from dockplan.session import cut_lineage
 
 _LONG_MAX = 9.2e18
@@ -47,7 +47,7 @@ PLAN_COLUMNS = (
 )
 
 
-def trunc_long(c: Column) -> Column:
+def trunc_long_sql(c: str) -> str:
     """int(x): truncate toward zero; NULL for NaN, Infinity and NULL.
 
     ``x`` is first taken through ``stable_round``: a double sum that is a
@@ -55,25 +55,31 @@ def trunc_long(c: Column) -> Column:
     depending on the summation order (which changes with partitioning), and
     truncation would turn that last-bit noise into a whole unit.
     """
-    ok = c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(_LONG_MAX))
-    return F.when(ok, stable_round(c).cast("long"))
+    return (
+        f"(CASE WHEN {c} IS NOT NULL AND NOT isnan({c}) AND abs({c}) < {_LONG_MAX!r}D"
+        f" THEN CAST({stable_round_sql(c)} AS BIGINT) END)"
+    )
+
+
+def trunc_long(c: str) -> Column:
+    return F.expr(trunc_long_sql(c))
 
 
 def plan_rows(report: DataFrame) -> DataFrame:
     """Report rows bound to plan names by name (S4; decisions D1, D2)."""
-    return report.select(
+    return report.selectExpr(
         "location_code",
         "vendor_number",
         "vendor_name",
         "vendor_lead_time_business_days",
-        trunc_long(F.col("avg_per_week_in_qty")).alias("weekly_units"),
-        F.col("num_orders_per_week").cast("int").alias("orders"),
-        trunc_long(F.col("moq")).alias("moq"),
-        F.col("vendor_min_type").alias("unit"),
-        F.col("vendor_delivery_type").alias("delivery_type"),
-        F.col("vendor_purchaser_code").alias("purchaser_code"),
-        F.col("vendor_shipment_method_code").alias("ship_code"),
-        F.col("vendor_distribution_method").alias("dist_code"),
+        f"{trunc_long_sql('avg_per_week_in_qty')} AS weekly_units",
+        "CAST(num_orders_per_week AS INT) AS orders",
+        f"{trunc_long_sql('moq')} AS moq",
+        "vendor_min_type AS unit",
+        "vendor_delivery_type AS delivery_type",
+        "vendor_purchaser_code AS purchaser_code",
+        "vendor_shipment_method_code AS ship_code",
+        "vendor_distribution_method AS dist_code",
     )
 
 
@@ -94,11 +100,14 @@ def plan_dedupe(plan: DataFrame) -> DataFrame:
 
 def order_size(plan: DataFrame, cfg: PlanConfig) -> DataFrame:
     """Units per order s/n and whole units per chosen day ceil(s/n) (L1)."""
-    s, n = F.col("weekly_units"), F.col("orders")
-    valid = s.isNotNull() & n.isNotNull() & (n >= 1)
-    size = F.when(valid, s.cast("double") / n.cast("double"))
-    units = F.when(valid, F.greatest(F.ceil(s.cast("double") / n.cast("double")), F.lit(0)).cast("long"))
-    return plan.withColumn("order_size", size).withColumn("order_units", units)
+    valid = "weekly_units IS NOT NULL AND orders IS NOT NULL AND orders >= 1"
+    ratio = "CAST(weekly_units AS DOUBLE) / CAST(orders AS DOUBLE)"
+    return plan.withColumns(
+        {
+            "order_size": F.expr(f"CASE WHEN {valid} THEN {ratio} END"),
+            "order_units": F.expr(f"CASE WHEN {valid} THEN CAST(greatest(ceil({ratio}), 0) AS BIGINT) END"),
+        }
+    )
 
 
 def infeasible_reason(cfg: PlanConfig) -> Column:
@@ -197,7 +206,9 @@ def level_days(sized: DataFrame, cfg: PlanConfig, mode: str | None = None) -> Da
     if mode == "lpt":
         return level_lpt(ok, cfg)
     counts = ok.groupBy("location_code").agg(F.count(F.lit(1)).alias("_vendors"))
-    tagged = ok.join(counts, "location_code", "inner")
+    # One row per location: broadcast it (checked) so the join back is not a
+    # shuffle keyed on location, which would put a large location in one task.
+    tagged = ok.join(sized_broadcast(counts, cfg.broadcast_max_rows), "location_code", "inner")
     small = tagged.where(F.col("_vendors") <= F.lit(cfg.lpt_max_vendors)).drop("_vendors")
     large = tagged.where(F.col("_vendors") > F.lit(cfg.lpt_max_vendors)).drop("_vendors")
     return level_lpt(small, cfg).unionByName(level_snake(large, cfg))

@@ -1,4 +1,8 @@
-"""Weekly demand in the vendor's unit and truckload measures."""
+"""Weekly demand in the vendor's unit and truckload measures.
+
+Arguments are column names or SQL snippets; each ``*_sql`` function returns
+SQL text and the plain function parses it into a Column (one JVM call).
+"""
 
 from __future__ import annotations
 
@@ -16,65 +20,81 @@ from dockplan.config import (
     WEIGHT_PER_TRUCK_HORIZON,
     PlanConfig,
 )
-from dockplan.functions.numeric import greatest_of, ieee_div, least_of
+from dockplan.functions.numeric import dbl, greatest_sql, ieee_div_sql, in_list, least_sql, text
 
 
-def weekly_qty_snapshot(daily_rate: Column, vtype: Column, days: int = 7) -> Column:
+def weekly_qty_snapshot_sql(daily_rate: str, vtype: str, days: int = 7) -> str:
     """Daily rate x 7 with a missing rate as 0; NULL for an undefined minimum."""
-    base = F.coalesce(daily_rate, F.lit(0.0)) * F.lit(float(days))
-    return F.when(vtype.isin(*MIN_TYPES), base)
+    return f"(CASE WHEN {vtype} IN {in_list(MIN_TYPES)} THEN {snapshot_qty_sql(daily_rate, days)} END)"
+
+
+def snapshot_qty_sql(daily_rate: str, days: int = 7) -> str:
+    return f"(coalesce({daily_rate}, 0.0D) * {dbl(days)})"
 
 
-def weekly_qty_horizon(horizon_sum: Column, weeks: float) -> Column:
+def weekly_qty_horizon_sql(horizon_sum: str, weeks: float) -> str:
     """Horizon forecast sum spread over ``weeks`` weeks."""
-    return horizon_sum / F.lit(float(weeks))
+    return f"({horizon_sum} / {dbl(weeks)})"
 
 
-def weekly_uom(vtype: Column, qty: Column, unit_cube: Column, unit_cost: Column, pallet_qty: Column,
-               unit_weight: Column, case_qty: Column) -> Column:
+def weekly_uom_sql(vtype: str, qty: str, unit_cube: str, unit_cost: str, pallet_qty: str, unit_weight: str,
+                   case_qty: str) -> str:
     """Weekly demand expressed in the unit of the vendor's minimum."""
     return (
-        F.when(vtype == "cube", qty * unit_cube)
-        .when(vtype == "dollar", qty * unit_cost)
-        .when(vtype == "pallet", ieee_div(qty, pallet_qty))
-        .when(vtype == "unit", qty)
-        .when(vtype == "weight", qty * unit_weight)
-        .when(vtype == "case", ieee_div(qty, case_qty))
+        f"(CASE WHEN {vtype} = 'cube' THEN {qty} * {unit_cube}"
+        f" WHEN {vtype} = 'dollar' THEN {qty} * {unit_cost}"
+        f" WHEN {vtype} = 'pallet' THEN {ieee_div_sql(qty, pallet_qty)}"
+        f" WHEN {vtype} = 'unit' THEN {qty}"
+        f" WHEN {vtype} = 'weight' THEN {qty} * {unit_weight}"
+        f" WHEN {vtype} = 'case' THEN {ieee_div_sql(qty, case_qty)} END)"
     )
 
 
-def masked_attr(vtype: Column, label: str, value: Column) -> Column:
+def masked_attr_sql(vtype: str, label: str, value: str) -> str:
     """The unit attribute that applies to the minimum type, else 0."""
-    return F.when(vtype == F.lit(label), value).otherwise(F.lit(0.0)).cast("double")
+    return f"CAST(CASE WHEN {vtype} = {text(label)} THEN {value} ELSE 0.0D END AS DOUBLE)"
 
 
-def truckloads_by_type(vtype: Column, qty: Column, unit_cube: Column, pallet_qty: Column,
-                       unit_weight: Column, cfg: PlanConfig) -> Column:
+def truckloads_by_type_sql(vtype: str, qty: str, unit_cube: str, pallet_qty: str, unit_weight: str,
+                           cfg: PlanConfig) -> str:
     """Cube, pallet or weight truckloads by type; otherwise the least of the three."""
-    cube = (qty * unit_cube) / F.lit(CUBE_PER_TRUCK)
-    pallet = ieee_div(qty, pallet_qty) / F.lit(PALLETS_PER_TRUCK)
-    weight = (qty * unit_weight) / F.lit(WEIGHT_PER_TRUCK)
+    cube = f"(({qty} * {unit_cube}) / {dbl(CUBE_PER_TRUCK)})"
+    pallet = f"({ieee_div_sql(qty, pallet_qty)} / {dbl(PALLETS_PER_TRUCK)})"
+    weight = f"(({qty} * {unit_weight}) / {dbl(WEIGHT_PER_TRUCK)})"
     return (
-        F.when(vtype == "cube", cube)
-        .when(vtype == "pallet", pallet)
-        .when(vtype == "weight", weight)
-        .otherwise(least_of(cube, pallet, weight, nulls=cfg.null_extrema))
+        f"(CASE WHEN {vtype} = 'cube' THEN {cube} WHEN {vtype} = 'pallet' THEN {pallet}"
+        f" WHEN {vtype} = 'weight' THEN {weight}"
+        f" ELSE {least_sql(cube, pallet, weight, nulls=cfg.null_extrema)} END)"
     )
 
 
-def weekly_weight(qty: Column, unit_weight: Column) -> Column:
+def weekly_weight_sql(qty: str, unit_weight: str) -> str:
     """Weekly forecast weight."""
-    return qty * unit_weight
+    return f"({qty} * {unit_weight})"
 
 
-def truckloads_weight(qty: Column, unit_weight: Column) -> Column:
+def truckloads_weight_sql(qty: str, unit_weight: str) -> str:
     """Truckloads by weight at the horizon report's truck weight."""
-    return (qty * unit_weight) / F.lit(WEIGHT_PER_TRUCK_HORIZON)
+    return f"(({qty} * {unit_weight}) / {dbl(WEIGHT_PER_TRUCK_HORIZON)})"
 
 
-def truckloads_pallet(qty: Column, eq_pallets: Column) -> Column:
+def truckloads_pallet_sql(qty: str, eq_pallets: str) -> str:
     """Truckloads by equivalent pallets."""
-    return (qty * eq_pallets) / F.lit(PALLETS_PER_TRUCK)
+    return f"(({qty} * {eq_pallets}) / {dbl(PALLETS_PER_TRUCK)})"
+
+
+def weekly_qty_snapshot(daily_rate: str, vtype: str, days: int = 7) -> Column:
+    return F.expr(weekly_qty_snapshot_sql(daily_rate, vtype, days))
+
+
+def weekly_uom(vtype: str, qty: str, unit_cube: str, unit_cost: str, pallet_qty: str, unit_weight: str,
+               case_qty: str) -> Column:
+    return F.expr(weekly_uom_sql(vtype, qty, unit_cube, unit_cost, pallet_qty, unit_weight, case_qty))
+
+
+def truckloads_by_type(vtype: str, qty: str, unit_cube: str, pallet_qty: str, unit_weight: str,
+                       cfg: PlanConfig) -> Column:
+    return F.expr(truckloads_by_type_sql(vtype, qty, unit_cube, pallet_qty, unit_weight, cfg))
 
 
 def eq_pallets(product_dims: DataFrame, cfg: PlanConfig) -> DataFrame:
@@ -82,13 +102,11 @@ def eq_pallets(product_dims: DataFrame, cfg: PlanConfig) -> DataFrame:
 
     ``is true`` / ``is false`` keep only known flags: NULL flags drop the row.
     """
-    p = product_dims.where(
-        F.col("setup_completed_flag").eqNullSafe(True) & F.col("discontinued_flag").eqNullSafe(False)
-    )
-    pallets = greatest_of(
-        F.col("height") / F.lit(PALLET_HEIGHT),
-        F.col("length") / F.lit(PALLET_LENGTH),
-        F.col("width") / F.lit(PALLET_WIDTH),
+    p = product_dims.where("setup_completed_flag <=> true AND discontinued_flag <=> false")
+    pallets = greatest_sql(
+        f"height / {dbl(PALLET_HEIGHT)}",
+        f"length / {dbl(PALLET_LENGTH)}",
+        f"width / {dbl(PALLET_WIDTH)}",
         nulls=cfg.null_extrema,
     )
-    return p.select("item", "weight", "weight_uom", pallets.alias("eq_pallets"))
+    return p.selectExpr("item", "weight", "weight_uom", f"{pallets} AS eq_pallets")

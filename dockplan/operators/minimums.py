@@ -15,6 +15,7 @@ from dockplan.config import (
     MIN_UNDEFINED,
     PlanConfig,
 )
+from dockplan.functions.numeric import dbl, text
 from dockplan.functions.ordering import sized_broadcast
 from dockplan.sources.tables import at_location, at_snapshot
 
@@ -29,44 +30,53 @@ MINIMUM_COLUMNS = (
 )
 
 
-def min_type() -> Column:
+def min_type_sql() -> str:
     """Label of the first non-NULL minimum, else ``undefined`` (B1)."""
-    expr = None
-    for label, col in MINIMUM_COLUMNS:
-        cond = F.col(col).isNotNull()
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(MIN_UNDEFINED))
+    whens = " ".join(f"WHEN {col} IS NOT NULL THEN {text(label)}" for label, col in MINIMUM_COLUMNS)
+    return f"(CASE {whens} ELSE {text(MIN_UNDEFINED)} END)"
 
 
-def min_amount(override_amount: Column | None, fallback: float) -> Column:
+def min_amount_sql(override_amount: str | None, fallback: float) -> str:
     """First non-NULL minimum, then the vendor's override amount, then ``fallback`` (B2)."""
-    cols = [F.col(c) for _, c in MINIMUM_COLUMNS]
+    cols = [c for _, c in MINIMUM_COLUMNS]
     if override_amount is not None:
         cols.append(override_amount)
-    cols.append(F.lit(float(fallback)))
-    return F.coalesce(*cols).cast("double")
+    cols.append(dbl(fallback))
+    return f"CAST(coalesce({', '.join(cols)}) AS DOUBLE)"
 
 
-def container_type(delivery: Column, vtype: Column) -> Column:
+def container_type_sql(delivery: str, vtype: str) -> str:
     """Container vendors plan in cube, whatever unit their amount is in."""
-    return F.when(delivery == F.lit(DELIVERY_CONTAINER), F.lit("cube")).otherwise(vtype)
+    return f"(CASE WHEN {delivery} = {text(DELIVERY_CONTAINER)} THEN 'cube' ELSE {vtype} END)"
 
 
-def moq(delivery: Column, vtype: Column, amount: Column) -> Column:
+def moq_sql(delivery: str, vtype: str, amount: str) -> str:
     """Minimum order quantity with the container and full-truck floors."""
     return (
-        F.when((delivery == F.lit(DELIVERY_CONTAINER)) & (amount < F.lit(CONTAINER_MOQ_BELOW)), F.lit(CONTAINER_MOQ))
-        .when(
-            (delivery == F.lit(DELIVERY_FULL_TRUCK))
-            & (vtype == F.lit("weight"))
-            & (amount < F.lit(FULL_TRUCK_WEIGHT_MOQ_BELOW)),
-            F.lit(FULL_TRUCK_WEIGHT_MOQ),
-        )
-        .otherwise(amount)
-        .cast("double")
+        f"CAST(CASE WHEN {delivery} = {text(DELIVERY_CONTAINER)} AND {amount} < {dbl(CONTAINER_MOQ_BELOW)}"
+        f" THEN {dbl(CONTAINER_MOQ)}"
+        f" WHEN {delivery} = {text(DELIVERY_FULL_TRUCK)} AND {vtype} = 'weight'"
+        f" AND {amount} < {dbl(FULL_TRUCK_WEIGHT_MOQ_BELOW)} THEN {dbl(FULL_TRUCK_WEIGHT_MOQ)}"
+        f" ELSE {amount} END AS DOUBLE)"
     )
 
 
+def min_type() -> Column:
+    return F.expr(min_type_sql())
+
+
+def min_amount(override_amount: str | None, fallback: float) -> Column:
+    return F.expr(min_amount_sql(override_amount, fallback))
+
+
+def container_type(delivery: str, vtype: str) -> Column:
+    return F.expr(container_type_sql(delivery, vtype))
+
+
+def moq(delivery: str, vtype: str, amount: str) -> Column:
+    return F.expr(moq_sql(delivery, vtype, amount))
+
+
 def vendors_at(vendor_location: DataFrame, cfg: PlanConfig) -> DataFrame:
     """Vendor-location rows of the as-of day, locations and status of ``cfg``."""
     v = at_snapshot(vendor_location, "snapshot_date", cfg.as_of)
@@ -96,15 +106,19 @@ def vendor_minimums(vendor_location: DataFrame, cfg: PlanConfig, overrides: Data
     need_ov = overrides is not None and (cfg.use_min_override or cfg.use_delivery_override)
     if need_ov:
         v = with_overrides(v, overrides, cfg)
-    delivery = F.col("vendor_delivery_type")
+    delivery = "vendor_delivery_type"
     if need_ov and cfg.use_delivery_override:
-        delivery = F.coalesce(F.col("_ov_delivery"), delivery)
-    ov_amount = F.col("_ov_amount") if (need_ov and cfg.use_min_override) else None
-    v = v.withColumn("raw_min_type", min_type())
-    v = v.withColumn("min_planning_amount", min_amount(ov_amount, cfg.min_fallback))
-    v = v.withColumn("vendor_delivery_type", delivery)
-    v = v.withColumn("vendor_min_type", container_type(F.col("vendor_delivery_type"), F.col("raw_min_type")))
-    v = v.withColumn(
-        "moq", moq(F.col("vendor_delivery_type"), F.col("vendor_min_type"), F.col("min_planning_amount"))
+        delivery = "coalesce(_ov_delivery, vendor_delivery_type)"
+    ov_amount = "_ov_amount" if (need_ov and cfg.use_min_override) else None
+    v = v.withColumns(
+        {
+            "raw_min_type": F.expr(min_type_sql()),
+            "min_planning_amount": F.expr(min_amount_sql(ov_amount, cfg.min_fallback)),
+            "vendor_delivery_type": F.expr(delivery),
+        }
     )
-    return v.drop("_ov_delivery", "_ov_amount")
+    v = v.withColumn("vendor_min_type", F.expr(container_type_sql("vendor_delivery_type", "raw_min_type")))
+    v = v.withColumn("moq", F.expr(moq_sql("vendor_delivery_type", "vendor_min_type", "min_planning_amount")))
+    if need_ov:
+        v = v.drop("_ov_delivery", "_ov_amount")
+    return v

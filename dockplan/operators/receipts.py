@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockplan.config import RECEIPT_TRAN_TYPE, TRANSFER_DOCUMENT, PlanConfig
-from dockplan.functions.numeric import ieee_div
+from dockplan.functions.numeric import ieee_div_sql
 from dockplan.sources.tables import at_location
 
 
@@ -49,15 +49,15 @@ def receipt_upt_by_document(receipts: DataFrame, docs: DataFrame, vendors: DataF
     )
     links = document_vendors(docs, vendors)
     j = per_doc.join(links, per_doc.control_number == links.document_number, "inner")
-    units = F.col("_units") * F.col("links").cast("double")
-    return j.select(
+    units = "(_units * CAST(links AS DOUBLE))"
+    return j.selectExpr(
         "vendor_number",
         "vendor_name",
         "wh_id",
         "control_number",
-        F.col("num_unique_skus").cast("long").alias("num_unique_skus"),
-        units.alias("num_units"),
-        ieee_div(units, F.col("num_unique_skus")).alias("upt"),
+        "CAST(num_unique_skus AS BIGINT) AS num_unique_skus",
+        f"{units} AS num_units",
+        f"{ieee_div_sql(units, 'num_unique_skus')} AS upt",
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockplan import config
-from dockplan.functions.numeric import ieee_div, stable_round
+from dockplan.functions.numeric import ieee_div_sql, stable_round_sql
 from dockplan.functions.ordering import ordered_index
 from dockplan.operators import cadence, demand, leveling, loads, minimums, receipts
 from dockplan.operators import schedule as sched
@@ -32,10 +32,10 @@ DRILL_VENDORS = ("V3", "V17", "V42", "V58")
 def finish(df: DataFrame) -> DataFrame:
     """Stable rounding of every double column; other columns unchanged."""
     cols = [
-        stable_round(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        f"{stable_round_sql(f'`{f.name}`')} AS `{f.name}`" if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
         for f in df.schema.fields
     ]
-    return df.select(*cols)
+    return df.selectExpr(*cols)
 
 
 class _LazyTables(dict):
@@ -265,9 +265,9 @@ def q_order_cadence(spark, d):
 
 def q_order_cadence_clamp(spark, d):
     w = reports.vendor_weekly(_t(spark, d), SNAP)
-    w = w.withColumn("_ratio", ieee_div(F.col("avg_per_week_in_uom"), F.col("moq")))
+    w = w.withColumn("_ratio", F.expr(ieee_div_sql("avg_per_week_in_uom", "moq")))
     return w.select("location_code", "vendor_number", "vendor_lead_time_business_days",
-                    cadence.cadence_clamp(F.col("_ratio")).alias("orders_clamped"))
+                    cadence.cadence_clamp("_ratio").alias("orders_clamped"))
 
 
 def q_per_order_measures(spark, d):
@@ -414,7 +414,7 @@ def _fixture_attrs(spark, d):
     v = reports.vendor_minimums(t, WP.with_(vendor_status=None)).select(
         "location_code",
         "vendor_number",
-        leveling.trunc_long(F.col("moq")).alias("moq"),
+        leveling.trunc_long("moq").alias("moq"),
         F.col("vendor_min_type").alias("unit"),
         F.col("vendor_delivery_type").alias("delivery_type"),
         F.col("vendor_purchaser_code").alias("purchaser_code"),

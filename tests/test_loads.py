@@ -10,7 +10,7 @@ CFG = config.weekly_plan(__import__("datetime").date(2000, 1, 1))
 
 def test_weekly_qty_snapshot(spark):
     df = spark.createDataFrame([(None, "unit"), (None, "undefined"), (2.0, "cube")], "d double, t string")
-    got = [r[0] for r in df.select(loads.weekly_qty_snapshot(F.col("d"), F.col("t"))).collect()]
+    got = [r[0] for r in df.select(loads.weekly_qty_snapshot("d", "t")).collect()]
     assert got == [0.0, None, 14.0]
 
 
@@ -18,9 +18,7 @@ def test_weekly_uom(spark):
     df = spark.createDataFrame(
         [("pallet", 12.0, 48.0, 1.0), ("pallet", 12.0, 0.0, 1.0), ("case", 0.0, 1.0, 0.0), ("undefined", 5.0, 1.0, 1.0)],
         "t string, q double, pq double, cq double")
-    c = F.col
-    got = [r[0] for r in df.select(loads.weekly_uom(c("t"), c("q"), F.lit(1.0), F.lit(1.0), c("pq"), F.lit(1.0),
-                                                    c("cq"))).collect()]
+    got = [r[0] for r in df.select(loads.weekly_uom("t", "q", "1.0D", "1.0D", "pq", "1.0D", "cq")).collect()]
     assert got[0] == 0.25 and got[1] == math.inf and math.isnan(got[2]) and got[3] is None
 
 
@@ -28,8 +26,7 @@ def test_truckloads_by_type(spark):
     df = spark.createDataFrame([("cube", 10.0, 41500.0, 10.0, 1.0), ("dollar", 10.0, None, 10.0, 1.0),
                                 ("dollar", 10.0, 4150.0, 1.0, 4200.0)],
                                "t string, q double, cube double, pq double, w double")
-    c = F.col
-    got = [r[0] for r in df.select(loads.truckloads_by_type(c("t"), c("q"), c("cube"), c("pq"), c("w"), CFG)).collect()]
+    got = [r[0] for r in df.select(loads.truckloads_by_type("t", "q", "cube", "pq", "w", CFG)).collect()]
     assert abs(got[0] - 0.1) < 1e-12 and got[1] is None and abs(got[2] - 0.01) < 1e-12
 
 
