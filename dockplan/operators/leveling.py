@@ -31,21 +31,6 @@ from dockplan.session import cut_lineage
 
 _LONG_MAX = 9.2e18
 
-PLAN_COLUMNS = (
-    "location_code",
-    "vendor_number",
-    "vendor_name",
-    "vendor_lead_time_business_days",
-    "weekly_units",
-    "orders",
-    "moq",
-    "unit",
-    "delivery_type",
-    "purchaser_code",
-    "ship_code",
-    "dist_code",
-)
-
 
 def trunc_long_sql(c: str) -> str:
     """int(x): truncate toward zero; NULL for NaN, Infinity and NULL.

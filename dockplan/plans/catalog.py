@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from dockplan import config
 from dockplan.functions.numeric import ieee_div_sql, stable_round_sql
 from dockplan.functions.ordering import ordered_index
-from dockplan.operators import cadence, demand, leveling, loads, minimums, receipts
+from dockplan.operators import cadence, demand, leveling, loads, receipts
 from dockplan.operators import schedule as sched
 from dockplan.plans import reports
 from dockplan.session import cut_lineage
