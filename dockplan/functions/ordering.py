@@ -57,7 +57,14 @@ def ordered_index(
     # At most (partitions + groups) rows: earlier partitions' counts per group.
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    out = ranged.withColumn("_pid", pid).join(stats.drop("_cnt"), on=["_pid", *group], how="inner")
+    # Null-safe on the group keys: a NULL group is a group like any other.
+    renamed = {g: f"_g{i}" for i, g in enumerate(group)}
+    stats = stats.drop("_cnt").withColumnsRenamed(renamed)
+    left = ranged.withColumn("_pid", pid)
+    cond = left["_pid"] == stats["_pid"]
+    for g, r in renamed.items():
+        cond = cond & left[g].eqNullSafe(stats[r])
+    out = left.join(stats, cond, "inner").drop(stats["_pid"]).drop(*renamed.values())
     out = out.withColumn(name, (F.col("_before") + F.col("_mid") - F.col("_first")).cast("long"))
     return out.drop("_pid", "_mid", "_first", "_before")
 

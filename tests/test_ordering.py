@@ -22,3 +22,11 @@ def test_global_index_is_dense(spark):
 
 def test_has_at_most(spark):
     assert has_at_most(spark.range(10), 10) and not has_at_most(spark.range(11), 10)
+
+
+def test_null_group_keys_kept(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 5), (None, 2)], "g string, v int")
+    key = lambda t: (t[0] is None, t[0] or "", t[1])
+    got = sorted(((r["g"], r["v"], r["i"]) for r in ordered_index(df, order=["v"], group=["g"], name="i").collect()),
+                 key=key)
+    assert got == sorted([(None, 1, 0), (None, 2, 1), (None, 3, 2), ("a", 2, 0), ("a", 5, 1)], key=key)
