@@ -9,7 +9,7 @@ three; the presets at the bottom give the three known shapes.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Category labels and planning constants the reports compare
 # against. They must stay exactly as written for results to agree.
@@ -87,7 +87,6 @@ class PlanConfig:
     house_ship_methods: tuple[str, ...] = ("HOUSE", "HOUSE.COM")
     single_order_delivery_types: tuple[str, ...] = (DELIVERY_LESS_TRUCK, DELIVERY_SMALL_PARCEL)
 
-    per_order: bool = True
     with_upt: bool = False
     upt_join_on_location: bool = False
     upt_since: dt.date | None = None
@@ -102,6 +101,9 @@ class PlanConfig:
     receiving_days: int = RECEIVING_DAYS
     max_units_per_day: int = MAX_UNITS_PER_DAY
     level_mode: str = "auto"  # "auto", "lpt" or "snake"
+    # No schedule for a location when any of its vendors is infeasible (as the
+    # source gives no schedule when its model is infeasible).
+    all_or_nothing: bool = False
     # Locations with at most this many vendors are levelled greedily in one
     # task; larger ones use the distributed snake order.
     lpt_max_vendors: int = 50000
@@ -109,8 +111,6 @@ class PlanConfig:
     # Broadcast a dimension only when it has at most this many rows.
     broadcast_max_rows: int = 1_000_000
 
-    extra: dict = field(default_factory=dict)
-
     def with_(self, **kw) -> "PlanConfig":
         return replace(self, **kw)
 
@@ -131,7 +131,6 @@ def snapshot_report(as_of: dt.date, location: str | None) -> PlanConfig:
         min_fallback=1.0,
         truckloads="by_type",
         single_order_delivery_types=(),
-        per_order=True,
         with_upt=True,
         finite_filter=True,
     )
@@ -148,7 +147,6 @@ def horizon_report(as_of: dt.date, vendors: tuple[str, ...] | None = None) -> Pl
         forecast_vendor_join="after_sum",
         product_dims=True,
         truckloads="weight_pallet",
-        per_order=False,
         vendors=vendors,
     )
 
@@ -164,5 +162,4 @@ def weekly_plan(as_of: dt.date, location: str | None = None) -> PlanConfig:
         forecast_vendor_join="primary_before_sum",
         use_delivery_override=True,
         truckloads="by_type",
-        per_order=True,
     )

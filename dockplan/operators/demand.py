@@ -125,14 +125,19 @@ def forecast_by_primary_vendor_uoms(forecast: DataFrame, ilv: DataFrame, cfg: Pl
 
 
 def eligible_items(ilv: DataFrame, inv: DataFrame, cfg: PlanConfig) -> tuple[DataFrame, DataFrame]:
-    """The six item predicates of the snapshot report, on each input."""
-    i = item_vendors_at(ilv, cfg).where(
-        "product_discontinued_flag <=> false AND product_published_flag <=> true"
-        " AND primary_vendor_flag <=> true AND purchase_source_location IS NULL"
-    )
-    s = at_location(at_snapshot(inv, "snapshot_date", cfg.as_of), "location_code", cfg.locations).where(
-        "managed_flag <=> true AND location_discontinued_flag <=> false"
-    )
+    """The six item predicates of the snapshot report, on each input.
+
+    With ``cfg.eligible_item_filters`` off only the snapshot and location
+    predicates apply.
+    """
+    i = item_vendors_at(ilv, cfg)
+    s = at_location(at_snapshot(inv, "snapshot_date", cfg.as_of), "location_code", cfg.locations)
+    if cfg.eligible_item_filters:
+        i = i.where(
+            "product_discontinued_flag <=> false AND product_published_flag <=> true"
+            " AND primary_vendor_flag <=> true AND purchase_source_location IS NULL"
+        )
+        s = s.where("managed_flag <=> true AND location_discontinued_flag <=> false")
     return i, s
 
 

@@ -113,7 +113,13 @@ def infeasible_vendors(sized: DataFrame, cfg: PlanConfig) -> DataFrame:
 
 
 def feasible(sized: DataFrame, cfg: PlanConfig) -> DataFrame:
-    return sized.where(infeasible_reason(cfg).isNull())
+    """Vendors that can be scheduled; with ``cfg.all_or_nothing``, none of a
+    location that has an infeasible vendor (a left anti join on the location)."""
+    ok = sized.where(infeasible_reason(cfg).isNull())
+    if cfg.all_or_nothing:
+        bad = sized.where(infeasible_reason(cfg).isNotNull()).select("location_code").distinct()
+        ok = ok.join(bad, "location_code", "left_anti")
+    return ok
 
 
 def candidate_days(plan: DataFrame, cfg: PlanConfig) -> DataFrame:

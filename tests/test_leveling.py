@@ -88,3 +88,12 @@ def test_schedule_serial_and_csv(spark, tmp_path):
     write_schedule(sch, out)
     back = spark.read.option("header", True).csv(out)
     assert back.count() == len(got) and back.columns[0] == "serial_no"
+
+
+def test_all_or_nothing_drops_location(spark):
+    p = _plan(spark, [("L1", "A", "a", 1, 10, 2), ("L1", "B", "b", 1, 10, 0), ("L2", "C", "c", 1, 10, 2)])
+    sized = leveling.order_size(p, CFG)
+    keep = {r["location_code"] for r in leveling.level_days(sized, CFG, mode="snake").collect()}
+    strict = {r["location_code"] for r in leveling.level_days(sized, CFG.with_(all_or_nothing=True),
+                                                               mode="snake").collect()}
+    assert keep == {"L1", "L2"} and strict == {"L2"}
