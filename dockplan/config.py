@@ -111,6 +111,22 @@ class PlanConfig:
     # Broadcast a dimension only when it has at most this many rows.
     broadcast_max_rows: int = 1_000_000
 
+    def __post_init__(self):
+        choices = {
+            "demand": ("snapshot", "horizon"),
+            "forecast_vendor_join": ("after_sum", "primary_before_sum"),
+            "case_divisor": ("vendor_uom_qty", "base_uom_qty"),
+            "lead_time_from": ("vendor_location", "item_vendor"),
+            "truckloads": ("by_type", "weight_pallet"),
+            "null_extrema": ("propagate", "skip"),
+            "level_mode": ("auto", "lpt", "snake"),
+        }
+        for name, allowed in choices.items():
+            if getattr(self, name) not in allowed:
+                raise ValueError(f"PlanConfig.{name} must be one of {allowed}, got {getattr(self, name)!r}")
+        if self.receiving_days < 1 or self.horizon_days < 1 or self.weeks_in_horizon <= 0:
+            raise ValueError("receiving_days, horizon_days and weeks_in_horizon must be positive")
+
     def with_(self, **kw) -> "PlanConfig":
         return replace(self, **kw)
 

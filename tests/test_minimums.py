@@ -80,3 +80,10 @@ def test_moq_floor_property(rows):
             assert r["moq"] >= r["min_planning_amount"]
         else:
             assert r["moq"] == r["min_planning_amount"]
+
+
+def test_config_rejects_unknown_choice():
+    import pytest
+
+    with pytest.raises(ValueError):
+        config.weekly_plan(AS_OF).with_(level_mode="snak")
