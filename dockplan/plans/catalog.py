@@ -27,6 +27,7 @@ HOR = config.horizon_report(AS_OF)
 WP = config.weekly_plan(AS_OF)
 ALL_SITES_UPT = SNAP.with_(locations=None)
 DRILL_VENDORS = ("V3", "V17", "V42", "V58")
+UPT_SINCE = __import__("datetime").date(1999, 1, 1)
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -290,6 +291,12 @@ def q_vendor_upt(spark, d):
     return finish(receipts.vendor_upt(t["receipt_log"], t["procurement_docs"], t["vendors"], ALL_SITES_UPT))
 
 
+def q_vendor_upt_since(spark, d):
+    t = _t(spark, d)
+    cfg = ALL_SITES_UPT.with_(upt_since=UPT_SINCE)
+    return finish(receipts.vendor_upt(t["receipt_log"], t["procurement_docs"], t["vendors"], cfg))
+
+
 # -- reports -------------------------------------------------------------------
 
 def q_report_snapshot(spark, d):
@@ -304,6 +311,11 @@ def q_report_self_join(spark, d):
     return finish(reports.report_snapshot(_t(spark, d), SNAP.with_(compat_self_join=True)))
 
 
+def q_report_snapshot_all_sites(spark, d):
+    cfg = SNAP.with_(locations=None, upt_join_on_location=True)
+    return finish(reports.report_snapshot(_t(spark, d), cfg))
+
+
 def q_report_horizon(spark, d):
     return finish(reports.report_horizon(_t(spark, d), HOR))
 
