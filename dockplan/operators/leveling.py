@@ -149,7 +149,7 @@ def level_snake(sized: DataFrame, cfg: PlanConfig) -> DataFrame:
     return out.withColumn("units", F.col("order_units"))
 
 
-def _lpt_schema(sized: DataFrame) -> T.StructType:
+def _lpt_schema() -> T.StructType:
     return T.StructType(
         [
             T.StructField("location_code", T.StringType()),
@@ -178,7 +178,7 @@ def _lpt_days(days: int):
 def level_lpt(sized: DataFrame, cfg: PlanConfig) -> DataFrame:
     """Greedy largest-first levelling, one location per pandas task (L3)."""
     slim = sized.select("location_code", "vendor_number", "orders", "order_units")
-    days = slim.groupBy("location_code").applyInPandas(_lpt_days(cfg.receiving_days), _lpt_schema(sized))
+    days = slim.groupBy("location_code").applyInPandas(_lpt_days(cfg.receiving_days), _lpt_schema())
     out = sized.join(days, ["location_code", "vendor_number"], "inner")
     return out.withColumn("day_index", F.col("day_index").cast("int")).withColumn("units", F.col("order_units"))
 
