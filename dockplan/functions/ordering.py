@@ -60,6 +60,9 @@ def ordered_index(
     # Null-safe on the group keys: a NULL group is a group like any other.
     renamed = {g: f"_g{i}" for i, g in enumerate(group)}
     stats = stats.drop("_cnt").withColumnsRenamed(renamed)
+    if not group:
+        # One row per partition: at most num_partitions rows, known here.
+        stats = F.broadcast(stats)
     left = ranged.withColumn("_pid", pid)
     cond = left["_pid"] == stats["_pid"]
     for g, r in renamed.items():
