@@ -14,7 +14,7 @@ from tests.oracle_check import compare, duck
 SF = "/root/testdata/sf0.001"
 DEFAULT = ["report_weekly_plan", "report_horizon", "report_snapshot", "report_self_join", "vendor_upt",
            "weekly_schedule", "schedule", "audit_schedule", "audit_schedule_lpt", "infeasible_vendors",
-           "planning_minimum_fallback", "item_weekly"]
+           "planning_minimum_fallback", "item_weekly", "report_snapshot_all_sites", "vendor_upt_since"]
 KEYS = sorted(E.queries()) if os.environ.get("DOCKPLAN_FULL_ORACLE") else DEFAULT
 
 
