@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,3 +69,20 @@ def stored(df: DataFrame) -> DataFrame:
 
 def power_of_two_at_least(n: float) -> int:
     return 1 << max(0, math.ceil(math.log2(max(1.0, n))))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application: executors see none of the driver's folders."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="dockplan-ship-")) / "dockplan.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from dockplan.llm import quality, sharding
+from dockplan.llm import bpe_chunks, chat, pii, quality, sharding, token_store
 
 QUERIES = {
+    "op2_information_pii": pii.op2_information_pii,
+    "op4_chunk_reuse_bpe": bpe_chunks.op4_chunk_reuse_bpe,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_event_sourced_chat": chat.op7_event_sourced_chat,
+    "op8_perfect_hash_ids": token_store.op8_perfect_hash_ids,
     "op10_rendezvous_sharding": sharding.op10_rendezvous_sharding,
 }
 
