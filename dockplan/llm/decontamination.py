@@ -51,7 +51,7 @@ class Words:
     def __call__(self, raw: list[str]) -> np.ndarray:
         if len(self.known) > self.limit:
             self.known = {}
-        for w in set(raw) - self.known.keys():
+        for w in {x for x in raw if x not in self.known}:
             bare = w.strip(EDGE)
             self.known[w] = xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass")) | 1 if bare else 0
         return np.fromiter(map(self.known.__getitem__, raw), dtype=np.uint64, count=len(raw))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from dockplan.llm import bpe_chunks, chat, pii, quality, sharding, token_store
+from dockplan.llm import bpe_chunks, chat, decontamination, pii, quality, sharding, token_store, toxicity
 
 QUERIES = {
+    "op1_seed_and_align_decontamination": decontamination.op1_seed_and_align_decontamination,
     "op2_information_pii": pii.op2_information_pii,
     "op4_chunk_reuse_bpe": bpe_chunks.op4_chunk_reuse_bpe,
+    "op5_kneser_ney_toxicity": toxicity.op5_kneser_ney_toxicity,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_event_sourced_chat": chat.op7_event_sourced_chat,
     "op8_perfect_hash_ids": token_store.op8_perfect_hash_ids,

@@ -85,7 +85,7 @@ class WordRatios:
     def __call__(self, words: list[str]) -> np.ndarray:
         if len(self.known) > self.limit:
             self.known = {}
-        new = list(set(words) - self.known.keys())
+        new = list({w for w in words if w not in self.known})
         if new:
             self.known.update(zip(new, self._new(new)))
         return np.fromiter(map(self.known.__getitem__, words), dtype=np.float64, count=len(words))
