@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockplan.llm.common import ship, table, whole_text
+from dockplan.llm.pieces import Pieces
 
 WINDOW = 8
 CUT_BITS = 7  # a cut every 128 bytes on average
@@ -74,34 +75,21 @@ def edges(chunk: str) -> tuple[int, int]:
 class ChunkEncoder:
     """Texts to ids, with bounded caches of chunks and pieces."""
 
-    def __init__(self, path: str, chunk_limit: int = 150_000, piece_limit: int = 300_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.chunk_limit, self.piece_limit = chunk_limit, piece_limit
+    def __init__(self, path: str, chunk_limit: int = 100_000, piece_limit: int = 400_000):
+        self.pieces = Pieces(path, piece_limit)
+        self.tokenizer, self.dtype = self.pieces.tokenizer, self.pieces.dtype
+        self.chunk_limit = chunk_limit
         self.chunks: dict[bytes, tuple[str, bytes | None, str]] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def _learn(self, texts: list[str]) -> None:
         """Encode the pieces of ``texts`` that are not known yet."""
-        new: set[str] = set()
-        for t in texts:
-            new.update(t.split(" "))
-        todo = list(new - self.pieces.keys())
-        for k in range(0, len(todo), 20_000):
-            part = todo[k : k + 20_000]
-            got = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            self.pieces.update((p, np.array(e.ids, dtype=self.dtype).tobytes()) for p, e in zip(part, got))
+        self.pieces.learn({p for t in texts for p in t.split(" ")})
 
     def _join(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, text.split(" ")))
+        return b"".join(map(self.pieces.known.__getitem__, text.split(" ")))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.pieces) > self.piece_limit:
-            self.pieces = {}
+        self.pieces.trim()
         if len(self.chunks) > self.chunk_limit:
             self.chunks = {}
         cut, fresh = [], {}

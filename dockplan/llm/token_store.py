@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockplan.llm.common import scratch_dir, ship, stored, table, whole_text
-from dockplan.llm.pieces import PieceEncoder
+from dockplan.llm.pieces import ByteEncoder
 
 MAGIC = b"IDSHARD1"
 FOOT = "<QQI8s"
@@ -45,13 +45,13 @@ END_ID = 2
 KEYS_PER_INDEX = 100_000
 SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("first", "<u8"), ("count", "<u8")])
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[str, ByteEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str) -> ByteEncoder:
     """One encoder per worker process and vocabulary."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
+        _ENCODERS[path] = ByteEncoder(path)
     return _ENCODERS[path]
 
 
