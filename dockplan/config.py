@@ -100,16 +100,9 @@ class PlanConfig:
     week_start: dt.date = dt.date(2019, 8, 12)
     receiving_days: int = RECEIVING_DAYS
     max_units_per_day: int = MAX_UNITS_PER_DAY
-    level_mode: str = "auto"  # "auto", "lpt" or "snake"
     # No schedule for a location when any of its vendors is infeasible (as the
     # source gives no schedule when its model is infeasible).
     all_or_nothing: bool = False
-    # Locations with at most this many vendors are levelled greedily in one
-    # task; larger ones use the distributed snake order.
-    lpt_max_vendors: int = 50000
-
-    # Broadcast a dimension only when it has at most this many rows.
-    broadcast_max_rows: int = 1_000_000
 
     def __post_init__(self):
         choices = {
@@ -119,11 +112,12 @@ class PlanConfig:
             "lead_time_from": ("vendor_location", "item_vendor"),
             "truckloads": ("by_type", "weight_pallet"),
             "null_extrema": ("propagate", "skip"),
-            "level_mode": ("auto", "lpt", "snake"),
         }
         for name, allowed in choices.items():
             if getattr(self, name) not in allowed:
                 raise ValueError(f"PlanConfig.{name} must be one of {allowed}, got {getattr(self, name)!r}")
+        if self.with_upt and not self.upt_join_on_location and (self.locations is None or len(self.locations) != 1):
+            raise ValueError("with_upt over several locations needs upt_join_on_location: a vendor has a rate per site")
         if self.receiving_days < 1 or self.horizon_days < 1 or self.weeks_in_horizon <= 0:
             raise ValueError("receiving_days, horizon_days and weeks_in_horizon must be positive")
 
@@ -136,6 +130,7 @@ def snapshot_report(as_of: dt.date, location: str | None) -> PlanConfig:
     return PlanConfig(
         as_of=as_of,
         locations=None if location is None else (location,),
+        upt_join_on_location=location is None,
         vendor_status=None,
         demand="snapshot",
         eligible_item_filters=True,
@@ -172,6 +167,7 @@ def weekly_plan(as_of: dt.date, location: str | None = None) -> PlanConfig:
     return PlanConfig(
         as_of=as_of,
         locations=None if location is None else (location,),
+        upt_join_on_location=location is None,
         vendor_status="Enabled",
         demand="horizon",
         weeks_in_horizon=12.0,

@@ -9,7 +9,7 @@ from dockplan.functions.numeric import (
     not_pos_infinity,
     stable_round,
 )
-from dockplan.functions.ordering import has_at_most, ordered_index, sized_broadcast
+from dockplan.functions.ordering import ordered_index, running_total
 
 __all__ = [
     "busday_add",
@@ -21,7 +21,6 @@ __all__ = [
     "least_of",
     "not_pos_infinity",
     "stable_round",
-    "has_at_most",
     "ordered_index",
-    "sized_broadcast",
+    "running_total",
 ]

@@ -1,86 +1,90 @@
-"""Distributed positions under a total order, and size-checked broadcasts.
-
-``ordered_index`` numbers rows 0, 1, 2, ... inside each group under a total
-order without sending a group to one task: a range shuffle sorts the rows
-across all partitions, every row learns its position inside its partition
-from ``monotonically_increasing_id`` (partition id in the upper 31 bits, row
-number in the lower 33), and a small per-(partition, group) count table turns
-those into group positions. A single-partition window would instead move a
-whole group, or the whole table for a global number, into one task.
+"""Distributed positions and running sums under a total order.
+
+``running_total`` gives every row the sum of a value over the rows before it
+in its group, without sending a group to one task. Rows are cut into buckets
+by *literal* bounds of the sort key, so a row's bucket is a pure function of
+its key: sums per (group, bucket) give the offsets, a window inside (group,
+bucket) the rest. The two evaluations agree whatever the partitioning, the
+number of partitions, retries or the size of the data.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockplan.session import cut_lineage
+#: Key tuples sampled per bound.
+SAMPLES_PER_BOUND = 32
+
+
+def _key(order: list) -> Column:
+    return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order)])
 
 
-def _sort_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _literal(value, data_type) -> Column:
+    if value is None or isinstance(value, (bool, int, float, str, dt.date, dt.datetime, Decimal)):
+        return F.lit(value).cast(data_type)
+    raise TypeError(f"no literal for a sort key of type {type(value).__name__}")
+
+
+def key_bounds(df: DataFrame, order: list, buckets: int) -> list[Column]:
+    """At most ``buckets - 1`` ascending key tuples as literals.
+
+    One job: the keys with the smallest hashes (a fixed number per bound) are
+    sorted and every n-th comes to the driver.
+    """
+    keys = df.select(_key(order).alias("_key")).select("_key.*")
+    sample = keys.orderBy(F.xxhash64(*keys.columns), *keys.columns).limit(buckets * SAMPLES_PER_BOUND)
+    rows = sorted_rows(sample)
+    cut = [rows[i * len(rows) // buckets] for i in range(1, buckets)] if rows else []
+    types = [f.dataType for f in keys.schema.fields]
+    return [F.struct(*[_literal(v, t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, types))])
+            for r in dict.fromkeys(tuple(r) for r in cut)]
 
 
-def ordered_index(
+def sorted_rows(df: DataFrame) -> list:
+    return df.orderBy(*df.columns).collect()
+
+
+def running_total(
     df: DataFrame,
     order: list,
     group: list[str] | tuple[str, ...] = (),
-    name: str = "idx",
-    num_partitions: int | None = None,
-    materialize: bool = False,
+    value: Column | None = None,
+    name: str = "before",
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Add ``name``: 0-based position of the row in its group under ``order``.
-
-    ``order`` must make the order total inside a group (end with a unique
-    key), otherwise positions of tied rows are arbitrary. The ids are read
-    twice (per-partition counts, join back); both reads share the one range
-    exchange, whose partition count is fixed and whose rows are sorted by a
-    total order, so a recomputed partition gets the same ids. ``materialize``
-    writes the numbered rows to the checkpoint folder first instead.
+    """Add ``name``: the sum of ``value`` over the earlier rows of the group.
+
+    ``order`` lists ascending sort keys (negate a number to descend; NULLs
+    first) and must be total inside a group. Taking the bounds runs one job.
     """
     spark = df.sparkSession
     group = list(group)
-    keys = [F.col(g) for g in group] + [_sort_col(c) for c in order]
-    if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # An explicit partition count keeps AQE from coalescing the range
-    # partitions, so both reads below see the same partition ids.
-    ranged = df.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)
-    ranged = ranged.withColumn("_mid", F.monotonically_increasing_id())
-    if materialize:
-        # Ids read twice (counts, join back) come from one written table.
-        ranged = cut_lineage(ranged)
-    pid = F.shiftright(F.col("_mid"), 33)
-    stats = ranged.groupBy(pid.alias("_pid"), *group).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")
-    )
-    # At most (partitions + groups) rows: earlier partitions' counts per group.
-    w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    # Null-safe on the group keys: a NULL group is a group like any other.
+    buckets = buckets or min(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bounds = key_bounds(df, order, buckets)
+    value = F.lit(1) if value is None else value
+    bucket = F.size(F.filter(F.array(*bounds), lambda b: b < _key(order))) if bounds else F.lit(0)
+    rows = df.withColumn("_bucket", bucket).withColumn("_value", value.cast("long"))
+    sums = rows.groupBy(*group, "_bucket").agg(F.sum("_value").alias("_sum"))
+    # One row per (group, bucket).
+    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     renamed = {g: f"_g{i}" for i, g in enumerate(group)}
-    stats = stats.drop("_cnt").withColumnsRenamed(renamed)
-    if not group:
-        # One row per partition: at most num_partitions rows, known here.
-        stats = F.broadcast(stats)
-    left = ranged.withColumn("_pid", pid)
-    cond = left["_pid"] == stats["_pid"]
+    offsets = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
+    offsets = offsets.withColumnsRenamed(renamed).withColumnRenamed("_bucket", "_b")
+    inside = Window.partitionBy(*group, "_bucket").orderBy(_key(order)).rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumn("_local", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+    on = F.col("_bucket") == F.col("_b")
     for g, r in renamed.items():
-        cond = cond & left[g].eqNullSafe(stats[r])
-    out = left.join(stats, cond, "inner").drop(stats["_pid"]).drop(*renamed.values())
-    out = out.withColumn(name, (F.col("_before") + F.col("_mid") - F.col("_first")).cast("long"))
-    return out.drop("_pid", "_mid", "_first", "_before")
-
+        on = on & F.col(g).eqNullSafe(F.col(r))  # a NULL group is a group like any other
+    out = local.join(offsets, on).withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
+    return out.drop("_bucket", "_value", "_local", "_offset", "_b", *renamed.values())
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
-
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise let AQE choose.
-
-    Above the bound the join stays a shuffle join (or AQE turns it into a
-    broadcast at run time if the real size is small).
-    """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def ordered_index(df: DataFrame, order: list, group: list[str] | tuple[str, ...] = (), name: str = "idx",
+                  buckets: int | None = None) -> DataFrame:
+    """Add ``name``: 0-based position of the row in its group under ``order``."""
+    return running_total(df, order, group, None, name, buckets)

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockplan.config import PlanConfig
-from dockplan.functions.ordering import sized_broadcast
 from dockplan.operators import loads
 from dockplan.sources.tables import at_location, at_snapshot, in_horizon
 
@@ -145,7 +144,7 @@ def _vendor_side(vmin: DataFrame, cfg: PlanConfig) -> DataFrame:
     cols = ["vendor_number", "location_code", *VENDOR_ATTRS, "moq"]
     if cfg.lead_time_from == "vendor_location":
         cols.append("vendor_lead_time_business_days")
-    return sized_broadcast(vmin.select(*cols), cfg.broadcast_max_rows)
+    return vmin.select(*cols)
 
 
 def snapshot_item_rows(tables: dict, vmin: DataFrame, cfg: PlanConfig) -> DataFrame:

@@ -2,32 +2,22 @@
 
 Vendor i needs s_i units on exactly n_i of D days; minimise the heaviest day.
 With integer units an optimum puts ceil(s_i / n_i) on each chosen day, so the
-job is to choose the days (L3). Two ways:
-
-* ``snake``: inside (location, n) vendors are numbered by order size,
-  descending, with a distributed sort (no group goes to one task); number r
-  starts on day p = r mod D on even rounds and D-1-p on odd rounds, and the
-  n days are spread evenly from there.
-* ``lpt``: largest order first onto the n lightest days, per location in one
-  pandas task. Used only for locations whose vendor count is checked to be
-  at most ``cfg.lpt_max_vendors``; larger locations take ``snake``.
-
-Neither promises the optimum; ``level_gap`` reports the distance to a lower bound.
+job is to choose the days (L3). ``level_days`` deals the orders out in falling
+size, one rule for every location size, as a running total that no single task
+computes. It does not promise the optimum: a location's peak exceeds its mean day
+by its largest order at most, and ``level_gap`` reports the distance to a lower
+bound.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dockplan.config import PlanConfig
 from dockplan.functions.calendar import busday_sub, receive_day_date
 from dockplan.functions.numeric import stable_round_sql
-from dockplan.functions.ordering import ordered_index, sized_broadcast
-from dockplan.session import cut_lineage
+from dockplan.functions.ordering import running_total
 
 _LONG_MAX = 9.2e18
 
@@ -128,83 +118,34 @@ def candidate_days(plan: DataFrame, cfg: PlanConfig) -> DataFrame:
     return g.withColumn("receive_date", receive_day_date(F.lit(cfg.week_start), F.col("day_index")))
 
 
-def level_snake(sized: DataFrame, cfg: PlanConfig) -> DataFrame:
-    """Snake day choice with a distributed rank inside (location, n) (L3)."""
+def level_days(sized: DataFrame, cfg: PlanConfig) -> DataFrame:
+    """Feasible vendors x chosen days with units per day (L3).
+
+    Orders are dealt like cards: vendors of a location in falling order size,
+    each taking as many consecutive slots as it has orders. D slots make a
+    round, and round r starts on day r, so the days take turns at the largest
+    orders of a round. A vendor has fewer than D slots, so its days differ; one
+    with an order on every day adds the same to all and takes no slot. The
+    first slot of a vendor is a running total over its location, at any size.
+    """
     d = cfg.receiving_days
-    ranked = ordered_index(
-        sized,
-        order=[F.col("order_units").desc(), F.col("vendor_number").asc()],
-        group=["location_code", "orders"],
-        name="rank",
+    daily = F.col("orders") >= d
+    dealt = running_total(
+        feasible(sized, cfg),
+        order=[-F.col("order_units"), "vendor_number"],
+        group=["location_code"],
+        value=F.when(daily, 0).otherwise(F.col("orders")),
+        name="_slot",
     )
-    rnd = F.floor(F.col("rank") / F.lit(d))
-    pos = F.col("rank") % F.lit(d)
-    start = F.when(rnd % 2 == 0, pos).otherwise(F.lit(d - 1) - pos)
-    n = F.col("orders")
+    slot = lambda m: F.col("_slot") + m
     days = F.transform(
-        F.sequence(F.lit(0), n - F.lit(1)),
-        lambda m: ((start + F.floor(m * F.lit(d) / n)) % F.lit(d) + F.lit(1)).cast("int"),
-    )
-    out = ranked.withColumn("day_index", F.explode(days)).drop("rank")
+        F.sequence(F.lit(0), F.col("orders") - F.lit(1)),
+        lambda m: F.when(daily, m).otherwise((slot(m) + F.floor(slot(m) / F.lit(d))) % F.lit(d)) + F.lit(1),
+    ).cast("array<int>")
+    out = dealt.withColumn("day_index", F.explode(days)).drop("_slot")
     return out.withColumn("units", F.col("order_units"))
 
 
-def _lpt_schema() -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("location_code", T.StringType()),
-            T.StructField("vendor_number", T.StringType()),
-            T.StructField("day_index", T.IntegerType()),
-        ]
-    )
-
-
-def _lpt_days(days: int):
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["order_units", "vendor_number"], ascending=[False, True], kind="mergesort")
-        load = np.zeros(days, dtype=np.int64)
-        out_v, out_d = [], []
-        for vendor, n, units in zip(pdf["vendor_number"], pdf["orders"], pdf["order_units"]):
-            chosen = np.lexsort((np.arange(days), load))[: int(n)]
-            load[chosen] += int(units)
-            out_v.extend([vendor] * len(chosen))
-            out_d.extend((chosen + 1).tolist())
-        loc = pdf["location_code"].iloc[0] if len(pdf) else None
-        return pd.DataFrame({"location_code": loc, "vendor_number": out_v, "day_index": out_d})
-
-    return assign
-
-
-def level_lpt(sized: DataFrame, cfg: PlanConfig) -> DataFrame:
-    """Greedy largest-first levelling, one location per pandas task (L3)."""
-    slim = sized.select("location_code", "vendor_number", "orders", "order_units")
-    days = slim.groupBy("location_code").applyInPandas(_lpt_days(cfg.receiving_days), _lpt_schema())
-    out = sized.join(days, ["location_code", "vendor_number"], "inner")
-    return out.withColumn("day_index", F.col("day_index").cast("int")).withColumn("units", F.col("order_units"))
-
-
-def level_days(sized: DataFrame, cfg: PlanConfig, mode: str | None = None) -> DataFrame:
-    """Feasible vendors x chosen days with units per day (L3).
-
-    ``auto`` sends locations with at most ``cfg.lpt_max_vendors`` vendors to
-    ``lpt`` and the rest to ``snake``; the split is a per-location count
-    joined back, so no location list passes through the driver.
-    """
-    mode = mode or cfg.level_mode
-    ok = feasible(sized, cfg)
-    if mode == "snake":
-        return level_snake(ok, cfg)
-    if mode == "lpt":
-        return level_lpt(ok, cfg)
-    counts = ok.groupBy("location_code").agg(F.count(F.lit(1)).alias("_vendors"))
-    # One row per location: broadcast it (checked) so the join back is not a
-    # shuffle keyed on location, which would put a large location in one task.
-    tagged = ok.join(sized_broadcast(counts, cfg.broadcast_max_rows), "location_code", "inner")
-    small = tagged.where(F.col("_vendors") <= F.lit(cfg.lpt_max_vendors)).drop("_vendors")
-    large = tagged.where(F.col("_vendors") > F.lit(cfg.lpt_max_vendors)).drop("_vendors")
-    return level_lpt(small, cfg).unionByName(level_snake(large, cfg))
-
-
 def with_dates(levelled: DataFrame, cfg: PlanConfig) -> DataFrame:
     """Receive date of the day and order date counted back in business days."""
     out = levelled.withColumn("receive_date", receive_day_date(F.lit(cfg.week_start), F.col("day_index")))
@@ -239,43 +180,48 @@ def level_gap(levelled: DataFrame, cfg: PlanConfig) -> DataFrame:
     )
 
 
-def audit_schedule(levelled: DataFrame, sized: DataFrame, cfg: PlanConfig) -> DataFrame:
-    """One row per rule of the integer program with its violation count (L4)."""
+def audit_schedule(schedule: DataFrame, sized: DataFrame, cfg: PlanConfig) -> DataFrame:
+    """One row per rule with its violations in a finished schedule (L4).
+
+    The schedule is checked as its readers get it, against the sized plan and
+    the reported peak, none of which it computed itself: one aggregate over the
+    schedule rows, one over the vendors, one over the days of a location.
+    """
     d = cfg.receiving_days
-    # Six rules read both inputs: materialise them once (checkpoint folder).
-    levelled = cut_lineage(levelled)
-    plan = cut_lineage(
-        feasible(sized, cfg).select("location_code", "vendor_number", "weekly_units", "orders", "order_size")
-    )
-    per_vendor = levelled.groupBy("location_code", "vendor_number").agg(
-        F.count_distinct("day_index").alias("_days"), F.sum("units").alias("_units")
-    )
-    pv = plan.join(per_vendor, ["location_code", "vendor_number"], "left")
-    loads = day_load(levelled)
-    peaks = loads.groupBy("location_code").agg(F.max("load").alias("_peak"))
-    over_peak = loads.join(peaks, "location_code").where(F.col("load") > F.col("_peak"))
-    rows = levelled.drop("order_size").join(
-        plan.select("location_code", "vendor_number", "order_size"), ["location_code", "vendor_number"], "left"
-    )
-    dup = levelled.groupBy("location_code", "vendor_number", "day_index").count().where(F.col("count") > 1)
-
-    def count_rule(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).cast("long").alias("violations")).select(
-            F.lit(name).alias("rule"), "violations"
-        )
-
-    parts = [
-        count_rule("day_load_within_peak", over_peak),
-        count_rule("days_equal_orders", pv.where(F.coalesce(F.col("_days"), F.lit(0)) != F.col("orders"))),
-        count_rule("units_cover_demand", pv.where(F.coalesce(F.col("_units"), F.lit(0)) < F.col("weekly_units"))),
-        count_rule("units_within_capacity", levelled.where(F.col("units") > F.lit(cfg.max_units_per_day))),
-        count_rule("units_at_least_order_size", rows.where(
-            F.col("order_size").isNull() | (F.col("units").cast("double") < F.col("order_size")))),
-        count_rule("binary_days_whole_units", levelled.where(
-            (F.col("day_index") < 1) | (F.col("day_index") > d) | (F.col("units") < 0)
-        ).select(F.lit(1).alias("x")).unionByName(dup.select(F.lit(1).alias("x")))),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    plan = feasible(sized, cfg).select("location_code", "vendor_number", "weekly_units", "orders", "order_size")
+    day = F.lit(cfg.week_start)
+    first, last = receive_day_date(day, F.lit(1)), receive_day_date(day, F.lit(d))
+    keyed = schedule.select("serial_no", "location_code", "vendor_number", "receive_date", "units")
+    vendors = keyed.groupBy("location_code", "vendor_number").agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_distinct("receive_date").alias("_days"), F.sum("units").alias("_units"),
+        F.max("units").alias("_largest"), F.min("units").alias("_smallest"))
+    pv = plan.withColumn("_planned", F.lit(True)).join(vendors, ["location_code", "vendor_number"], "full_outer")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    rules = {
+        "days_equal_orders": zero("_days") != zero("orders"),
+        "rows_equal_orders": zero("_rows") != zero("orders"),
+        "units_cover_demand": zero("_units") < zero("weekly_units"),
+        "units_at_least_order_size": F.col("_smallest").cast("double") < F.col("order_size"),
+        "units_within_capacity": zero("_largest") > F.lit(cfg.max_units_per_day),
+        "vendor_in_plan": F.col("_planned").isNull(),
+    }
+    of_vendors = pv.agg(*[F.count(F.when(c, 1)).alias(k) for k, c in rules.items()])
+    # The deal's guarantee: no day above the location's mean day by more than its largest order.
+    loads = keyed.groupBy("location_code", "receive_date").agg(F.sum("units").alias("_load"))
+    per_location = plan.groupBy("location_code").agg(
+        F.sum(F.ceil("order_size") * F.col("orders")).alias("_total"), F.max(F.ceil("order_size")).alias("_order"))
+    over = loads.join(per_location, "location_code", "left").where(
+        F.coalesce(F.col("_load") * d > F.col("_total") + F.col("_order") * d, F.lit(True)))
+    of_loads = over.agg(F.count(F.lit(1)).alias("day_load_near_mean"))
+    # Serials 1..n are dense and unique when their count, range and distinct count agree; each must follow its predecessor.
+    after = keyed.select((F.col("serial_no") + 1).alias("serial_no"), F.struct("receive_date", "location_code", "vendor_number").alias("_previous"))
+    step = keyed.join(after, "serial_no").where(F.struct("receive_date", "location_code", "vendor_number") < F.col("_previous"))
+    of_order = step.agg(F.count(F.lit(1)).alias("serial_in_order"))
+    of_rows = keyed.agg(
+        (F.count(F.lit(1)) - F.count_distinct("serial_no")
+         + F.abs(F.coalesce(F.max("serial_no"), F.lit(0)) - F.count(F.lit(1)))).alias("serial_dense"),
+        F.count(F.when(~F.coalesce(F.col("receive_date").between(first, last), F.lit(False)), 1)).alias("receive_date_in_week"))
+    parts = [of_vendors, of_loads, of_order, of_rows]
+    out = [p.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in p.columns]),
+                                                F.array(*[F.col(c).cast("long") for c in p.columns]))).alias("rule", "violations")) for p in parts]
+    return out[0].unionAll(out[1]).unionAll(out[2]).unionAll(out[3])

@@ -16,7 +16,6 @@ from dockplan.config import (
     PlanConfig,
 )
 from dockplan.functions.numeric import dbl, text
-from dockplan.functions.ordering import sized_broadcast
 from dockplan.sources.tables import at_location, at_snapshot
 
 # Priority order of the minimum columns: the first non-NULL one applies.
@@ -87,13 +86,21 @@ def vendors_at(vendor_location: DataFrame, cfg: PlanConfig) -> DataFrame:
 
 
 def with_overrides(v: DataFrame, overrides: DataFrame, cfg: PlanConfig) -> DataFrame:
-    """Attach the per-vendor override row (J7). The table is unique per vendor."""
-    ov = overrides.select(
+    """Attach the per-vendor override row.
+
+    A vendor on several lists keeps the row of the first one: smallest
+    ``priority`` where the table has that column, then delivery type and
+    amount, so a duplicate never multiplies demand.
+    """
+    rank = ["priority"] if "priority" in overrides.columns else []
+    first = F.min(F.struct(*[F.coalesce(F.col(c).cast("long"), F.lit((1 << 63) - 1)).alias(c) for c in rank],
+                           "delivery_type", "min_amount"))
+    ov = overrides.groupBy("vendor_number").agg(first.alias("_ov")).select(
         "vendor_number",
-        F.col("delivery_type").alias("_ov_delivery"),
-        F.col("min_amount").alias("_ov_amount"),
+        F.col("_ov.delivery_type").alias("_ov_delivery"),
+        F.col("_ov.min_amount").alias("_ov_amount"),
     )
-    return v.join(sized_broadcast(ov, cfg.broadcast_max_rows), "vendor_number", "left")
+    return v.join(ov, "vendor_number", "left")
 
 
 def vendor_minimums(vendor_location: DataFrame, cfg: PlanConfig, overrides: DataFrame | None = None) -> DataFrame:

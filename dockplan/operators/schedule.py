@@ -28,7 +28,7 @@ SCHEDULE_COLUMNS = (
 def schedule(dated: DataFrame) -> DataFrame:
     """Schedule rows numbered from 1 by (receive date, location, vendor).
 
-    The serial number comes from a range-partitioned sort plus per-partition
+    The serial number comes from buckets with literal key bounds plus their
     offsets, not from a global window, so no single task sees every row.
     """
     rows = dated.select(

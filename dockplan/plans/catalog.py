@@ -7,6 +7,8 @@ in another summation order hash equal (SURVEY section 5).
 
 from __future__ import annotations
 
+import datetime as dt
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +21,16 @@ from dockplan.functions.ordering import ordered_index
 from dockplan.operators import cadence, demand, leveling, loads, receipts
 from dockplan.operators import schedule as sched
 from dockplan.plans import reports
-from dockplan.session import cut_lineage
 from dockplan.sources import AS_OF, SITE, at_location, at_snapshot, bind
 
 SNAP = config.snapshot_report(AS_OF, SITE)
 HOR = config.horizon_report(AS_OF)
 WP = config.weekly_plan(AS_OF)
-ALL_SITES_UPT = SNAP.with_(locations=None)
+EVERY_SITE = config.snapshot_report(AS_OF, None)
+ALL_SITES_UPT = EVERY_SITE
+ONE_SITE = WP.with_(locations=(SITE,))
 DRILL_VENDORS = ("V3", "V17", "V42", "V58")
-UPT_SINCE = __import__("datetime").date(1999, 1, 1)
+UPT_SINCE = dt.date(1999, 1, 1)
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -58,7 +61,7 @@ class _LazyTables(dict):
             return default
 
 
-_BINDINGS: dict = {}
+_BINDINGS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def _t(spark: SparkSession, sf_dir: str) -> dict:
@@ -68,10 +71,11 @@ def _t(spark: SparkSession, sf_dir: str) -> dict:
     would call ``read_tables`` once); nothing is persisted, so every run scans
     and computes from the files again.
     """
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _BINDINGS:
-        _BINDINGS[key] = _LazyTables(bind(spark, sf_dir))
-    return _BINDINGS[key]
+    folders = _BINDINGS.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in folders:
+        folders[key] = _LazyTables(bind(spark, sf_dir))
+    return folders[key]
 
 
 # -- scans, projections, filters ---------------------------------------------
@@ -101,7 +105,7 @@ def q_project_item_vendor(spark, d):
 
 def q_filter_eligible_items(spark, d):
     t = _t(spark, d)
-    ilv, _ = demand.eligible_items(t["item_location_vendor"], t["inventory_snapshot"], SNAP)
+    ilv, _ = demand.eligible_items(t["item_location_vendor"], t["inventory_snapshot"], EVERY_SITE)
     return ilv.select("item", "location_code", "vendor_number", "vendor_lead_time_business_days", "base_uom_qty")
 
 
@@ -113,13 +117,13 @@ def q_filter_in_list(spark, d):
 
 
 def q_receipt_filter(spark, d):
-    return receipts.receipt_filter(_t(spark, d)["receipt_log"], SNAP)
+    return receipts.receipt_filter(_t(spark, d)["receipt_log"], EVERY_SITE)
 
 
 # -- joins -----------------------------------------------------------------
 
 def _j1(t):
-    ilv, inv = demand.eligible_items(t["item_location_vendor"], t["inventory_snapshot"], SNAP)
+    ilv, inv = demand.eligible_items(t["item_location_vendor"], t["inventory_snapshot"], EVERY_SITE)
     return inv.select("item", "location_code", "daily_forecast_qty").join(
         ilv.select("item", "location_code", "vendor_number", "base_uom_qty"), ["item", "location_code"], "inner"
     )
@@ -136,7 +140,7 @@ def q_join_item_master(spark, d):
 
 def q_receipt_join(spark, d):
     t = _t(spark, d)
-    r = receipts.receipt_filter(t["receipt_log"], SNAP)
+    r = receipts.receipt_filter(t["receipt_log"], EVERY_SITE)
     docs = t["procurement_docs"].where(F.col("document_type") != "Transfer")
     j = r.join(docs, r.control_number == docs.document_number, "inner").join(t["vendors"], "vendor_key", "inner")
     return j.select("wh_id", "control_number", "item_number", "tran_qty", "vendor_number", "vendor_name")
@@ -191,7 +195,7 @@ def q_delivery_type_override(spark, d):
 # -- minimums ----------------------------------------------------------------
 
 def q_planning_minimum(spark, d):
-    v = reports.vendor_minimums(_t(spark, d), SNAP.with_(locations=None))
+    v = reports.vendor_minimums(_t(spark, d), EVERY_SITE)
     return finish(v.select("location_code", "vendor_number", "raw_min_type", "min_planning_amount"))
 
 
@@ -218,7 +222,7 @@ def _items(spark, d, cfg):
 
 
 def q_weekly_qty_snapshot(spark, d):
-    return finish(_items(spark, d, SNAP).select("item", "location_code", "vendor_number", "weekly_qty"))
+    return finish(_items(spark, d, EVERY_SITE).select("item", "location_code", "vendor_number", "weekly_qty"))
 
 
 def q_weekly_qty_horizon(spark, d):
@@ -236,7 +240,7 @@ def q_unit_attr_mask(spark, d):
 
 
 def q_truckloads_by_type(spark, d):
-    return finish(_items(spark, d, SNAP).select("item", "location_code", "vendor_number", "vendor_min_type",
+    return finish(_items(spark, d, EVERY_SITE).select("item", "location_code", "vendor_number", "vendor_min_type",
                                                 "truckloads"))
 
 
@@ -265,7 +269,7 @@ def q_order_cadence(spark, d):
 
 
 def q_order_cadence_clamp(spark, d):
-    w = reports.vendor_weekly(_t(spark, d), SNAP)
+    w = reports.vendor_weekly(_t(spark, d), EVERY_SITE)
     w = w.withColumn("_ratio", F.expr(ieee_div_sql("avg_per_week_in_uom", "moq")))
     return w.select("location_code", "vendor_number", "vendor_lead_time_business_days",
                     cadence.cadence_clamp("_ratio").alias("orders_clamped"))
@@ -304,16 +308,15 @@ def q_report_snapshot(spark, d):
 
 
 def q_report_with_upt(spark, d):
-    return finish(reports.report_snapshot(_t(spark, d), SNAP.with_(finite_filter=False)))
+    return finish(reports.report_snapshot(_t(spark, d), EVERY_SITE.with_(finite_filter=False)))
 
 
 def q_report_self_join(spark, d):
-    return finish(reports.report_snapshot(_t(spark, d), SNAP.with_(compat_self_join=True)))
+    return finish(reports.report_snapshot(_t(spark, d), EVERY_SITE.with_(compat_self_join=True)))
 
 
 def q_report_snapshot_all_sites(spark, d):
-    cfg = SNAP.with_(locations=None, upt_join_on_location=True)
-    return finish(reports.report_snapshot(_t(spark, d), cfg))
+    return finish(reports.report_snapshot(_t(spark, d), EVERY_SITE))
 
 
 def q_report_horizon(spark, d):
@@ -348,8 +351,8 @@ def _fixture_sized(spark, d):
     return leveling.order_size(leveling.plan_dedupe(t["plan_rows"]), WP)
 
 
-def _fixture_snake(spark, d):
-    return leveling.level_days(_fixture_sized(spark, d), WP, mode="snake")
+def _fixture_days(spark, d):
+    return leveling.level_days(_fixture_sized(spark, d), WP)
 
 
 def q_plan_input(spark, d):
@@ -370,38 +373,26 @@ def q_candidate_days(spark, d):
     return c.select("location_code", "vendor_number", "day_index", "receive_date")
 
 
-def q_level_days_snake(spark, d):
-    return _fixture_snake(spark, d).select("location_code", "vendor_number", "orders", "day_index", "units")
-
-
-def q_level_days_lpt(spark, d):
-    lv = leveling.level_days(_fixture_sized(spark, d), WP, mode="lpt")
-    return lv.select("location_code", "vendor_number", "orders", "day_index", "units")
+def q_level_days(spark, d):
+    return _fixture_days(spark, d).select("location_code", "vendor_number", "orders", "day_index", "units")
 
 
 def q_audit_schedule(spark, d):
-    return leveling.audit_schedule(_fixture_snake(spark, d), _fixture_sized(spark, d), WP)
-
-
-def q_audit_schedule_lpt(spark, d):
-    sized = _fixture_sized(spark, d)
-    return leveling.audit_schedule(leveling.level_days(sized, WP, mode="lpt"), sized, WP)
+    """The finished weekly schedule against its plan."""
+    tables = _t(spark, d)
+    return leveling.audit_schedule(weekly_schedule(tables, WP), weekly_sized(tables, WP), WP)
 
 
 def q_day_load(spark, d):
-    return leveling.day_load(_fixture_snake(spark, d))
+    return leveling.day_load(_fixture_days(spark, d))
 
 
 def q_peak_load(spark, d):
-    return leveling.peak_load(_fixture_snake(spark, d))
+    return leveling.peak_load(_fixture_days(spark, d))
 
 
 def q_level_gap(spark, d):
-    return leveling.level_gap(_fixture_snake(spark, d), WP)
-
-
-def q_level_gap_lpt(spark, d):
-    return leveling.level_gap(leveling.level_days(_fixture_sized(spark, d), WP, mode="lpt"), WP)
+    return leveling.level_gap(_fixture_days(spark, d), WP)
 
 
 def q_infeasible_vendors(spark, d):
@@ -410,12 +401,12 @@ def q_infeasible_vendors(spark, d):
 
 
 def q_order_dates(spark, d):
-    dated = leveling.with_dates(_fixture_snake(spark, d), WP)
+    dated = leveling.with_dates(_fixture_days(spark, d), WP)
     return dated.select("location_code", "vendor_number", "day_index", "receive_date", "order_date")
 
 
 def q_vendors_by_day(spark, d):
-    dated = leveling.with_dates(_fixture_snake(spark, d), WP)
+    dated = leveling.with_dates(_fixture_days(spark, d), WP)
     ranked = ordered_index(dated.select("location_code", "receive_date", "vendor_number"),
                            order=["vendor_number"], group=["location_code", "receive_date"], name="position")
     return ranked
@@ -437,31 +428,34 @@ def _fixture_attrs(spark, d):
 
 
 def q_schedule(spark, d):
-    lv = _fixture_snake(spark, d).join(_fixture_attrs(spark, d), ["location_code", "vendor_number"], "left")
+    lv = _fixture_days(spark, d).join(_fixture_attrs(spark, d), ["location_code", "vendor_number"], "left")
     return sched.schedule(leveling.with_dates(lv, WP))
 
 
-def weekly_schedule(tables: dict, cfg: config.PlanConfig, mode: str | None = None) -> DataFrame:
-    """End-to-end weekly plan: report, plan rows, levelling, dates, schedule."""
+def weekly_sized(tables: dict, cfg: config.PlanConfig) -> DataFrame:
+    """Plan rows of the weekly report with their order sizes."""
     plan = leveling.plan_dedupe(leveling.plan_rows(reports.report_weekly_plan(tables, cfg)))
-    # The plan is small and read several times below: cut the lineage so a lost
-    # executor does not recompute the report from the forecast scan.
-    sized = cut_lineage(leveling.order_size(plan, cfg))
-    lv = leveling.level_days(sized, cfg, mode=mode)
-    return sched.schedule(leveling.with_dates(lv, cfg))
+    return leveling.order_size(plan, cfg)
+
+
+def weekly_schedule(tables: dict, cfg: config.PlanConfig) -> DataFrame:
+    """End-to-end weekly plan: report, plan rows, levelling, dates, schedule.
+
+    Building it runs two jobs, one for each set of literal bounds (the levelling
+    order, the serial order); nothing is written.
+    """
+    return sched.schedule(leveling.with_dates(leveling.level_days(weekly_sized(tables, cfg), cfg), cfg))
 
 
 def q_weekly_schedule(spark, d):
-    return weekly_schedule(_t(spark, d), WP, mode="snake")
+    return weekly_schedule(_t(spark, d), WP)
 
 
-def q_weekly_schedule_lpt(spark, d):
-    return weekly_schedule(_t(spark, d), WP, mode="lpt")
+def q_weekly_schedule_site(spark, d):
+    """The plan of one site, the shape the report is run in."""
+    return weekly_schedule(_t(spark, d), ONE_SITE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
-
-# Keys with no SQL oracle: greedy levelling is sequential per location.
-NO_ORACLE = ("level_days_lpt", "level_gap_lpt", "weekly_schedule_lpt")

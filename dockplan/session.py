@@ -1,18 +1,16 @@
-"""Session helpers: a local session for tests and the bench, and lineage cuts.
+"""Session helpers: a local session for tests and the bench.
 
 On a cluster the session comes from the platform; nothing here overrides its
-settings. ``checkpoint`` writes to the shared folder the cluster names in
-``spark.checkpoint.dir``; a folder is only chosen here when none is set, which
-is the case for local tests.
+settings. Reports and schedules write nothing: a checkpoint folder is only
+chosen here for local sessions of tests that ask for one.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "dockplan") -> SparkSession:
@@ -57,21 +55,3 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
         d = tempfile.mkdtemp(prefix="dockplan-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a Parquet table in the checkpoint folder and read it back.
-
-    Used where a frame is read more than once or feeds a long tail of stages:
-    a lost executor then recomputes from the written table, not from the scan.
-    A written table costs one pass; a reliable RDD checkpoint would compute the
-    frame twice (once for the action, once to save it). Without a configured
-    folder the frame is returned as is.
-    """
-    spark = df.sparkSession
-    d = checkpoint_dir(spark)
-    if d is None:
-        return df
-    path = f"{d.rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
