@@ -23,6 +23,7 @@ Other columns are dropped except those named in ``keep``.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,11 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockplan.llm.common import ship, table, whole_text
-from dockplan.llm.pieces import Pieces
+from dockplan.llm.pieces import LETTERS, Pieces, lower_byte_form, plain_latin
 
 WINDOW = 8
 CUT_BITS = 7  # a cut every 128 bytes on average
 GAPS = (" ", "\n")
+#: A piece that is one pre-token.
+WORD = re.compile(f"[{LETTERS}]+").fullmatch
+PARTS = re.compile(f"[{LETTERS}]+|[^{LETTERS} ]+")
 
 
 def byte_values() -> np.ndarray:
@@ -76,17 +80,25 @@ class ChunkEncoder:
     """Texts to ids, with bounded caches of chunks and pieces."""
 
     def __init__(self, path: str, chunk_limit: int = 100_000, piece_limit: int = 400_000):
-        self.pieces = Pieces(path, piece_limit)
+        self.pieces = Pieces(path, piece_limit, lower_byte_form)
         self.tokenizer, self.dtype = self.pieces.tokenizer, self.pieces.dtype
         self.chunk_limit = chunk_limit
         self.chunks: dict[bytes, tuple[str, bytes | None, str]] = {}
 
     def _learn(self, texts: list[str]) -> None:
         """Encode the pieces of ``texts`` that are not known yet."""
-        self.pieces.learn({p for t in texts for p in t.split(" ")})
+        known = self.pieces.known
+        new = {p for t in texts for p in self._parts(t) if p not in known}
+        words = set(filter(WORD, new))
+        self.pieces.learn_words(words)
+        self.pieces.learn(new - words)
+
+    def _parts(self, text: str) -> list[str]:
+        """White-space pieces; of Latin-1 texts without apostrophes, runs of letters and of other characters."""
+        return PARTS.findall(text) if plain_latin(text, self.pieces.added) else text.split(" ")
 
     def _join(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.known.__getitem__, text.split(" ")))
+        return b"".join(map(self.pieces.known.__getitem__, self._parts(text)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         self.pieces.trim()

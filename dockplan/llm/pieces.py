@@ -1,24 +1,45 @@
 """Ids of many short strings through the tokenizers library, each distinct one encoded once per worker.
 
-``Pieces`` joins strings by a special token of the vocabulary, which ends every pre-token, encodes the long
-strings, and cuts the ids at that token: the same ids as one call per string, without its cost.
+``Pieces`` encodes two kinds. A run of Latin letters (with the blank before it, for byte-level vocabularies) is one
+pre-token; it goes to the library's BPE model directly. Other strings are joined by a special token of the vocabulary, which
+ends every pre-token, encoded, and their ids cut at that token. Both give the ids of one call per string, without its cost.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 
 BLOCK = 256
+#: Letters of which a run is one pre-token wherever its neighbours are no letters.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on, in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(moved)}}
+
+
+ALPHABET = byte_letters()
+
+
+def byte_form(word: str) -> str:
+    return word.encode().decode("latin-1").translate(ALPHABET)
+
+
+def lower_byte_form(word: str) -> str:
+    return byte_form(word.lower())
 
 
 class Pieces:
     """Strings to id bytes (little-endian unsigned, ``dtype``). About ``limit`` strings stay in memory."""
 
-    def __init__(self, tokenizer_path: str, limit: int):
+    def __init__(self, tokenizer_path: str, limit: int, form: Callable[[str], str] = byte_form):
         # Spark already runs a task per core; threads of the library would only contend.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -30,9 +51,16 @@ class Pieces:
         marks = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()
                  if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
         self.mark_id, self.mark = marks[0] if marks else (None, "")
-        self.limit = limit
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.limit, self.form, self.model = limit, form, self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
+    def learn_words(self, words: Iterable[str]) -> None:
+        """Runs of ``LETTERS`` that are not known yet."""
+        known, form, model = self.known, self.form, self.model.tokenize
+        for w in words:
+            known[w] = np.array([t.id for t in model(form(w))], dtype=self.dtype).tobytes()
+
     def alone(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in got]
@@ -65,27 +93,61 @@ class Pieces:
 
 #: A blank inside a run of white space, or at the end.
 UNSAFE = re.compile(r"\s (?:\s|\Z)|\A\s*\Z")
+#: Words with the blank before them, and what stands between words.
+FINE = re.compile(rf" ?[{LETTERS}]+|[^{LETTERS}]+?(?= ?[{LETTERS}]|\Z)")
+#: White space whose last character a following word would split off.
+SPLIT = re.compile(r"\s[^\S ]\Z")
+OTHER_LETTERS = re.compile("[ªµº]")
+
+
+def plain_latin(text: str, added: tuple[str, ...]) -> bool:
+    """No letters but ``LETTERS``, no apostrophe (contractions), none of the added tokens."""
+    if "'" in text or any(x in text for x in added):
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return text.isascii() or not OTHER_LETTERS.search(text)
 
 
 class ByteEncoder:
     """Whole texts to ids for byte-level BPE.
 
-    A blank before a non-space character always starts a new pre-token of the byte-level pattern, so a text may be cut
-    before each blank and its pieces encoded apart. The exception is a run of white space with a blank inside it (followed by
-    more white space, or at the end); such a text is encoded whole.
+    A Latin-1 text without apostrophes is cut at its words: letters, punctuation and white space are different
+    pre-tokens, a blank belongs to the word after it. Other texts are cut before each blank, which always starts a new pre-token
+    unless it stands inside or ends a run of white space; a text with such a blank is encoded whole.
     """
 
-    def __init__(self, tokenizer_path: str, limit: int = 500_000):
+    def __init__(self, tokenizer_path: str, limit: int = 900_000):
         self.pieces = Pieces(tokenizer_path, limit)
         self.dtype = self.pieces.dtype
         self.width = self.dtype.itemsize
+        self.split: set[str] = set()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        p = self.pieces
+        if len(p.known) > p.limit:
+            self.split = set()
+        p.trim()
+        known = p.known
+        cut = [FINE.findall(t) if t and plain_latin(t, p.added) else None for t in texts]
+        new = {x for c in cut if c for x in c if x not in known}
+        words = {x for x in new if x[-1].isalpha()}
+        p.learn_words(words)
+        p.learn(new - words)
+        self.split.update(x for x in new - words if SPLIT.search(x))
+        if self.split:
+            cut = [None if c and not self.split.isdisjoint(c) else c for c in cut]
+        rest = [i for i, c in enumerate(cut) if c is None]
+        done = dict(zip(rest, self.coarse([texts[i] for i in rest]))) if rest else {}
+        get = known.__getitem__
+        return [done[i] if c is None else b"".join(map(get, c)) for i, c in enumerate(cut)]
+
+    def coarse(self, texts: list[str]) -> list[bytes]:
         whole = [i for i, t in enumerate(texts) if UNSAFE.search(t)]
         alone = dict(zip(whole, self.pieces.alone([texts[i] for i in whole]))) if whole else {}
-        # Cutting at a mark put before each blank is the quick way; texts that hold the mark take the plain one.
-        cut = [None if i in alone else t.replace(" ", "\x00 ").split("\x00") if "\x00" not in t else blanks(t) for i, t in enumerate(texts)]
-        self.pieces.trim()
+        cut = [None if i in alone else blanks(t) for i, t in enumerate(texts)]
         self.pieces.learn(x for c in cut if c for x in c)
         get = self.pieces.known.__getitem__
         return [alone[i] if c is None else b"".join(map(get, c)) for i, c in enumerate(cut)]
