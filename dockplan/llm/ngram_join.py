@@ -9,10 +9,11 @@ among the first n - ceil(4n/5) + 1 of each. Shingles of a single document come f
 document with enough of them is done. Of the others, documents with equal sets are one class, and classes with equal size and
 equal prefix are one group; only groups are posted, one row per prefix shingle.
 
-Candidates. Joining all pairs of a posting list would be quadratic in a family of near copies. A hub round picks one group per
-posting, joins each group with the hub it shares most with, expands groups to classes, verifies, and merges what links. After
-``HUB_ROUNDS`` rounds, the last join takes every pair of groups that still lie in different components, under the size
-and position filters (both lossless): pairs inside a component need no check, the others are all checked. No link is lost.
+Candidates. Joining all pairs of a posting list would be quadratic in a family of near copies. A hub round picks ``HUBS`` groups
+per posting list, joins each group with the hubs whose bit sketches are nearest, expands groups to classes, verifies, and
+merges what links. After these rounds, the last join takes every pair of groups that still lie in different components, under
+lossless filters (size, position of the common shingle, sketches): pairs inside a component need no check, the others are
+all checked. No link is lost.
 
 Verification intersects the shingle lists. Shingles are 64-bit hashes, dealt as bucket number and 32 bits, so two different
 ones of a pair of documents are confused with a chance of about |A| |B| / (buckets * 2^32).
@@ -39,7 +40,12 @@ from pyspark.sql import functions as F
 from dockplan.llm.common import ship, stored, table, whole_text
 
 WORDS = 5
-HUB_ROUNDS = 3
+HUBS = 16  # per posting list and round
+SKETCH_BITS = 9  # 2 ** 9 bits
+SKETCH_WORDS = (1 << SKETCH_BITS) // 64
+SIDE = ("gid", "n", "pos", "lone", *[f"b{w}" for w in range(SKETCH_WORDS)])
+POSTINGS = "key long, " + ", ".join(f"{c} long" for c in SIDE)
+TRIES = (2, 4, 8)  # hubs that a group is verified against, by round
 ROWS_PER_BUCKET = 5_000
 MAX_BUCKETS = 60_000
 UNIT_BYTES = 8_000_000
@@ -206,14 +212,25 @@ def documents_with_shingles(docs: DataFrame, key: str, text: str) -> DataFrame:
     return stored(answers.groupBy("part").applyInPandas(gather, DOCUMENTS))
 
 
+def sketch(keys: np.ndarray) -> np.ndarray:
+    """Parity of the shingles per bit: two sets differ in at least as many shingles as their sketches in bits."""
+    at = (keys.astype(np.uint64) * np.uint64(MULTIPLIER)) >> np.uint64(64 - SKETCH_BITS)
+    odd = (np.bincount(at.astype(np.int64), minlength=1 << SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8")
+
+
 def postings_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         count = pdf["n_prefix"].to_numpy(dtype=np.int64)
-        keys = [np.frombuffer(s, dtype="<i8")[:k] for s, k in zip(pdf["shingles"], count)]
-        at = [np.arange(k) + lone for k, lone in zip(count, pdf["lone"])]
+        shingles = [np.frombuffer(s, dtype="<i8") for s in pdf["shingles"]]
         empty = np.zeros(0, dtype=np.int64)
-        yield pd.DataFrame({"key": np.concatenate([empty, *keys]), "gid": np.repeat(pdf["gid"].to_numpy(dtype=np.int64), count),
-                            "n": np.repeat(pdf["n"].to_numpy(dtype=np.int64), count), "pos": np.concatenate([empty, *at])})
+        each = lambda x: np.repeat(np.asarray(x, dtype=np.int64), count)
+        with np.errstate(over="ignore"):
+            sketches = np.stack([sketch(s) for s in shingles]) if len(shingles) else np.zeros((0, SKETCH_WORDS), dtype=np.int64)
+        yield pd.DataFrame({
+            "key": np.concatenate([empty, *[s[:k] for s, k in zip(shingles, count)]]), "gid": each(pdf["gid"]), "n": each(pdf["n"]),
+            "pos": np.concatenate([empty, *[np.arange(k) + lone for k, lone in zip(count, pdf["lone"])]]), "lone": each(pdf["lone"]),
+            **{f"b{w}": each(sketches[:, w]) for w in range(SKETCH_WORDS)}})
 
 
 def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,24 +274,38 @@ def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return stored(out.select("cid", "gid", F.coalesce("root", "label").alias("label")))
 
 
-def fits(x: str, y: str):
-    """Size filter of two groups."""
-    return (F.lit(5) * F.least(x, y) >= F.lit(4) * F.greatest(x, y))
+def side(postings: DataFrame, s: str) -> DataFrame:
+    return postings.select("key", *[F.col(c).alias(c + s) for c in SIDE])
+
 
+def differing():
+    """A lower bound of the shingles in which two sets differ: those of one document alone, and the sketches' different bits."""
+    bits = [F.bit_count(F.col(f"b{w}1").bitwiseXOR(F.col(f"b{w}2"))) for w in range(SKETCH_WORDS)]
+    return sum(bits[1:], bits[0]) + F.col("lone1") + F.col("lone2")
 
-def reaches(na: str, pa: str, nb: str, pb: str):
-    """Position filter: what is left of both sets from their first common shingle on still holds the overlap asked for."""
-    return F.lit(9) * F.least(F.col(na) - F.col(pa), F.col(nb) - F.col(pb)) >= F.lit(4) * (F.col(na) + F.col(nb))
 
+def possible():
+    """Lossless filters on two postings of one shingle: sizes; what is left of both sets from their first common shingle on must
+    hold the overlap asked for; |A| + |B| must be at least nine times the difference."""
+    n = F.col("n1") + F.col("n2")
+    left = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
+    return ((F.lit(5) * F.least("n1", "n2") >= F.lit(4) * F.greatest("n1", "n2")) & (F.lit(9) * left >= F.lit(4) * n)
+            & (F.lit(9) * differing() <= n))
 
-def hub_pairs(postings: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
-    """Each class of a group with the representative of the hub group that its group shares most postings with."""
-    lead = F.min_by(F.struct("gid", "n", "pos"), F.struct(F.xxhash64(F.lit(seed), F.col("gid")), "gid"))
-    hubs = postings.groupBy("key").agg(lead.alias("h"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    hubs = hubs.select("key", F.col("h.gid").alias("hub"), F.col("h.n").alias("hn"), F.col("h.pos").alias("hp"))
-    met = postings.join(hubs, "key").where((F.col("gid") != F.col("hub")) & fits("n", "hn") & reaches("n", "pos", "hn", "hp"))
-    shared = met.groupBy("gid", "hub").agg(F.count(F.lit(1)).alias("shared"))
-    best = shared.groupBy("gid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+
+def hub_pairs(postings: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
+    """Each class of a group with the representatives of the hub groups whose sketches are nearest."""
+    leads = [F.min_by(F.struct(*SIDE), F.struct(F.xxhash64(F.lit(HUBS * round_ + i), F.col("gid")), "gid")) for i in range(HUBS)]
+    hubs = postings.groupBy("key").agg(F.array(*leads).alias("hs"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    hubs = side(hubs.select("key", F.explode(F.array_distinct("hs")).alias("h")).select("key", "h.*"), "2")
+    state = labels.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    of = lambda s: state.select(*[F.col(c).alias(c + s) for c in state.columns])
+    met = side(postings, "1").join(hubs, "key").where((F.col("gid1") != F.col("gid2")) & possible())
+    near = met.groupBy("gid1", "gid2").agg(F.min(differing() / (F.col("n1") + F.col("n2"))).alias("apart"))
+    near = near.join(of("1"), "gid1").join(of("2"), "gid2").where("low1 <> high1 or low2 <> high2 or low1 <> low2")
+    # The last join looks at every pair; a round only needs the likeliest.
+    best = near.groupBy("gid1").agg(F.slice(F.sort_array(F.collect_list(F.struct("apart", "gid2"))), 1, TRIES[round_]).alias("best"))
+    best = best.select(F.col("gid1").alias("gid"), F.explode("best.gid2").alias("hub"))
     own = labels.where("cid <> gid").select(F.col("cid").alias("a"), F.col("gid").alias("b"))
     pairs = labels.join(best, "gid").select(F.col("cid").alias("a"), F.col("hub").alias("b")).unionAll(own)
     at = lambda x: labels.select(F.col("cid").alias(x), F.col("label").alias(f"l{x}"))
@@ -287,10 +318,9 @@ def remaining_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
     p = postings.join(state, "gid")
     mixed = p.groupBy("key").agg(F.min("low").alias("_l"), F.max("high").alias("_h")).where("_l <> _h").select("key")
     p = p.join(mixed, "key", "left_semi")
-    side = lambda s: p.select("key", *[F.col(c).alias(c + s) for c in ("gid", "n", "pos", "low", "high")])
     apart = (F.col("low1") != F.col("high1")) | (F.col("low2") != F.col("high2")) | (F.col("low1") != F.col("low2"))
-    met = side("1").join(side("2"), "key").where(
-        (F.col("gid1") < F.col("gid2")) & apart & fits("n1", "n2") & reaches("n1", "pos1", "n2", "pos2"))
+    both = lambda s: p.select("key", *[F.col(c).alias(c + s) for c in (*SIDE, "low", "high")])
+    met = both("1").join(both("2"), "key").where((F.col("gid1") < F.col("gid2")) & apart & possible())
     groups = met.select("gid1", "gid2").distinct().unionAll(
         state.where("low <> high").select(F.col("gid").alias("gid1"), F.col("gid").alias("gid2")))
     member = lambda s, x: labels.select(F.col("gid").alias(f"gid{s}"), F.col("cid").alias(x), F.col("label").alias(f"l{x}"))
@@ -310,12 +340,12 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     groups = classes.groupBy("n", "_p").agg(F.min("cid").alias("gid"))
     classes = stored(classes.join(groups, ["n", "_p"]).drop("_p"))
     postings = classes.where("cid = gid").select("gid", "n", "lone", "n_prefix", "shingles").mapInPandas(
-        postings_of, "key long, gid long, n long, pos long")
+        postings_of, POSTINGS)
     shared_keys = postings.groupBy("key").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select("key")
     postings = stored(postings.join(shared_keys, "key", "left_semi"))
     labels = classes.select("cid", "gid", F.col("cid").alias("label"))
-    for seed in range(HUB_ROUNDS):
-        pairs = stored(hub_pairs(postings, labels, seed))
+    for round_ in range(len(TRIES)):
+        pairs = stored(hub_pairs(postings, labels, round_))
         if pairs.isEmpty():
             break
         labels = merged(labels, stored(verified(pairs, classes)))
