@@ -19,11 +19,11 @@ TABLES = {
 }
 
 SHAPES = {
-    "report_self_join": 105,
+    "report_self_join": 2531,  # all sites
     "report_horizon": 50,
     "report_weekly_plan": 50,
     "vendor_upt": 50,
-    "level_days_snake": 150,
+    "level_days": 150,
 }
 
 

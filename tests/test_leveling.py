@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -37,15 +36,14 @@ def test_infeasible(spark):
                    "D": "demand unknown", "E": "orders outside 1..5"}
 
 
-@pytest.mark.parametrize("mode", ["snake", "lpt"])
-def test_level_hand_cases(spark, mode):
+def test_level_hand_cases(spark):
     p = _plan(spark, [("L", f"V{i}", "n", 1, s, 1) for i, s in enumerate([5, 4, 3, 2, 1])])
-    lv = leveling.level_days(leveling.order_size(p, CFG), CFG, mode=mode)
+    lv = leveling.level_days(leveling.order_size(p, CFG), CFG)
     gap = leveling.level_gap(lv, CFG).collect()[0]
     assert gap["peak"] == 5 and gap["lower_bound"] == 5
     assert sorted(r["day_index"] for r in lv.collect()) == [1, 2, 3, 4, 5]
     p2 = _plan(spark, [("L", "A", "a", 1, 30, 5), ("L", "B", "b", 1, 30, 5)])
-    lv2 = leveling.level_days(leveling.order_size(p2, CFG), CFG, mode=mode)
+    lv2 = leveling.level_days(leveling.order_size(p2, CFG), CFG)
     loads = {r["day_index"]: r["load"] for r in leveling.day_load(lv2).collect()}
     assert loads == {d: 12 for d in range(1, 6)}
 
@@ -60,26 +58,54 @@ plans = st.lists(
 def test_level_properties(spark, raw):
     rows = [(loc, f"V{i}", f"n{i}", lead, units, n) for i, (loc, units, n, lead) in enumerate(raw)]
     sized = leveling.order_size(_plan(spark, rows), CFG)
-    for mode in ("snake", "lpt", "auto"):
-        lv = leveling.level_days(sized, CFG, mode=mode)
-        audit = {r["rule"]: r["violations"] for r in leveling.audit_schedule(lv, sized, CFG).collect()}
-        assert set(audit.values()) == {0}, (mode, audit)
-        assert lv.count() == sum(n for _, _, n, _ in raw)
-        for g in leveling.level_gap(lv, CFG).collect():
-            assert g["peak"] >= g["lower_bound"]
-    dated = leveling.with_dates(leveling.level_days(sized, CFG, mode="snake"), CFG).collect()
-    for r in dated:
+    lv = leveling.level_days(sized, CFG)
+    dated = leveling.with_dates(lv, CFG)
+    audit = {r["rule"]: r["violations"] for r in leveling.audit_schedule(schedule(_named(dated)), sized, CFG).collect()}
+    assert set(audit.values()) == {0} and len(audit) == 10, audit
+    assert lv.count() == sum(n for _, _, n, _ in raw)
+    for g in leveling.level_gap(lv, CFG).collect():
+        assert g["lower_bound"] <= g["peak"] <= g["lower_bound"] + g["largest_order"]
+    for r in dated.collect():
         assert r["order_date"] <= r["receive_date"] and r["order_date"].weekday() < 5
 
 
+def _named(df):
+    return df.select("*", F.lit(10).cast("long").alias("moq"), F.lit("unit").alias("unit"), F.lit("Prepaid").alias("delivery_type"),
+                     F.lit("B0").alias("purchaser_code"), F.lit("COLLECT").alias("ship_code"), F.lit("DIRECT").alias("dist_code"))
+
+
+def test_audit_counts_every_kind_of_damage(spark):
+    """A finished schedule passes; each way of damaging it makes its rule count."""
+    rows = [("L", f"V{i:02}", "n", 1, 100, 1 + i % 4) for i in range(20)]
+    sized = leveling.order_size(_plan(spark, rows), CFG)
+    good = schedule(_named(leveling.with_dates(leveling.level_days(sized, CFG), CFG))).toPandas()
+    day = lambda n: dt.date(2019, 8, 12) + dt.timedelta(days=n)
+
+    def damaged(change):
+        pdf = good.copy()
+        change(pdf)
+        df = spark.createDataFrame(pdf.drop(columns=["order_date"]))
+        return {r["rule"] for r in leveling.audit_schedule(df, sized, CFG).collect() if r["violations"]}
+
+    def put(column, value, where=slice(0, 1)):
+        return lambda pdf: pdf.loc.__setitem__((pdf.index[where], column), value)
+
+    assert damaged(lambda pdf: None) == set()
+    assert "serial_dense" in damaged(put("serial_no", 2))
+    assert "serial_in_order" in damaged(lambda pdf: pdf.__setitem__("serial_no", list(pdf["serial_no"])[::-1]))
+    assert "vendor_in_plan" in damaged(put("vendor_number", "X"))
+    assert "rows_equal_orders" in damaged(lambda pdf: pdf.drop(index=pdf.index[0], inplace=True))
+    assert "receive_date_in_week" in damaged(put("receive_date", day(40)))
+    assert {"day_load_near_mean", "days_equal_orders"} <= damaged(put("receive_date", day(0), slice(None)))
+    assert "units_within_capacity" in damaged(put("units", 2_000_000))
+    assert {"units_cover_demand", "units_at_least_order_size"} <= damaged(put("units", 1))
+
+
 def test_schedule_serial_and_csv(spark, tmp_path):
     rows = [(loc, f"V{i}", f"n{i}", i % 7, 100 + i, 1 + i % 5) for i, loc in enumerate(["L1", "L2"] * 30)]
     sized = leveling.order_size(_plan(spark, rows), CFG)
-    lv = leveling.level_days(sized, CFG, mode="snake")
-    attrs = lv.select("*", F.lit(10).cast("long").alias("moq"), F.lit("unit").alias("unit"),
-                      F.lit("Prepaid").alias("delivery_type"), F.lit("B0").alias("purchaser_code"),
-                      F.lit("COLLECT").alias("ship_code"), F.lit("DIRECT").alias("dist_code"))
-    sch = schedule(leveling.with_dates(attrs, CFG))
+    lv = leveling.level_days(sized, CFG)
+    sch = schedule(_named(leveling.with_dates(lv, CFG)))
     got = sch.orderBy("serial_no").collect()
     assert [r["serial_no"] for r in got] == list(range(1, len(got) + 1))
     keys = [(r["receive_date"], r["location_code"], r["vendor_number"]) for r in got]
@@ -93,7 +119,6 @@ def test_schedule_serial_and_csv(spark, tmp_path):
 def test_all_or_nothing_drops_location(spark):
     p = _plan(spark, [("L1", "A", "a", 1, 10, 2), ("L1", "B", "b", 1, 10, 0), ("L2", "C", "c", 1, 10, 2)])
     sized = leveling.order_size(p, CFG)
-    keep = {r["location_code"] for r in leveling.level_days(sized, CFG, mode="snake").collect()}
-    strict = {r["location_code"] for r in leveling.level_days(sized, CFG.with_(all_or_nothing=True),
-                                                               mode="snake").collect()}
+    keep = {r["location_code"] for r in leveling.level_days(sized, CFG).collect()}
+    strict = {r["location_code"] for r in leveling.level_days(sized, CFG.with_(all_or_nothing=True)).collect()}
     assert keep == {"L1", "L2"} and strict == {"L2"}

@@ -86,4 +86,22 @@ def test_config_rejects_unknown_choice():
     import pytest
 
     with pytest.raises(ValueError):
-        config.weekly_plan(AS_OF).with_(level_mode="snak")
+        config.weekly_plan(AS_OF).with_(truckloads="by_typ")
+
+
+def test_duplicate_overrides_do_not_multiply(spark):
+    """A vendor on several lists keeps the first list's row."""
+    vl = _vl(spark, [("Prepaid", (None,) * 6), ("Prepaid", (None,) * 6)])
+    ov = spark.createDataFrame([("V0", "Small Parcel", 9.0, 2), ("V0", "Shipping Container", 25.0, 1), ("V0", "Small Parcel", 9.0, None)],
+                               "vendor_number string, delivery_type string, min_amount double, priority int")
+    rows = vendor_minimums(vl, config.weekly_plan(AS_OF), ov).collect()
+    got = {r["vendor_number"]: r for r in rows}
+    assert len(rows) == 2 and got["V0"]["vendor_delivery_type"] == "Shipping Container" and got["V0"]["min_planning_amount"] == 25.0
+
+
+def test_upt_over_several_sites_needs_the_site(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        config.snapshot_report(AS_OF, None).with_(upt_join_on_location=False)
+    assert config.snapshot_report(AS_OF, "L1").with_upt

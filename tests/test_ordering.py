@@ -1,32 +1,56 @@
+"""Positions must not depend on partitions, payload columns, size or retries."""
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from dockplan.functions.ordering import has_at_most, ordered_index
+from dockplan.functions.ordering import ordered_index, running_total
+
+ROWS = 24_000
+
+
+def _rows(spark):
+    """Payload columns beside the keys, ties in the first key, one group with nine tenths of the rows."""
+    return spark.range(0, ROWS).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7 + 1).otherwise(F.lit(0)).alias("g"),
+        ((F.col("id") * 104729) % 1009).alias("v"), F.col("id").alias("k"),
+        F.repeat(F.lit("payload"), 5).alias("p1"), F.rand(3).alias("p2"), (F.col("id") % 5).alias("w"))
 
 
-def test_ordered_index_matches_row_number(spark):
-    df = spark.range(0, 5000).select(
-        (F.col("id") % 7).alias("g"), ((F.col("id") * 7919) % 1000).alias("v"), F.col("id").alias("k"))
-    mine = ordered_index(df, order=[F.col("v").desc(), "k"], group=["g"], name="i", num_partitions=13)
-    w = Window.partitionBy("g").orderBy(F.col("v").desc(), "k")
-    ref = df.withColumn("i", F.row_number().over(w) - 1)
-    assert mine.select("g", "k", "i").exceptAll(ref.select("g", "k", "i")).count() == 0
-    assert mine.count() == 5000
+@pytest.mark.parametrize("partitions", [2, 4, 16, 200])
+def test_matches_a_window_at_any_partition_count(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = _rows(spark).repartition(partitions)
+        got = running_total(df, order=[-F.col("v"), "k"], group=["g"], value=F.col("w"), name="t")
+        w = Window.partitionBy("g").orderBy(F.col("v").desc(), "k").rowsBetween(Window.unboundedPreceding, -1)
+        ref = df.withColumn("t", F.coalesce(F.sum("w").over(w), F.lit(0)))
+        assert got.select("g", "k", "t").exceptAll(ref.select("g", "k", "t")).count() == 0 and got.count() == ROWS
+        serial = ordered_index(df, order=["v", "k"], name="i").select("i", "v", "k").orderBy("i").collect()
+        assert [r["i"] for r in serial] == list(range(ROWS))
+        assert [(r["v"], r["k"]) for r in serial] == sorted((r["v"], r["k"]) for r in serial)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_global_index_is_dense(spark):
-    df = spark.range(0, 1234).select(((F.col("id") * 31) % 1234).alias("x"))
-    got = sorted(r[0] for r in ordered_index(df, order=["x"], name="i").select("i").collect())
-    assert got == list(range(1234))
+def test_hot_group_is_spread(spark):
+    ranked = ordered_index(_rows(spark), order=["v", "k"], group=["g"], name="i", buckets=16)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bucket" in plan
+    hot = _rows(spark).where("g = 0")
+    sizes = ordered_index(hot, order=["v", "k"], name="i", buckets=16).select((F.col("i") * 16 / hot.count()).cast("int").alias("b"))
+    assert sizes.distinct().count() == 16
 
 
-def test_has_at_most(spark):
-    assert has_at_most(spark.range(10), 10) and not has_at_most(spark.range(11), 10)
+def test_small_and_empty(spark):
+    df = spark.createDataFrame([(2,), (1,)], "x int")
+    assert sorted(tuple(r) for r in ordered_index(df, order=["x"], name="i").collect()) == [(1, 0), (2, 1)]
+    assert ordered_index(df.limit(0), order=["x"], name="i").count() == 0
 
 
-def test_null_group_keys_kept(spark):
-    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 5), (None, 2)], "g string, v int")
-    key = lambda t: (t[0] is None, t[0] or "", t[1])
-    got = sorted(((r["g"], r["v"], r["i"]) for r in ordered_index(df, order=["v"], group=["g"], name="i").collect()),
-                 key=key)
-    assert got == sorted([(None, 1, 0), (None, 2, 1), (None, 3, 2), ("a", 2, 0), ("a", 5, 1)], key=key)
+def test_null_group_and_sort_keys_kept(spark):
+    df = spark.createDataFrame([(None, 3), (None, None), ("a", 2), ("a", 5), (None, 2)], "g string, v int")
+    key = lambda t: (t[0] is None, t[0] or "", t[1] is not None, t[1] or 0)
+    got = sorted(((r["g"], r["v"], r["i"]) for r in ordered_index(df, order=["v"], group=["g"], name="i").collect()), key=key)
+    assert got == sorted([(None, None, 0), (None, 2, 1), (None, 3, 2), ("a", 2, 0), ("a", 5, 1)], key=key)

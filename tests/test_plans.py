@@ -26,13 +26,24 @@ def test_projection_pruned(spark):
     assert "l_extendedprice" not in p and "l_tax" not in p
 
 
-def test_lpt_is_only_python_node(spark):
-    p = _plan(catalog.QUERIES["level_days_lpt"](spark, SF))
-    assert "FlatMapGroupsInPandas" in p
-    p2 = _plan(catalog.QUERIES["level_days_snake"](spark, SF))
-    assert "FlatMapGroupsInPandas" not in p2
-
-
-def test_override_join_is_broadcast(spark):
-    p = _plan(catalog.QUERIES["delivery_type_override"](spark, SF))
-    assert "BroadcastHashJoin" in p and "LeftOuter" in p
+def test_no_python_in_levelling(spark):
+    for key in ("level_days", "weekly_schedule", "audit_schedule"):
+        p = _plan(catalog.QUERIES[key](spark, SF))
+        assert "Pandas" not in p and "Python" not in p
+
+
+REPORTS = ("report_weekly_plan", "report_horizon", "report_snapshot", "report_snapshot_all_sites", "vendor_upt", "delivery_type_override")
+
+
+def test_building_a_report_starts_no_job(spark):
+    spark.range(1).count()
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy"))
+    for key in REPORTS:
+        catalog.QUERIES[key](spark, SF)  # files are listed and their schemas read once
+    spark.sparkContext.setJobGroup("lazy", "plan building")
+    try:
+        for key in REPORTS:
+            catalog.QUERIES[key](spark, SF)
+        assert jobs() == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
