@@ -1,19 +1,20 @@
 """Benchmark decontamination (operator 1): rare n-gram seeds, then Smith-Waterman alignment of words.
 
-1. Every n-gram of a test item is a possible seed. A first pass over the corpus counts the documents that hold each.
-   An item keeps its rarer half: those at or below the median of its own document counts. The measure is
-   relative to the item, so an item copied into a third of the corpus still has seeds.
-2. A second pass joins passages to items on the seeds. Hits on one item that stand within an item's length of each other
-   form a passage, widened by that length on both sides.
+1. Every n-gram of a test item is a possible seed. One scan of the corpus joins texts to items on them: hits on one item that
+   stand within an item's length of each other form a passage, widened by that length on both sides, and the passages
+   are written down with their seeds.
+2. The documents that hold each seed are counted. An item keeps its rarer half: the seeds at or below the median of its own
+   document counts; passages without one go. The measure is relative to the item, so an item copied into a third of the
+   corpus still has seeds.
 3. The passage and the item are aligned (match ``MATCH``, mismatch ``MISMATCH``, gap ``GAP``), whatever words were replaced, dropped
    or put in. Score: alignment score over that of an identical copy. At ``threshold`` the passage is a leak; then alignment
    goes on in what is left of the passage to either side.
 
 Words are compared in lower case and without punctuation at their ends. Items with fewer than n words are sought as exact sequences.
 
-Scale: the corpus is scanned in place, without a shuffle; a document's alignments run where its text is. Items are
-taken in blocks of at most ``items_per_block``, so what is broadcast (the seeds and words of a block) stays bounded however
-large the benchmark is; a block costs two scans. What comes to the driver is one count per seed of a block.
+Scale: the corpus is scanned in place, without a shuffle; only passages leave it. Items are taken in blocks of at most
+``items_per_block``, so what is broadcast (the seeds and words of a block) stays bounded however large the benchmark is; a
+block costs one scan. What comes to the driver is one count per seed of a block.
 
 Defined cases. A null text is the empty text: no leak. Null or wordless items match nothing. Null ids are kept as nulls. Rows that
 repeat a document or an item give their rows again. Texts are read whole. Empty tables give an empty result. Other columns are ignored.
@@ -21,6 +22,7 @@ repeat a document or an item give their rows again. Texts are read whole. Empty
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import ship, table, whole_text
+from dockplan.llm.common import ship, stored, table, whole_text
 
 N = 3
 THRESHOLD = 0.5
@@ -42,27 +44,29 @@ EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
-class Words:
-    """64-bit hashes of normalised words, 0 for words of punctuation alone; about ``limit`` raw words remembered."""
+class Words(dict):
+    """64-bit hashes of normalised words by raw word, 0 for words of punctuation alone."""
 
-    def __init__(self, limit: int = 400_000):
-        self.limit, self.known = limit, {}
-
-    def __call__(self, raw: list[str]) -> np.ndarray:
-        if len(self.known) > self.limit:
-            self.known = {}
-        for w in {x for x in raw if x not in self.known}:
-            bare = w.strip(EDGE)
-            self.known[w] = xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass")) | 1 if bare else 0
-        return np.fromiter(map(self.known.__getitem__, raw), dtype=np.uint64, count=len(raw))
+    def __missing__(self, raw: bytes) -> int:
+        bare = raw.decode("utf-8", "surrogatepass").lower().strip(EDGE)
+        code = xxhash.xxh64_intdigest(bare.encode("utf-8", "surrogatepass")) | 1 if bare else 0
+        self[raw] = code
+        return code
 
 
 _WORDS = Words()
+WORD_LIMIT = 500_000
+
 
+def raw_words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").split()
 
-def hashed(raw: list[str]) -> np.ndarray:
-    """Hashes by one table per worker."""
-    return _WORDS(raw)
+
+def hashed(raw: list[bytes]) -> np.ndarray:
+    """Hashes by one table per worker; about ``WORD_LIMIT`` words are remembered."""
+    if len(_WORDS) > WORD_LIMIT:
+        _WORDS.clear()
+    return np.fromiter(map(_WORDS.__getitem__, raw), dtype=np.uint64, count=len(raw))
 
 
 def grams(w: np.ndarray, n: int) -> np.ndarray:
@@ -115,15 +119,15 @@ class Block:
         return pos[ok], h[ok]
 
 
-def sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of a batch end to end without punctuation words, the raw index of each in its text, and the bounds."""
-    raw = [t.lower().split() for t in texts]
-    sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+def sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of a batch end to end without punctuation words, which raw words of the batch they are, and the bounds
+    of the texts in both."""
+    raw = [raw_words(t) for t in texts]
+    ends = np.cumsum([0, *map(len, raw)])
     w = hashed([x for r in raw for x in r])
-    doc = np.repeat(np.arange(len(raw)), sizes)
-    index = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    real = w != 0
-    return w[real], index[real], np.searchsorted(doc[real], np.arange(len(raw) + 1))
+    real = np.flatnonzero(w)
+    bounds = np.searchsorted(real, ends)
+    return w[real], real, bounds, ends
 
 
 def inside(pos: np.ndarray, n: int, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,27 +136,6 @@ def inside(pos: np.ndarray, n: int, bounds: np.ndarray) -> tuple[np.ndarray, np.
     return doc, pos + n <= bounds[doc + 1]
 
 
-def count_documents(block) -> callable:
-    """Per seed, the documents that hold it."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = block.value
-        total: dict[int, int] = defaultdict(int)
-        for pdf in batches:
-            for k in range(0, len(pdf), 1024):
-                w, _, bounds = sequences(pdf["text"].iloc[k : k + 1024].tolist())
-                for n in b.sizes:
-                    pos, h = b.hits(w, n)
-                    doc, ok = inside(pos, n, bounds)
-                    once = np.unique(np.stack([doc[ok].astype(np.uint64), h[ok]]), axis=1)[1]
-                    for x, c in zip(*[a.tolist() for a in np.unique(once, return_counts=True)]):
-                        total[x] += c
-        keys = np.array(list(total), dtype=np.uint64)
-        yield pd.DataFrame({"seed": keys.view(np.int64), "documents": np.array(list(total.values()), dtype=np.int64)})
-
-    return run
-
-
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     """Best local alignment score, and the end of its place in the passage (exclusive)."""
     steps = -GAP * np.arange(len(passage) + 1)
@@ -193,50 +176,73 @@ def passages(pos: list[int], size: int, length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-LEAKS = "item_id long, score double, start long, `end` long, passage string"
+FOUND = "item long, words binary, places binary, start long, passage string, seeds array<bigint>, counted array<bigint>"
+WORD_PLACES = re.compile(r"[^ \t-\r]+")
+
 
+def find_passages(block, id_column: str) -> callable:
+    """Texts -> passages of one item: word hashes, their places in the passage, its seeds, and which of them the document counts for."""
 
-def find_leaks(block, threshold: float, id_column: str) -> callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b = block.value
         for pdf in batches:
             out = []
             for k in range(0, len(pdf), 1024):
                 part = pdf.iloc[k : k + 1024]
-                texts = part["text"].tolist()
-                w, index, bounds = sequences(texts)
-                found: dict[tuple[int, int], list[int]] = defaultdict(list)
+                texts, ids = part["text"].tolist(), part[id_column].tolist()
+                w, raw, bounds, raw_bounds = sequences(texts)
+                found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
                 for n in b.sizes:
                     pos, h = b.hits(w, n)
                     doc, ok = inside(pos, n, bounds)
                     for d, p, x in zip(doc[ok].tolist(), pos[ok].tolist(), h[ok].tolist()):
-                        for i, _ in b.at[x]:
+                        for i in {i for i, _ in b.at[x]}:
                             if min(N, len(b.words[i])) == n:
-                                found[d, i].append(p - int(bounds[d]))
+                                found[d, i].append((p - int(bounds[d]), x))
+                last, places, counted = -1, [], set()
                 for (d, i), hits in sorted(found.items()):
-                    item, text = b.words[i], w[bounds[d] : bounds[d + 1]]
-                    least = threshold if len(item) >= N else 1.0
-                    for a, z in passages(hits, len(item), len(text)):
-                        for score, s, e in leaks_in(item, text[a:z], least):
-                            first, last = index[bounds[d] + a + s], index[bounds[d] + a + e - 1]
-                            start, end = char_range(texts[d], int(first), int(last))
-                            out.append((part[id_column].iloc[d], b.ids[i], score, start, end, texts[d][start:end]))
-            yield pd.DataFrame(out, columns=[id_column, "item_id", "score", "start", "end", "passage"])
+                    if d != last:
+                        last, counted = d, set()
+                        spans = [m.span() for m in WORD_PLACES.finditer(texts[d])]
+                        places = [spans[x] for x in (raw[bounds[d] : bounds[d + 1]] - raw_bounds[d]).tolist()]
+                    text = w[bounds[d] : bounds[d + 1]]
+                    for a, z in passages([p for p, _ in hits], len(b.words[i]), len(text)):
+                        seeds = sorted({x for p, x in hits if a <= p < z})
+                        new = [x for x in seeds if x not in counted]
+                        counted.update(new)
+                        start, end = places[a][0], places[z - 1][1]
+                        at = np.array(places[a:z], dtype="<i8") - start
+                        signed = lambda xs: np.array(xs, dtype=np.uint64).view(np.int64).tolist()
+                        out.append((ids[d], i, text[a:z].tobytes(), at.tobytes(), start, texts[d][start:end], signed(seeds), signed(new)))
+            yield pd.DataFrame(out, columns=[id_column, "item", "words", "places", "start", "passage", "seeds", "counted"])
 
     return run
 
 
-def char_range(text: str, first: int, last: int) -> tuple[int, int]:
-    """Code points from the start of word ``first`` to the end of word ``last``."""
-    at, start, k = 0, 0, -1
-    for k, word in enumerate(text.split()):
-        at = text.index(word, at)
-        if k == first:
-            start = at
-        at += len(word)
-        if k == last:
-            return start, at
-    return start, at
+LEAKS = "item_id long, score double, start long, `end` long, passage string"
+
+
+def align_passages(block, threshold: float, id_column: str) -> callable:
+    """Passages with a rare seed -> leaks."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        b = block.value
+        rare = {(i, h) for h, at in b.at.items() for i, _ in at}
+        for pdf in batches:
+            out = []
+            for key, i, words, places, start, passage, seeds in zip(
+                    pdf[id_column], pdf["item"], pdf["words"], pdf["places"], pdf["start"], pdf["passage"], pdf["seeds"]):
+                if not any((i, h & (2**64 - 1)) in rare for h in map(int, seeds)):
+                    continue
+                item = b.words[i]
+                at = np.frombuffer(places, dtype="<i8").reshape(-1, 2)
+                least = threshold if len(item) >= N else 1.0
+                for score, s, e in leaks_in(item, np.frombuffer(words, dtype=np.uint64), least):
+                    a, z = int(at[s, 0]), int(at[e - 1, 1])
+                    out.append((key, b.ids[i], score, start + a, start + z, passage[a:z]))
+            yield pd.DataFrame(out, columns=[id_column, "item_id", "score", "start", "end", "passage"])
+
+    return run
 
 
 def item_blocks(items: DataFrame, per_block: int) -> Iterator[pd.DataFrame]:
@@ -272,14 +278,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     schema = f"`{key}` long, {LEAKS}"
     parts = []
     for chunk in item_blocks(items, items_per_block):
-        words = [x[x != 0] for x in (hashed(t.lower().split()) for t in chunk["text"])]
+        words = [x[x != 0] for x in (hashed(raw_words(t)) for t in chunk["text"])]
         ids = chunk["item_id"].tolist()
         every = spark.sparkContext.broadcast(Block.of(ids, words))
-        counts = source.select("text").mapInPandas(count_documents(every), "seed long, documents long")
-        got = counts.groupBy("seed").agg(F.sum("documents").alias("documents")).toPandas()
+        found = stored(source.mapInPandas(find_passages(every, key), f"`{key}` long, {FOUND}"))
+        got = found.select(F.explode("counted").alias("seed")).groupBy("seed").agg(F.count(F.lit(1)).alias("documents")).toPandas()
         documents = dict(zip(got["seed"].to_numpy(dtype=np.int64).view(np.uint64).tolist(), got["documents"].tolist()))
         rare = spark.sparkContext.broadcast(Block.of(ids, words, rare_seeds(words, documents)))
-        parts.append(source.mapInPandas(find_leaks(rare, threshold, key), schema))
+        parts.append(found.mapInPandas(align_passages(rare, threshold, key), schema))
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
