@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dockplan.llm import bpe_chunks, chat, decontamination, kneser_ney, ngram_join, pii, quality, sharding, token_store, toxicity
+from dockplan.llm.oracle import ORACLE
 
 QUERIES = {
     "op1_seed_and_align_decontamination": decontamination.op1_seed_and_align_decontamination,
@@ -17,4 +18,4 @@ QUERIES = {
     "op10_rendezvous_sharding": sharding.op10_rendezvous_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
