@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockplan.llm.common import scratch_dir, ship, stored, table, whole_text
+from dockplan.llm.mapped import open_fs
 from dockplan.llm.pieces import ByteEncoder
 
 MAGIC = b"IDSHARD1"
@@ -55,10 +56,6 @@ def encoder(path: str) -> ByteEncoder:
     return _ENCODERS[path]
 
 
-def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
-
-
 # ---- payload files -------------------------------------------------------------------------------------------
 
 

@@ -14,17 +14,19 @@ its windows of so many words (the whole text if it is shorter): a long text is a
 logistic curve, fitted on training rows that counted nothing, turns evidence into a score.
 
 Bound: counting takes at most ``max_count_rows`` labelled rows and the curve at most ``max_curve_rows``, those with the smallest
-id hashes (both documented parameters); spellings in fewer than ``smallest`` of them are left out of the model, whose two sorted
-hash arrays are broadcast. Scoring covers every text and is one pass without a shuffle.
+id hashes (both documented parameters); spellings in fewer than ``smallest`` of them are left out of the model, a file of sorted
+hash arrays that workers map into memory. Scoring covers every text and is one pass without a shuffle.
 
 Defined cases. A null text is the empty text; a text without words has evidence 0. Null labels and null ids train nothing; a
-document with several labels is toxic if any is. Without both classes in the training rows, all scores are 0. Repeated
+document with several labels is toxic if any is. Without both classes in the training rows,
+or without a spelling frequent enough, all scores are 0. Repeated
 rows score alike. Empty tables give empty results. Other columns are kept; columns it adds replace same-named ones.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +37,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import id_remainder, ship, stored, table, whole_text
+from dockplan.llm.common import id_remainder, scratch_dir, ship, stored, table, whole_text
+from dockplan.llm.mapped import map_arrays, open_fs, write_arrays
 
 WORD = r"[^\W_]+"
 WIDTHS = (1, 4, 16)
@@ -47,7 +50,8 @@ MAX_CURVE_ROWS = 8_000
 
 
 def spelling_hash(prefix: str) -> int:
-    return xxhash.xxh64_intdigest(prefix.encode("utf-8", "surrogatepass"))
+    """What ``xxhash64`` gives in SQL, unsigned."""
+    return xxhash.xxh64_intdigest(prefix.encode("utf-8", "surrogatepass"), seed=42)
 
 
 def spellings(word: str) -> list[str]:
@@ -56,24 +60,36 @@ def spellings(word: str) -> list[str]:
     return [closed[:k] for k in range(1, len(closed) + 1)]
 
 
-@dataclass
+@dataclass(frozen=True)
 class Model:
-    """Per known spelling (sorted hashes): the ratio up to it, and the ratio of leaving the known spellings there."""
+    """Where the file of sorted hash arrays is, and the ratio of leaving the known spellings at once.
 
-    keys: np.ndarray
-    upto: np.ndarray
-    leave: np.ndarray
+    Per known spelling: its hash, the ratio up to it, and the ratio of leaving the known spellings there.
+    """
+
+    folder: str
+    file: str
     root: float
 
+    def arrays(self) -> list[np.ndarray]:
+        if self.file not in _MAPPED:
+            _MAPPED.clear()
+            _MAPPED[self.file] = map_arrays(self.folder, self.file, ["<u8", "<f4", "<f4"])
+        return _MAPPED[self.file]
+
     def ratio(self, word: str) -> float:
+        keys, upto, leave = self.arrays()
         hashes = np.array([spelling_hash(x) for x in spellings(word)], dtype=np.uint64)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        hit = self.keys[at] == hashes
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        hit = keys[at] == hashes
         depth = len(hit) if hit.all() else int(np.argmin(hit))
         if not depth:
             return self.root
         last = at[depth - 1]
-        return float(self.upto[last] + (0.0 if depth == len(hit) else self.leave[last]))
+        return float(upto[last] + (0.0 if depth == len(hit) else leave[last]))
+
+
+_MAPPED: dict[str, list[np.ndarray]] = {}
 
 
 class WordRatios:
@@ -92,8 +108,8 @@ class WordRatios:
 
     def _new(self, words: list[str]) -> list[float]:
         """All words one character further at a time, dropping those whose spelling is unknown."""
-        m = self.model
-        out = np.full(len(words), m.root)
+        keys, upto, leave = self.model.arrays()
+        out = np.full(len(words), self.model.root)
         closed = [(w + END)[:ORDER] for w in words]
         todo = np.arange(len(words))
         for k in range(1, ORDER + 1):
@@ -101,11 +117,11 @@ class WordRatios:
             if not len(todo):
                 break
             h = np.fromiter((spelling_hash(closed[i][:k]) for i in todo.tolist()), dtype=np.uint64, count=len(todo))
-            at = np.minimum(np.searchsorted(m.keys, h), len(m.keys) - 1)
-            hit = m.keys[at] == h
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            hit = keys[at] == h
             todo, at = todo[hit], at[hit]
             done = np.fromiter((len(closed[i]) == k for i in todo.tolist()), dtype=bool, count=len(todo))
-            out[todo] = m.upto[at] + np.where(done, 0.0, m.leave[at])
+            out[todo] = upto[at] + np.where(done, 0.0, leave[at])
         return out.tolist()
 
 
@@ -144,6 +160,8 @@ def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for toxic, text in zip(pdf["toxic"], pdf["text"]):
             counts[int(toxic > 0)].update({w[:ORDER] for w in words_of(text)})
         for toxic, c in counts.items():
+            if not c:
+                continue
             n = np.fromiter(c.values(), dtype=np.int64, count=len(c))
             yield pd.DataFrame({"word": list(c), "toxic": n * toxic, "ordinary": n * (1 - toxic)})
 
@@ -163,7 +181,7 @@ def discount_of(c, d: tuple[float, float, float]):
 
 
 def fit(rows: DataFrame, smallest: int = 3) -> Model | None:
-    """The model of counting rows; None without both classes. Sums run in Spark, the bounded arrays come to the driver."""
+    """The model of counting rows; None without both classes or known spellings. Sums run in Spark."""
     classes = ("toxic", "ordinary")
     words = rows.mapInPandas(count_words, "word string, toxic long, ordinary long")
     words = words.groupBy("word").agg(*[F.sum(c).alias(c) for c in classes])
@@ -186,29 +204,40 @@ def fit(rows: DataFrame, smallest: int = 3) -> Model | None:
          + F.col(f"l_{c}") * shared for c in classes}
     leave = F.log(F.col("l_toxic") / F.col("l_ordinary"))
     known = nodes.where(F.col("toxic") + F.col("ordinary") >= smallest).join(inner, "parent")
-    onward = inner.select(F.col("parent").alias("node"), leave.alias("leave"))
-    table = known.select("parent", "node", (F.log(p["toxic"]) - F.log(p["ordinary"])).alias("step")).join(onward, "node", "left").toPandas()
-    root = inner.where("parent = ''").select(leave).first()
-    return chained(table, float(root[0]))
-
+    known = known.select("node", F.xxhash64("node").alias("key"), (F.log(p["toxic"]) - F.log(p["ordinary"])).alias("step"))
+    onward = inner.select(F.xxhash64("parent").alias("key"), leave.alias("leave"))
+    known = stored(known.join(onward, "key", "left"))
+    # Every beginning of a known spelling is known, so the sums along the spellings are one join.
+    parts = known.select("key", F.explode(F.expr("transform(sequence(1, length(node)), k -> xxhash64(substring(node, 1, k)))")).alias("part"))
+    sums = parts.join(known.select(F.col("key").alias("part"), "step"), "part").groupBy("key").agg(F.sum("step").alias("upto"))
+    table = sums.join(known.select("key", "leave"), "key").select(
+        "key", F.col("upto").cast("float").alias("upto"), F.coalesce("leave", F.lit(0.0)).cast("float").alias("leave"))
+    folder = f"{scratch_dir(rows.sparkSession)}/toxicity-{uuid.uuid4().hex}"
+    fs, path = open_fs(folder)
+    fs.create_dir(path, recursive=True)
+    # Bounded by the counting rows, so one task may write it; it never passes through the driver.
+    written = stored(table.repartition(1).mapInPandas(write_model(folder), "file string")).first()
+    return written and Model(folder, written["file"], float(inner.where("parent = ''").select(leave).first()[0]))
+
+
+def write_model(folder: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [(p["key"].to_numpy(np.int64), p["upto"].to_numpy(np.float32), p["leave"].to_numpy(np.float32)) for p in batches]
+        if not parts or not sum(len(x[0]) for x in parts):
+            return
+        keys, upto, leave = (np.concatenate(x) for x in zip(*parts))
+        keys = keys.view(np.uint64)
+        order = np.argsort(keys)
+        yield pd.DataFrame({"file": [write_arrays(folder, "spellings", [keys[order], upto[order], leave[order]])]})
 
-def chained(table: pd.DataFrame, root: float) -> Model:
-    """Sums the steps along each spelling, level by level."""
-    table = table.assign(size=table["node"].str.len()).sort_values("size", kind="stable")
-    upto: dict[str, float] = {"": 0.0}
-    for node, parent, step in zip(table["node"], table["parent"], table["step"]):
-        upto[node] = upto[parent] + step
-    keys = np.array([spelling_hash(x) for x in table["node"]], dtype=np.uint64)
-    order = np.argsort(keys)
-    sums = np.array([upto[x] for x in table["node"]], dtype=np.float32)
-    return Model(keys[order], sums[order], table["leave"].fillna(0.0).to_numpy(dtype=np.float32)[order], root)
+    return run
 
 
-def with_evidence(df: DataFrame, model, text: str = "text") -> DataFrame:
-    """``df`` with ``evidence``; ``model`` is a broadcast ``Model``."""
+def with_evidence(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``df`` with ``evidence``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ratios = WordRatios(model.value)
+        ratios = WordRatios(model)
         for pdf in batches:
             for k in range(0, len(pdf), 1024):
                 part = pdf.iloc[k : k + 1024]
@@ -244,10 +273,9 @@ class ToxicityScorer:
                  max_curve_rows: int = MAX_CURVE_ROWS):
         ship(spark)
         rows = training_rows(docs, labels, max_count_rows, max_curve_rows)
-        model = fit(rows.where("part = 1").select("text", "toxic"))
-        self.model = None if model is None else spark.sparkContext.broadcast(model)
+        self.model = fit(rows.where("part = 1").select("text", "toxic"))
         self.curve = [0.0] * (len(WIDTHS) + 1)
-        if model is not None:
+        if self.model is not None:
             got = with_evidence(rows.where("part = 0").select("toxic", "text"), self.model).toPandas()
             if len(got):
                 self.curve = logistic(np.stack(got["evidence"].to_list()), got["toxic"].to_numpy(dtype=float)).tolist()
