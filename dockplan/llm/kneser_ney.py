@@ -48,25 +48,23 @@ MAX_BUCKETS = 20_000
 # ---- tokens --------------------------------------------------------------------------------------------------
 
 
-class Codes:
-    """64-bit codes of byte words; about ``limit`` remembered by a worker."""
+class Codes(dict):
+    """64-bit codes by byte word."""
 
-    def __init__(self, limit: int = 500_000):
-        self.limit, self.known = limit, {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.limit:
-            self.known = {}
-        for w in {x for x in words if x not in self.known}:
-            self.known[w] = max(16, xxhash.xxh64_intdigest(w))
-        return np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = max(16, xxhash.xxh64_intdigest(word))
+        return code
 
 
 _CODES = Codes()
+CODE_LIMIT = 700_000
 
 
 def word_codes(words: list[bytes]) -> np.ndarray:
-    return _CODES(words)
+    """Codes by one table per worker; about ``CODE_LIMIT`` words are remembered."""
+    if len(_CODES) > CODE_LIMIT:
+        _CODES.clear()
+    return np.fromiter(map(_CODES.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
