@@ -22,8 +22,7 @@ from dockplan.llm.common import stored, table
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models reject go."""
     scorer = toxicity.ToxicityScorer(spark, docs, table(spark, sf_dir, "labels"))
-    scored = scorer.score(docs.withColumn("_whole", F.col("text")))
-    return scored.where("predicted = 0").withColumn("text", F.col("_whole")).select(docs.columns)
+    return scorer.score(docs, keep_text=True).where("predicted = 0").select(docs.columns)
 
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

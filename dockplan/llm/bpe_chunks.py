@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import ship, table, whole_text
+from dockplan.llm.common import ship, table, whole_text, worker_cache
 from dockplan.llm.pieces import LETTERS, Pieces, lower_byte_form, plain_latin
 
 WINDOW = 8
@@ -136,14 +136,9 @@ class ChunkEncoder:
         return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
 def encoder(path: str) -> ChunkEncoder:
     """One encoder per worker process and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    return worker_cache(("chunks", path), lambda: ChunkEncoder(path))
 
 
 def ids_and_text(batch: pd.DataFrame, ids: list[np.ndarray], decoded: list[str]) -> pd.DataFrame:

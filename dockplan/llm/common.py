@@ -74,9 +74,20 @@ def power_of_two_at_least(n: float) -> int:
 _SHIPPED: set[str] = set()
 
 
+#: Rows that go to a Python task at a time: texts are long, and Spark's own default holds ten thousand of them.
+BATCH_ROWS = 1_000
+SPARK_BATCH_ROWS = 10_000
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers, once per application: executors see none of the driver's folders."""
+    """Give this package to the Python workers, once per application: executors see none of the driver's folders.
+
+    A session that has no batch size of its own gets ``BATCH_ROWS``, so that a task's memory stays small.
+    """
     context = spark.sparkContext
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) == SPARK_BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parent.parent
@@ -86,3 +97,17 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(root.parent))
     context.addPyFile(str(target))
     _SHIPPED.add(context.applicationId)
+
+
+_KEPT: dict = {}
+
+
+def worker_cache(name, make):
+    """The one cache that a worker process keeps between tasks: asking for another one drops it first.
+
+    Workers are reused by all queries of a session, so caches of several operators would add up.
+    """
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import ship, stored, table, whole_text
+from dockplan.llm.common import ship, stored, table, whole_text, worker_cache
 
 N = 3
 THRESHOLD = 0.5
@@ -54,7 +54,6 @@ class Words(dict):
         return code
 
 
-_WORDS = Words()
 WORD_LIMIT = 500_000
 
 
@@ -64,9 +63,10 @@ def raw_words(text: str) -> list[bytes]:
 
 def hashed(raw: list[bytes]) -> np.ndarray:
     """Hashes by one table per worker; about ``WORD_LIMIT`` words are remembered."""
-    if len(_WORDS) > WORD_LIMIT:
-        _WORDS.clear()
-    return np.fromiter(map(_WORDS.__getitem__, raw), dtype=np.uint64, count=len(raw))
+    words = worker_cache("decontamination", Words)
+    if len(words) > WORD_LIMIT:
+        words.clear()
+    return np.fromiter(map(words.__getitem__, raw), dtype=np.uint64, count=len(raw))
 
 
 def grams(w: np.ndarray, n: int) -> np.ndarray:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import id_remainder, scratch_dir, ship, stored, table, whole_text
+from dockplan.llm.common import id_remainder, scratch_dir, ship, stored, table, whole_text, worker_cache
 from dockplan.llm.mapped import map_arrays, open_fs, write_arrays
 
 START, END = 1, 2  # codes below any word's
@@ -56,15 +56,15 @@ class Codes(dict):
         return code
 
 
-_CODES = Codes()
 CODE_LIMIT = 700_000
 
 
 def word_codes(words: list[bytes]) -> np.ndarray:
     """Codes by one table per worker; about ``CODE_LIMIT`` words are remembered."""
-    if len(_CODES) > CODE_LIMIT:
-        _CODES.clear()
-    return np.fromiter(map(_CODES.__getitem__, words), dtype=np.uint64, count=len(words))
+    codes = worker_cache("kneser_ney", Codes)
+    if len(codes) > CODE_LIMIT:
+        codes.clear()
+    return np.fromiter(map(codes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -30,6 +30,7 @@ Texts of fewer than 5 words are one shingle. Empty tables give empty results. Ot
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import ship, stored, table, whole_text
+from dockplan.llm.common import ship, stored, table, whole_text, worker_cache
 
 WORDS = 5
 HUBS = 16  # per posting list and round
@@ -48,37 +49,36 @@ POSTINGS = "key long, " + ", ".join(f"{c} long" for c in SIDE)
 TRIES = (2, 4, 8)  # hubs that a group is verified against, by round
 ROWS_PER_BUCKET = 5_000
 MAX_BUCKETS = 60_000
-UNIT_BYTES = 8_000_000
+UNIT_BYTES = 3_000_000
 MULTIPLIER = 0x9E3779B97F4A7C15
 RECORD = [("rid", "<i8"), ("doc_id", "<i8"), ("null", "<i8"), ("n", "<i8"), ("digest", "S33")]
 
 
-class WordTable:
-    """64-bit hashes of byte words; about ``limit`` remembered by a worker."""
+class WordTable(dict):
+    """64-bit hashes by byte word."""
 
-    def __init__(self, limit: int = 500_000):
-        self.limit, self.known = limit, {}
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = xxhash.xxh64_intdigest(word)
+        return code
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.limit:
-            self.known = {}
-        for w in {x for x in words if x not in self.known}:
-            self.known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
 
+WORD_LIMIT = 400_000
 
-_WORDS = WordTable()
 
-
-def word_codes(words: list[bytes]) -> np.ndarray:
-    return _WORDS(words)
+def word_codes(texts: list[list[bytes]], count: int) -> np.ndarray:
+    """Hashes by one table per worker; about ``WORD_LIMIT`` words are remembered."""
+    table = worker_cache("ngram_join", WordTable)
+    if len(table) > WORD_LIMIT:
+        table.clear()
+    return np.fromiter(map(table.__getitem__, chain.from_iterable(texts)), dtype=np.uint64, count=count)
 
 
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; bytes lower and split on exactly the ASCII letters and white space."""
     raw = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
     sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
-    w = word_codes([x for r in raw for x in r])
+    w = word_codes(raw, int(sizes.sum()))
+    raw = [b" ".join(r) if len(r) < WORDS else b"" for r in raw]  # the others are not needed any more
     ends = np.cumsum(sizes)
     with np.errstate(over="ignore"):
         h = np.zeros(max(0, len(w) - WORDS + 1), dtype=np.uint64)
@@ -91,7 +91,7 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
             s = np.sort(h[z - n : z - WORDS + 1])
             out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
         elif n:
-            out.append(np.array([xxhash.xxh64_intdigest(b" ".join(raw[len(out)]), seed=n)], dtype=np.uint64))
+            out.append(np.array([xxhash.xxh64_intdigest(raw[len(out)], seed=n)], dtype=np.uint64))
         else:
             out.append(np.zeros(0, dtype=np.uint64))
     return out
@@ -155,13 +155,14 @@ def answer(n_parts: int):
         join = lambda c, t: np.frombuffer(b"".join(pdf[c]), dtype=t)
         key, rec = join("key", "<u4"), np.frombuffer(b"".join(pdf["rec"]), dtype=RECORD)
         rid = np.repeat(join("rid", "<i8"), join("cnt", "<u4"))
-        order = np.argsort(key, kind="stable")
-        key, rid = key[order], rid[order]
+        order = np.argsort(key, kind="stable").astype(np.uint32)
+        key = key[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
         size = np.diff(np.append(first, len(key)))
-        df = np.repeat(size, size)
+        df = np.repeat(np.minimum(size, 0xFFFF).astype("<u2"), size)
         twice = df > 1
-        key, rid, df = key[twice], rid[twice], np.minimum(df[twice], 0xFFFF).astype("<u2")
+        key, rid, df = key[twice], rid[order[twice]], df[twice]
+        del order, twice, first, size
         order = np.lexsort((rid, rid % n_parts))
         key, rid, df = key[order], rid[order], df[order]
         cuts = np.searchsorted(rid % n_parts, np.arange(n_parts + 1))

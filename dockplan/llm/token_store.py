@@ -36,7 +36,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import scratch_dir, ship, stored, table, whole_text
+from dockplan.llm.common import scratch_dir, ship, stored, table, whole_text, worker_cache
 from dockplan.llm.mapped import open_fs
 from dockplan.llm.pieces import ByteEncoder
 
@@ -46,14 +46,9 @@ END_ID = 2
 KEYS_PER_INDEX = 100_000
 SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("first", "<u8"), ("count", "<u8")])
 
-_ENCODERS: dict[str, ByteEncoder] = {}
-
-
 def encoder(path: str) -> ByteEncoder:
     """One encoder per worker process and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ByteEncoder(path)
-    return _ENCODERS[path]
+    return worker_cache(("bytes", path), lambda: ByteEncoder(path))
 
 
 # ---- payload files -------------------------------------------------------------------------------------------

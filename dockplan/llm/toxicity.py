@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import id_remainder, scratch_dir, ship, stored, table, whole_text
+from dockplan.llm.common import id_remainder, scratch_dir, ship, stored, table, whole_text, worker_cache
 from dockplan.llm.mapped import map_arrays, open_fs, write_arrays
 
 WORD = r"[^\W_]+"
@@ -72,10 +72,7 @@ class Model:
     root: float
 
     def arrays(self) -> list[np.ndarray]:
-        if self.file not in _MAPPED:
-            _MAPPED.clear()
-            _MAPPED[self.file] = map_arrays(self.folder, self.file, ["<u8", "<f4", "<f4"])
-        return _MAPPED[self.file]
+        return map_arrays(self.folder, self.file, ["<u8", "<f4", "<f4"])
 
     def ratio(self, word: str) -> float:
         keys, upto, leave = self.arrays()
@@ -89,14 +86,12 @@ class Model:
         return float(upto[last] + (0.0 if depth == len(hit) else leave[last]))
 
 
-_MAPPED: dict[str, list[np.ndarray]] = {}
-
-
 class WordRatios:
     """Ratios of words; at most ``limit`` of them remembered by a worker."""
 
     def __init__(self, model: Model, limit: int = 400_000):
         self.model, self.limit, self.known = model, limit, {}
+        self.arrays = model.arrays()
 
     def __call__(self, words: list[str]) -> np.ndarray:
         if len(self.known) > self.limit:
@@ -108,7 +103,7 @@ class WordRatios:
 
     def _new(self, words: list[str]) -> list[float]:
         """All words one character further at a time, dropping those whose spelling is unknown."""
-        keys, upto, leave = self.model.arrays()
+        keys, upto, leave = self.arrays
         out = np.full(len(words), self.model.root)
         closed = [(w + END)[:ORDER] for w in words]
         todo = np.arange(len(words))
@@ -233,22 +228,23 @@ def write_model(folder: str):
     return run
 
 
-def with_evidence(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``df`` with ``evidence``."""
+def with_evidence(df: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``df`` with ``evidence``, without the text unless it is kept (a null one as it was)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ratios = WordRatios(model)
+        ratios = worker_cache(("toxicity", model.file), lambda: WordRatios(model))
         for pdf in batches:
             for k in range(0, len(pdf), 1024):
                 part = pdf.iloc[k : k + 1024]
-                found = [words_of(t) for t in part["_t"]]
+                found = [words_of(t) if t else [] for t in part["_t"].tolist()]
                 bounds = np.cumsum([0, *map(len, found)])
-                yield part.drop(columns="_t").assign(evidence=list(evidence(ratios([w for f in found for w in f]), bounds)))
+                rest = part.rename(columns={"_t": text}) if keep_text else part.drop(columns="_t")
+                yield rest.assign(evidence=list(evidence(ratios([w for f in found for w in f]), bounds)))
 
     names = [f.name for f in df.schema.fields if f.name not in ("evidence", text)]
-    source = df.select(*[F.col(f"`{c}`") for c in names], whole_text(f"`{text}`").alias("_t"))
+    source = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").cast("string").alias("_t"))
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
-    return source.mapInPandas(run, f"{kept}evidence array<double>")
+    return source.mapInPandas(run, f"{kept}{f'`{text}` string, ' if keep_text else ''}evidence array<double>")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
@@ -280,15 +276,15 @@ class ToxicityScorer:
             if len(got):
                 self.curve = logistic(np.stack(got["evidence"].to_list()), got["toxic"].to_numpy(dtype=float)).tolist()
 
-    def score(self, keys: DataFrame) -> DataFrame:
-        """Rows of ``keys`` without their text, with ``evidence``, ``score`` and ``predicted``."""
+    def score(self, keys: DataFrame, keep_text: bool = False) -> DataFrame:
+        """Rows of ``keys``, without their text unless it is kept, with ``evidence``, ``score`` and ``predicted``."""
         if self.model is None:
-            out = keys.drop("text", "evidence").withColumn("evidence", F.array().cast("array<double>")).withColumn("score", F.lit(0.0))
+            out = keys.drop("evidence", *[] if keep_text else ["text"]).withColumn("evidence", F.array().cast("array<double>")).withColumn("score", F.lit(0.0))
         else:
             logit = F.lit(self.curve[-1])
             for k, a in enumerate(self.curve[:-1]):
                 logit = logit + F.get("evidence", F.lit(k)) * F.lit(a)
-            out = with_evidence(keys, self.model).withColumn("score", 1 / (1 + F.exp(-logit)))
+            out = with_evidence(keys, self.model, keep_text=keep_text).withColumn("score", 1 / (1 + F.exp(-logit)))
         return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
