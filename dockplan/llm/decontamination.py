@@ -1,20 +1,20 @@
-"""Benchmark decontamination (operator 1): rare n-gram seeds, then Smith-Waterman alignment of words.
-
-1. Every n-gram of a test item is a possible seed. One scan of the corpus joins texts to items on them: hits on one item that
-   stand within an item's length of each other form a passage, widened by that length on both sides, and the passages
-   are written down with their seeds.
-2. The documents that hold each seed are counted. An item keeps its rarer half: the seeds at or below the median of its own
-   document counts; passages without one go. The measure is relative to the item, so an item copied into a third of the
-   corpus still has seeds.
+"""Benchmark decontamination (operator 1): n-gram seeds, then Smith-Waterman alignment of words.
+
+1. Every n-gram of a test item is a seed, however often it occurs. One scan of the corpus joins texts to items on them: hits on
+   one item that stand within an item's length of each other form a passage, widened by that length on both sides.
+2. No alignment can match more words of the item than those that occur in the passage at all. Passages where even a match of
+   all of these would stay under ``threshold`` go; this loses nothing, and what common seeds find by chance goes here.
 3. The passage and the item are aligned (match ``MATCH``, mismatch ``MISMATCH``, gap ``GAP``), whatever words were replaced, dropped
    or put in. Score: alignment score over that of an identical copy. At ``threshold`` the passage is a leak; then alignment
    goes on in what is left of the passage to either side.
 
+An edited copy is thus found whenever it keeps one run of n words, whatever other copies the corpus holds.
+
 Words are compared in lower case and without punctuation at their ends. Items with fewer than n words are sought as exact sequences.
 
-Scale: the corpus is scanned in place, without a shuffle; only passages leave it. Items are taken in blocks of at most
+Scale: the corpus is scanned in place, without a shuffle; only leaks leave it. Items are taken in blocks of at most
 ``items_per_block``, so what is broadcast (the seeds and words of a block) stays bounded however large the benchmark is; a
-block costs one scan. What comes to the driver is one count per seed of a block.
+block costs one scan. Nothing comes to the driver but the items of a block.
 
 Defined cases. A null text is the empty text: no leak. Null or wordless items match nothing. Null ids are kept as nulls. Rows that
 repeat a document or an item give their rows again. Texts are read whole. Empty tables give an empty result. Other columns are ignored.
@@ -95,13 +95,12 @@ class Block:
     BITS = 20
 
     @classmethod
-    def of(cls, ids: list, words: list[np.ndarray], chosen: set[int] | None = None) -> Block:
+    def of(cls, ids: list, words: list[np.ndarray]) -> Block:
         at: dict[int, list[tuple[int, int]]] = defaultdict(list)
         sizes = sorted({min(N, len(w)) for w in words if len(w)})
         for i, w in enumerate(words):
             for k, h in enumerate(grams(w, min(N, len(w))).tolist() if len(w) else ()):
-                if chosen is None or (i, h) in chosen:
-                    at[h].append((i, k))
+                at[h].append((i, k))
         seeds = np.array(sorted(at), dtype=np.uint64)
         small = np.zeros(1 << cls.BITS, dtype=bool)
         small[(seeds >> np.uint64(64 - cls.BITS)).astype(np.int64)] = True
@@ -176,12 +175,17 @@ def passages(pos: list[int], size: int, length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-FOUND = "item long, words binary, places binary, start long, passage string, seeds array<bigint>, counted array<bigint>"
+def matchable(item: np.ndarray, passage: np.ndarray) -> float:
+    """An upper bound of the score: every word of the item that the passage holds matches."""
+    return MATCH * int(np.isin(item, passage).sum()) / (MATCH * len(item))
+
+
+LEAKS = "item_id long, score double, start long, `end` long, passage string"
 WORD_PLACES = re.compile(r"[^ \t-\r]+")
 
 
-def find_passages(block, id_column: str) -> callable:
-    """Texts -> passages of one item: word hashes, their places in the passage, its seeds, and which of them the document counts for."""
+def find_leaks(block, threshold: float, id_column: str) -> callable:
+    """Texts -> leaks: passages around seeds, aligned wherever the bound allows one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b = block.value
@@ -191,55 +195,27 @@ def find_passages(block, id_column: str) -> callable:
                 part = pdf.iloc[k : k + 1024]
                 texts, ids = part["text"].tolist(), part[id_column].tolist()
                 w, raw, bounds, raw_bounds = sequences(texts)
-                found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+                found: dict[tuple[int, int], list[int]] = defaultdict(list)
                 for n in b.sizes:
                     pos, h = b.hits(w, n)
                     doc, ok = inside(pos, n, bounds)
                     for d, p, x in zip(doc[ok].tolist(), pos[ok].tolist(), h[ok].tolist()):
                         for i in {i for i, _ in b.at[x]}:
                             if min(N, len(b.words[i])) == n:
-                                found[d, i].append((p - int(bounds[d]), x))
-                last, places, counted = -1, [], set()
+                                found[d, i].append(p - int(bounds[d]))
+                last, places = -1, []
                 for (d, i), hits in sorted(found.items()):
-                    if d != last:
-                        last, counted = d, set()
-                        spans = [m.span() for m in WORD_PLACES.finditer(texts[d])]
-                        places = [spans[x] for x in (raw[bounds[d] : bounds[d + 1]] - raw_bounds[d]).tolist()]
-                    text = w[bounds[d] : bounds[d + 1]]
-                    for a, z in passages([p for p, _ in hits], len(b.words[i]), len(text)):
-                        seeds = sorted({x for p, x in hits if a <= p < z})
-                        new = [x for x in seeds if x not in counted]
-                        counted.update(new)
-                        start, end = places[a][0], places[z - 1][1]
-                        at = np.array(places[a:z], dtype="<i8") - start
-                        signed = lambda xs: np.array(xs, dtype=np.uint64).view(np.int64).tolist()
-                        out.append((ids[d], i, text[a:z].tobytes(), at.tobytes(), start, texts[d][start:end], signed(seeds), signed(new)))
-            yield pd.DataFrame(out, columns=[id_column, "item", "words", "places", "start", "passage", "seeds", "counted"])
-
-    return run
-
-
-LEAKS = "item_id long, score double, start long, `end` long, passage string"
-
-
-def align_passages(block, threshold: float, id_column: str) -> callable:
-    """Passages with a rare seed -> leaks."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = block.value
-        rare = {(i, h) for h, at in b.at.items() for i, _ in at}
-        for pdf in batches:
-            out = []
-            for key, i, words, places, start, passage, seeds in zip(
-                    pdf[id_column], pdf["item"], pdf["words"], pdf["places"], pdf["start"], pdf["passage"], pdf["seeds"]):
-                if not any((i, h & (2**64 - 1)) in rare for h in map(int, seeds)):
-                    continue
-                item = b.words[i]
-                at = np.frombuffer(places, dtype="<i8").reshape(-1, 2)
-                least = threshold if len(item) >= N else 1.0
-                for score, s, e in leaks_in(item, np.frombuffer(words, dtype=np.uint64), least):
-                    a, z = int(at[s, 0]), int(at[e - 1, 1])
-                    out.append((key, b.ids[i], score, start + a, start + z, passage[a:z]))
+                    item, text = b.words[i], w[bounds[d] : bounds[d + 1]]
+                    least = threshold if len(item) >= N else 1.0
+                    for a, z in passages(hits, len(item), len(text)):
+                        if matchable(item, text[a:z]) < least:
+                            continue
+                        for score, s, e in leaks_in(item, text[a:z], least):
+                            if d != last:
+                                last, spans = d, [m.span() for m in WORD_PLACES.finditer(texts[d])]
+                                places = [spans[x] for x in (raw[bounds[d] : bounds[d + 1]] - raw_bounds[d]).tolist()]
+                            start, end = places[a + s][0], places[a + e - 1][1]
+                            out.append((ids[d], b.ids[i], score, start, end, texts[d][start:end]))
             yield pd.DataFrame(out, columns=[id_column, "item_id", "score", "start", "end", "passage"])
 
     return run
@@ -258,17 +234,6 @@ def item_blocks(items: DataFrame, per_block: int) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(pending, columns=["item_id", "text"])
 
 
-def rare_seeds(words: list[np.ndarray], documents: dict[int, int]) -> set[tuple[int, int]]:
-    """(item, hash) of each item's n-grams at or below the median of its document counts."""
-    chosen = set()
-    for i, w in enumerate(words):
-        h = grams(w, min(N, len(w))).tolist() if len(w) else []
-        if h:
-            limit = np.median([documents.get(x, 0) for x in h])
-            chosen.update((i, x) for x in h if documents.get(x, 0) <= limit)
-    return chosen
-
-
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                   items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """Leaks: ``key`` (a long), item_id, score, start and end in code points, passage."""
@@ -280,12 +245,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     for chunk in item_blocks(items, items_per_block):
         words = [x[x != 0] for x in (hashed(raw_words(t)) for t in chunk["text"])]
         ids = chunk["item_id"].tolist()
-        every = spark.sparkContext.broadcast(Block.of(ids, words))
-        found = stored(source.mapInPandas(find_passages(every, key), f"`{key}` long, {FOUND}"))
-        got = found.select(F.explode("counted").alias("seed")).groupBy("seed").agg(F.count(F.lit(1)).alias("documents")).toPandas()
-        documents = dict(zip(got["seed"].to_numpy(dtype=np.int64).view(np.uint64).tolist(), got["documents"].tolist()))
-        rare = spark.sparkContext.broadcast(Block.of(ids, words, rare_seeds(words, documents)))
-        parts.append(found.mapInPandas(align_passages(rare, threshold, key), schema))
+        block = spark.sparkContext.broadcast(Block.of(ids, words))
+        parts.append(stored(source.mapInPandas(find_leaks(block, threshold, key), schema)))
+        block.unpersist()
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 

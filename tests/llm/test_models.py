@@ -56,6 +56,22 @@ def test_hot_item_still_has_seeds(docs_of, spark):
     assert sorted(r["doc_id"] for r in got) == list(range(60))
 
 
+def test_heavily_edited_copies_are_found_beside_exact_ones(docs_of, spark):
+    rng = random.Random(8)
+    items = [(i, made(rng, 20 if i % 2 else 40)) for i in range(12)]
+    docs, want = [(i, made(rng, 100)) for i in range(20)], set()
+    for i, text in items:
+        step = 4 + i // 2 % 3  # every 4th, 5th or 6th word replaced
+        copy = " ".join(x if k % step != step - 1 else f"edit{k}" for k, x in enumerate(text.split()))
+        docs.append((100 + i, made(rng, 30) + " " + copy + " " + made(rng, 30)))
+        want.add((100 + i, i))
+        if i >= 6:
+            docs.append((200 + i, made(rng, 30) + " " + text + " " + made(rng, 30)))
+            want.add((200 + i, i))
+    got = decontamination.decontaminate(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+
+
 def test_alignment_against_plain_dynamic_programming():
     rng = random.Random(7)
 
