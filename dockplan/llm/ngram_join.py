@@ -12,8 +12,9 @@ equal prefix are one group; only groups are posted, one row per prefix shingle.
 Candidates. Joining all pairs of a posting list would be quadratic in a family of near copies. A hub round picks ``HUBS`` groups
 per posting list, joins each group with the hubs whose bit sketches are nearest, expands groups to classes, verifies, and
 merges what links. After these rounds, the last join takes every pair of groups that still lie in different components, under
-lossless filters (size, position of the common shingle, sketches): pairs inside a component need no check, the others are
-all checked. No link is lost.
+lossless filters (size, position of the common shingle, sketch bits on which all classes of a group agree), and then every pair
+of their classes, under the classes' own sketches: pairs inside a component need no check, the others are all checked. No link
+is lost.
 
 Verification intersects the shingle lists. Shingles are 64-bit hashes, dealt as bucket number and 32 bits, so two different
 ones of a pair of documents are confused with a chance of about |A| |B| / (buckets * 2^32).
@@ -234,6 +235,19 @@ def postings_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             **{f"b{w}": each(sketches[:, w]) for w in range(SKETCH_WORDS)}})
 
 
+SKETCHES = "cid long, gid long, n long, lone long, " + ", ".join(f"b{w} long" for w in range(SKETCH_WORDS))
+
+
+def sketches_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Classes -> their sketches."""
+    for pdf in batches:
+        out = pdf[["cid", "gid", "n", "lone"]].copy()
+        with np.errstate(over="ignore"):
+            rows = [sketch(np.frombuffer(s, dtype="<i8")) for s in pdf["shingles"]]
+        bits = np.stack(rows) if rows else np.zeros((0, SKETCH_WORDS), dtype=np.int64)
+        yield out.assign(**{f"b{w}": bits[:, w] for w in range(SKETCH_WORDS)})
+
+
 def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         keep = []
@@ -279,19 +293,30 @@ def side(postings: DataFrame, s: str) -> DataFrame:
     return postings.select("key", *[F.col(c).alias(c + s) for c in SIDE])
 
 
-def differing():
-    """A lower bound of the shingles in which two sets differ: those of one document alone, and the sketches' different bits."""
-    bits = [F.bit_count(F.col(f"b{w}1").bitwiseXOR(F.col(f"b{w}2"))) for w in range(SKETCH_WORDS)]
+def differing(groups: bool = False):
+    """A lower bound of the shingles in which two sets differ: those of one document alone, and the sketches' different bits.
+
+    Between groups, only bits on which all classes of either group agree count, so the bound holds for every pair of classes
+    (size, ``lone`` and prefix are the same throughout a group).
+    """
+    bits = [F.col(f"b{w}1").bitwiseXOR(F.col(f"b{w}2")) for w in range(SKETCH_WORDS)]
+    if groups:
+        bits = [x.bitwiseAND(F.bitwise_not(F.col(f"m{w}1").bitwiseOR(F.col(f"m{w}2")))) for w, x in enumerate(bits)]
+    bits = [F.bit_count(x) for x in bits]
     return sum(bits[1:], bits[0]) + F.col("lone1") + F.col("lone2")
 
 
-def possible():
+def near_enough(groups: bool = False):
+    """|A| + |B| must be at least nine times the difference."""
+    return F.lit(9) * differing(groups) <= F.col("n1") + F.col("n2")
+
+
+def fitting():
     """Lossless filters on two postings of one shingle: sizes; what is left of both sets from their first common shingle on must
-    hold the overlap asked for; |A| + |B| must be at least nine times the difference."""
+    hold the overlap asked for."""
     n = F.col("n1") + F.col("n2")
     left = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
-    return ((F.lit(5) * F.least("n1", "n2") >= F.lit(4) * F.greatest("n1", "n2")) & (F.lit(9) * left >= F.lit(4) * n)
-            & (F.lit(9) * differing() <= n))
+    return (F.lit(5) * F.least("n1", "n2") >= F.lit(4) * F.greatest("n1", "n2")) & (F.lit(9) * left >= F.lit(4) * n)
 
 
 def hub_pairs(postings: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
@@ -301,7 +326,8 @@ def hub_pairs(postings: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
     hubs = side(hubs.select("key", F.explode(F.array_distinct("hs")).alias("h")).select("key", "h.*"), "2")
     state = labels.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     of = lambda s: state.select(*[F.col(c).alias(c + s) for c in state.columns])
-    met = side(postings, "1").join(hubs, "key").where((F.col("gid1") != F.col("gid2")) & possible())
+    # The sketches are the representatives': what they keep away from a round is left to the last join.
+    met = side(postings, "1").join(hubs, "key").where((F.col("gid1") != F.col("gid2")) & fitting() & near_enough())
     near = met.groupBy("gid1", "gid2").agg(F.min(differing() / (F.col("n1") + F.col("n2"))).alias("apart"))
     near = near.join(of("1"), "gid1").join(of("2"), "gid2").where("low1 <> high1 or low2 <> high2 or low1 <> low2")
     # The last join looks at every pair; a round only needs the likeliest.
@@ -313,20 +339,23 @@ def hub_pairs(postings: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
     return pairs.join(at("a"), "a").join(at("b"), "b").where("la <> lb").select("a", "b").distinct()
 
 
-def remaining_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
+def remaining_pairs(postings: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
     """All pairs of classes in different components whose groups share a posting, under the filters."""
-    state = labels.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    members = labels.join(sketches, ["cid", "gid"])
+    loose = [F.bit_or(f"b{w}").bitwiseXOR(F.bit_and(f"b{w}")).alias(f"m{w}") for w in range(SKETCH_WORDS)]
+    state = members.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), *loose)
     p = postings.join(state, "gid")
     mixed = p.groupBy("key").agg(F.min("low").alias("_l"), F.max("high").alias("_h")).where("_l <> _h").select("key")
     p = p.join(mixed, "key", "left_semi")
     apart = (F.col("low1") != F.col("high1")) | (F.col("low2") != F.col("high2")) | (F.col("low1") != F.col("low2"))
-    both = lambda s: p.select("key", *[F.col(c).alias(c + s) for c in (*SIDE, "low", "high")])
-    met = both("1").join(both("2"), "key").where((F.col("gid1") < F.col("gid2")) & apart & possible())
+    own = (*SIDE, "low", "high", *[f"m{w}" for w in range(SKETCH_WORDS)])
+    both = lambda s: p.select("key", *[F.col(c).alias(c + s) for c in own])
+    met = both("1").join(both("2"), "key").where((F.col("gid1") < F.col("gid2")) & apart & fitting() & near_enough(groups=True))
     groups = met.select("gid1", "gid2").distinct().unionAll(
         state.where("low <> high").select(F.col("gid").alias("gid1"), F.col("gid").alias("gid2")))
-    member = lambda s, x: labels.select(F.col("gid").alias(f"gid{s}"), F.col("cid").alias(x), F.col("label").alias(f"l{x}"))
-    pairs = groups.join(member("1", "a"), "gid1").join(member("2", "b"), "gid2").where("la <> lb")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    member = lambda s: members.select(*[F.col(c).alias(c + s) for c in members.columns])
+    pairs = groups.join(member("1"), "gid1").join(member("2"), "gid2").where((F.col("label1") != F.col("label2")) & near_enough())
+    return pairs.select(F.least("cid1", "cid2").alias("a"), F.greatest("cid1", "cid2").alias("b")).distinct()
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -350,7 +379,8 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
         if pairs.isEmpty():
             break
         labels = merged(labels, stored(verified(pairs, classes)))
-    pairs = stored(remaining_pairs(postings, labels))
+    sketches = stored(classes.select("cid", "gid", "n", "lone", "shingles").mapInPandas(sketches_of, SKETCHES))
+    pairs = stored(remaining_pairs(postings, labels, sketches))
     if not pairs.isEmpty():
         labels = merged(labels, stored(verified(pairs, classes)))
     placed = classes.select("n", "digest", "cid").join(labels.select("cid", "label"), "cid").select("n", "digest", "label")

@@ -243,6 +243,25 @@ def test_classes_of_families(docs_of, odd):
     assert got == reference_classes(rows)
 
 
+def test_members_of_a_group_link_whichever_leads(docs_of):
+    """Texts with one prefix and different rests are one group; each rest has a near copy in a group of another size."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(10):
+        p, x, y = (made(rng, n) for n in (26, 80, 80))
+        rows += [(1000 * k + 100 * j + i, made(rng, 60) + " " + z + " " + made(rng, 60)) for j, z in enumerate((x, y)) for i in range(20)]
+        rows += [(1000 * k + 500, p + " " + x), (1000 * k + 501, p + " " + y), (1000 * k + 502, p + " one " + y)]
+        rows += [(1000 * k + 503, p + " one " + x)] if k % 2 else []
+    want = reference_classes(rows)
+    assert want[501, 102, 501] == 1 and want[502, 103, 501] == 1 and want[1503, 103, 1500] == 1
+    # Both kinds of text lead some of the groups.
+    classes = ngram_join.documents_with_shingles(docs_of(rows), "doc_id", "text").collect()
+    rid = {r["doc_id"]: r["rid"] for r in classes}
+    assert len({rid[1000 * k + 500] < rid[1000 * k + 501] for k in range(10)}) == 2
+    got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicate_classes(docs_of(rows)).collect())
+    assert got == want
+
+
 def test_threshold_is_exact(docs_of):
     """Sets of 9 shingles that share 8 have 8/10, exactly the threshold; 7 of 8 and 7 of 9 fall below."""
     w = [f"w{i}" for i in range(30)]
