@@ -6,7 +6,7 @@
    all of these would stay under ``threshold`` go; this loses nothing, and what common seeds find by chance goes here.
 3. The passage and the item are aligned (match ``MATCH``, mismatch ``MISMATCH``, gap ``GAP``), whatever words were replaced, dropped
    or put in. Score: alignment score over that of an identical copy. At ``threshold`` the passage is a leak; then alignment
-   goes on in what is left of the passage to either side.
+   goes on in what is left of the passage to either side, in overlapping windows of a few item lengths.
 
 An edited copy is thus found whenever it keeps one run of n words, whatever other copies the corpus holds.
 
@@ -22,6 +22,8 @@ repeat a document or an item give their rows again. Texts are read whole. Empty
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -150,17 +152,51 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def matchable(item: np.ndarray, passage: np.ndarray) -> float:
+    """An upper bound of the score: every word of the item that the passage holds matches."""
+    return MATCH * int(np.isin(item, passage).sum()) / (MATCH * len(item))
+
+
+REACH = 3  # no alignment with a positive score spans more item lengths: each word put in costs a gap, each match earns two
+
+
 def leaks_in(item: np.ndarray, passage: np.ndarray, least: float) -> list[tuple[float, int, int]]:
-    """(score, start, end) of the alignments at or over ``least``, without overlap, in passage order."""
-    if not len(passage):
-        return []
-    best, end = align(item, passage)
-    score = best / (MATCH * len(item))
-    if score < least:
-        return []
-    start = end - align(item[::-1], passage[:end][::-1])[1]
-    right = [(s, a + end, b + end) for s, a, b in leaks_in(item, passage[end:], least)]
-    return [*leaks_in(item, passage[:start], least), (score, start, end), *right]
+    """(score, start, end) of the alignments at or over ``least``, without overlap, in passage order.
+
+    Always the best one that overlaps no earlier one. They are sought in windows of twice the reach, every reach, so each lies
+    whole in some window, and the work follows the passage's length. Windows that a found one touches are looked at again, less that one.
+    """
+    reach = REACH * len(item)
+    heap: list[tuple[float, int, int, int, int]] = []
+    starts: list[int] = []
+    out: list[tuple[float, int, int]] = []
+
+    def look(a: int, z: int) -> None:
+        if a >= z or matchable(item, passage[a:z]) < least:
+            return
+        best, end = align(item, passage[a:z])
+        score = best / (MATCH * len(item))
+        if score >= least:
+            start = end - align(item[::-1], passage[a : a + end][::-1])[1]
+            heapq.heappush(heap, (-score, a + end, a, z, a + start))
+
+    for a in range(0, max(1, len(passage) - reach), reach):
+        look(a, min(a + 2 * reach, len(passage)))
+    while heap:
+        score, end, a, z, start = heapq.heappop(heap)
+        k = max(0, bisect.bisect_left(starts, a) - 1)
+        last = bisect.bisect_left(starts, z)
+        taken = [(s, e) for _, s, e in out[k:last] if e > a]
+        if not taken:
+            at = bisect.bisect_left(starts, start)
+            starts.insert(at, start)
+            out.insert(at, (-score, start, end))
+            taken = [(start, end)]
+        for s, e in taken:
+            look(a, s)
+            a = e
+        look(a, z)
+    return out
 
 
 def passages(pos: list[int], size: int, length: int) -> list[tuple[int, int]]:
@@ -175,11 +211,6 @@ def passages(pos: list[int], size: int, length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def matchable(item: np.ndarray, passage: np.ndarray) -> float:
-    """An upper bound of the score: every word of the item that the passage holds matches."""
-    return MATCH * int(np.isin(item, passage).sum()) / (MATCH * len(item))
-
-
 LEAKS = "item_id long, score double, start long, `end` long, passage string"
 WORD_PLACES = re.compile(r"[^ \t-\r]+")
 
@@ -208,8 +239,6 @@ def find_leaks(block, threshold: float, id_column: str) -> callable:
                     item, text = b.words[i], w[bounds[d] : bounds[d + 1]]
                     least = threshold if len(item) >= N else 1.0
                     for a, z in passages(hits, len(item), len(text)):
-                        if matchable(item, text[a:z]) < least:
-                            continue
                         for score, s, e in leaks_in(item, text[a:z], least):
                             if d != last:
                                 last, spans = d, [m.span() for m in WORD_PLACES.finditer(texts[d])]
