@@ -2,7 +2,8 @@
 
 Two interpolated modified Kneser-Ney models, one of toxic and one of ordinary training texts, spell words: a character is
 predicted from all characters of its word before it (up to ``ORDER``), so insults, their inflections and their stems count,
-in any language. Both classes back off to one shared distribution, the continuation counts of both together (the number of
+in any language. A run of letters longer than ``ORDER`` (a compound, a text run together, a script without spaces) is spelled
+from each of its characters on, so every part of it is counted and scored, whatever stands before it. Both classes back off to one shared distribution, the continuation counts of both together (the number of
 different words that go on with the character), so rare words that neither class has evidence for decide nothing.
 With c in {toxic, ordinary} and h the word so far:
 
@@ -121,7 +122,11 @@ class WordRatios:
 
 
 def words_of(text: str) -> list[str]:
-    return re.findall(WORD, text.lower())
+    """The words, and in place of one longer than ``ORDER`` its pieces of so many characters from each character on."""
+    words = re.findall(WORD, text.lower())
+    if not any(len(w) > ORDER for w in words):
+        return words
+    return [p for w in words for p in ([w] if len(w) <= ORDER else [w[k : k + ORDER] for k in range(len(w))])]
 
 
 def evidence(ratios: np.ndarray, bounds: np.ndarray) -> np.ndarray:
