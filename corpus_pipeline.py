@@ -4,9 +4,9 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 back as the next one's documents, so a lost executor never reaches behind the last table. All but the last return the
 columns of ``documents``.
 
-Rows with nulls, empty or repeated texts pass as the operators define. Toxic documents go; of each near-duplicate component the
-document with the smallest id stays (documents without words are all kept, of rows that repeat an id and all else one stays);
-documents with a benchmark leak go; personal data and the terms that disclose it are replaced in the text and
+Rows with nulls, empty or repeated texts pass as the operators define. Toxic documents go; of each near-duplicate component one
+row stays, that with the smallest id (null ids last, then by text hash and the other columns), whatever other texts share its id
+(documents without words are all kept, of rows that repeat an id and all else one stays); documents with a benchmark leak go; personal data and the terms that disclose it are replaced in the text and
 ``n_chars`` follows; the rest is encoded.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockplan.llm import bpe_chunks, decontamination, ngram_join, pii, toxicity
-from dockplan.llm.common import stored, table
+from dockplan.llm.common import stored, table, whole_text
 
 
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,16 +26,25 @@ def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays."""
-    classes = stored(ngram_join.near_duplicate_classes(docs))
-    gone = classes.groupBy("doc_id").agg(
-        F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"), F.count(F.lit(1)).alias("rows"))
-    gone = gone.where(~F.col("stays") | (F.col("rows") > 1)).select(F.col("doc_id").alias("_id"), "stays")
-    marked = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    """One row of each near-duplicate component stays, the one with the smallest (id, hash of the text), null ids last."""
+    classes = stored(ngram_join.near_duplicate_classes(docs)).select("doc_id", "mark", "component", F.col("n_shingles").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    several = classes.where("n > 0").groupBy("component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows"))
+    several = several.where("rows > 1").drop("rows")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    met = classes.where("n > 0").join(several, "component").select("doc_id", "mark", stays.alias("stays"), F.lit(True).alias("worded"))
+    wordless = classes.where("n = 0").select("doc_id", "mark", F.lit(True).alias("stays"), F.lit(False).alias("worded"))
+    # Rows that stay and occur once are not listed.
+    gone = met.unionAll(wordless).groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(
+        F.max("stays").alias("stays"), F.max("worded").alias("worded"), F.count(F.lit(1)).alias("_rows"))
+    gone = gone.where("not stays or _rows > 1").drop("_rows")
+    at = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(whole_text("text")) == F.col("_mark"))
+    marked = docs.join(gone, at, "left")
     once = marked.where(F.col("stays").isNull()).select(docs.columns)
-    # Only rows whose id occurs more than once are compared with each other.
-    repeated = marked.where(F.col("stays")).select(docs.columns).distinct()
-    return once.unionByName(repeated)
+    # Only rows that repeat an id and text are compared with each other: of worded ones the smallest stays, of others each different one.
+    smallest = marked.where("stays and worded").groupBy("_id", "_mark").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    repeated = marked.where("stays and not worded").select(docs.columns).distinct()
+    return once.unionByName(smallest).unionByName(repeated)
 
 
 def drop_benchmark_leaks(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

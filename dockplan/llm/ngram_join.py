@@ -52,7 +52,7 @@ ROWS_PER_BUCKET = 5_000
 MAX_BUCKETS = 60_000
 UNIT_BYTES = 3_000_000
 MULTIPLIER = 0x9E3779B97F4A7C15
-RECORD = [("rid", "<i8"), ("doc_id", "<i8"), ("null", "<i8"), ("n", "<i8"), ("digest", "S33")]
+RECORD = [("rid", "<i8"), ("doc_id", "<i8"), ("null", "<i8"), ("n", "<i8"), ("digest", "S33"), ("mark", "<i8")]
 
 
 class WordTable(dict):
@@ -125,6 +125,7 @@ def deal(n_buckets: int):
                 ids = pdf["doc_id"].iloc[a:z].fillna("0").astype(np.int64).to_numpy()
                 rec = np.zeros(z - a, dtype=RECORD)
                 rec["doc_id"], rec["null"], rec["n"] = ids, null, [len(s) for s in sets]
+                rec["mark"] = pdf["mark"].iloc[a:z]
                 rec["digest"] = [xxhash.xxh3_128_hexdigest(s.tobytes()).encode() for s in sets]
                 rec["rid"] = [xxhash.xxh64_intdigest(f"{x}:{y}:{d.decode()}:{len(t)}") >> 1
                               for x, y, d, t in zip(ids.tolist(), null.tolist(), rec["digest"].tolist(), texts[a:z])]
@@ -180,7 +181,7 @@ def answer(n_parts: int):
     return run
 
 
-DOCUMENTS = "rid long, doc_id long, is_null boolean, n long, digest string, lone int, n_prefix int, shingles binary"
+DOCUMENTS = "rid long, doc_id long, is_null boolean, n long, digest string, mark long, lone int, n_prefix int, shingles binary"
 
 
 def gather(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -193,7 +194,7 @@ def gather(pdf: pd.DataFrame) -> pd.DataFrame:
     order = np.lexsort((key, df, rid))
     key, rid = key[order], rid[order]
     out = []
-    for r, doc, null, n, digest in rec.tolist():
+    for r, doc, null, n, digest, mark in rec.tolist():
         a, z = np.searchsorted(rid, [r, r + 1])
         mine = key[a:z]
         if len(mine) > n:  # the row occurs more than once
@@ -201,13 +202,14 @@ def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         lone = n - len(mine)
         prefix = n - (4 * n + 4) // 5 + 1 - lone if n else 0
         known = prefix > 0 and len(mine) > 0
-        out.append((r, doc, bool(null), n, digest.decode(), lone, min(prefix, len(mine)) if known else 0, mine.tobytes() if known else None))
-    return pd.DataFrame(out, columns=["rid", "doc_id", "is_null", "n", "digest", "lone", "n_prefix", "shingles"])
+        out.append((r, doc, bool(null), n, digest.decode(), mark, lone, min(prefix, len(mine)) if known else 0, mine.tobytes() if known else None))
+    return pd.DataFrame(out, columns=["rid", "doc_id", "is_null", "n", "digest", "mark", "lone", "n_prefix", "shingles"])
 
 
 def documents_with_shingles(docs: DataFrame, key: str, text: str) -> DataFrame:
     """The stored table of ``gather``'s rows."""
     rows = docs.select(F.col(f"`{key}`").cast("long").cast("string").alias("doc_id"), whole_text(f"`{text}`").alias("text"))
+    rows = rows.withColumn("mark", F.xxhash64("text"))
     n = min(MAX_BUCKETS, max(12, -(-docs.count() // ROWS_PER_BUCKET)))
     packed = rows.mapInPandas(deal(n), PACKED)
     answers = packed.groupBy("bucket").applyInPandas(answer(n), ANSWERS)
@@ -359,7 +361,11 @@ def remaining_pairs(postings: DataFrame, labels: DataFrame, sketches: DataFrame)
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: rid, doc_id, n_shingles, component_id (smallest id that links reach)."""
+    """One row per row of ``docs``: rid, doc_id, mark (xxhash64 of the text, a null being the empty one), n_shingles, component_id
+    (smallest id that links reach), component (the same number for all rows that links reach, and for no others).
+
+    Wordless rows link nothing; those that repeat id and text share a component number.
+    """
     ship(docs.sparkSession)
     every = documents_with_shingles(docs, key, text)
     known = every.where(F.col("shingles").isNotNull())
@@ -387,8 +393,9 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     doc_id = F.when(~F.col("is_null"), F.col("doc_id"))
     members = known.withColumn("doc_id", doc_id).join(placed, ["n", "digest"])
     smallest = members.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    linked_rows = members.join(smallest, "label").select("rid", "doc_id", "n", "component_id")
-    alone = every.where(F.col("shingles").isNull()).withColumn("doc_id", doc_id).select("rid", "doc_id", "n", F.col("doc_id").alias("component_id"))
+    linked_rows = members.join(smallest, "label").select("rid", "doc_id", "mark", "n", "component_id", F.col("label").alias("component"))
+    alone = every.where(F.col("shingles").isNull()).withColumn("doc_id", doc_id).select(
+        "rid", "doc_id", "mark", "n", F.col("doc_id").alias("component_id"), F.col("rid").alias("component"))
     return linked_rows.unionAll(alone).withColumnRenamed("n", "n_shingles")
 
 
