@@ -1,12 +1,13 @@
 """DuckDB statements for the queries that SQL can express, over whole tables.
 
-The others need hashes or models that SQL lacks (CRC-32 of texts, tokenizers, alignments, trained models); tests hold them
+The others need hashes or models that SQL lacks (xxHash, tokenizers, alignments, trained models); tests hold them
 against brute force.
 """
 
 from __future__ import annotations
 
 from dockplan.llm.chat import PROBE_ID, PROBE_TEXT
+from dockplan.llm.merkle_sql import MERKLE
 from dockplan.llm.quality import RULES, STOP_WORDS
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -76,4 +77,5 @@ ORACLE = {
     "op6_quality_rules": QUALITY,
     "op7_event_sourced_chat": CHAT,
     "op9_grouped_prefix_join": NEAR_DUPLICATES,
+    "op12_merkle_manifest": MERKLE,
 }
