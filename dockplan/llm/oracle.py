@@ -7,8 +7,9 @@ against brute force.
 from __future__ import annotations
 
 from dockplan.llm.chat import PROBE_ID, PROBE_TEXT
-from dockplan.llm.merkle_sql import MERKLE
+from dockplan.llm.merkle_sql import MERKLE, crc32_sql
 from dockplan.llm.quality import RULES, STOP_WORDS
+from dockplan.llm.spelling import DAMAGE, FEWEST, LETTERS, RATIO, SHORTEST
 
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -73,9 +74,31 @@ SELECT d.doc_id, COALESCE(n.n, 0)::BIGINT AS n_shingles,
 FROM d LEFT JOIN n USING (rid)
 """
 
+SPELLING = f"""
+WITH RECURSIVE t AS (SELECT COALESCE(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(text, '{LETTERS}+')) AS r FROM documents),
+runs AS (SELECT d, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+         FROM t WHERE length(r) >= {SHORTEST} GROUP BY ALL),
+hashed AS (SELECT run, c, {crc32_sql("d || ':' || run")} AS h FROM runs),
+damaged AS (SELECT CASE WHEN h % {DAMAGE} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM damaged WHERE length(word) >= {SHORTEST} GROUP BY word HAVING sum(c) >= {FEWEST}),
+-- Words without one letter: two words that share such a rest are one edit apart, if at the same place or one of them is the rest.
+gaps AS (SELECT word, n, i, substr(word, 1, i::BIGINT) || substr(word, i::BIGINT + 2) AS rest FROM words, unnest(range(length(word))) u(i)),
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+         UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+         QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+forms AS (SELECT w.word, w.n, COALESCE(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= {RATIO} * w.n THEN near END AS form,
+                 CASE WHEN near_n >= {RATIO} * w.n THEN near_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+way AS (SELECT word, word AS at FROM forms UNION ALL SELECT way.word, f.form FROM way JOIN forms f ON f.word = way.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN way ON way.word = f.word
+JOIN forms e ON e.word = way.at AND e.form IS NULL
+"""
+
 ORACLE = {
     "op6_quality_rules": QUALITY,
     "op7_event_sourced_chat": CHAT,
     "op9_grouped_prefix_join": NEAR_DUPLICATES,
+    "op11_spelling_variants": SPELLING,
     "op12_merkle_manifest": MERKLE,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dockplan.llm import bpe_chunks, chat, decontamination, kneser_ney, merkle, ngram_join, pii, quality, sharding, token_store, toxicity
+from dockplan.llm import bpe_chunks, chat, decontamination, kneser_ney, merkle, ngram_join, pii, quality, sharding, spelling, token_store, toxicity
 from dockplan.llm.oracle import ORACLE
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_perfect_hash_ids": token_store.op8_perfect_hash_ids,
     "op9_grouped_prefix_join": ngram_join.op9_grouped_prefix_join,
     "op10_rendezvous_sharding": sharding.op10_rendezvous_sharding,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 
