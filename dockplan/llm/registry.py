@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dockplan.llm import bpe_chunks, chat, decontamination, kneser_ney, merkle, ngram_join, pii, quality, sharding, spelling, token_store, toxicity
+from dockplan.llm import bpe_chunks, chat, decontamination, kneser_ney, merkle, multi_index, ngram_join, pii, quality, sharding, spelling, token_store, toxicity
 from dockplan.llm.oracle import ORACLE
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_rendezvous_sharding": sharding.op10_rendezvous_sharding,
     "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_multi_index_neighbours": multi_index.op13_multi_index_neighbours,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
