@@ -2,25 +2,41 @@
 
 Vendor i needs s_i units on exactly n_i of D days; minimise the heaviest day.
 With integer units an optimum puts ceil(s_i / n_i) on each chosen day, so the
-job is to choose the days (L3). ``level_days`` deals the orders out in falling
-size, one rule for every location size, as a running total that no single task
-computes. It does not promise the optimum: a location's peak exceeds its mean day
-by its largest order at most, and ``level_gap`` reports the distance to a lower
-bound.
+job is to choose the days (L3), in two steps that are the same at every size.
+
+* ``deal`` deals the orders out in falling size, as a running total that no
+  single task computes. A location's peak then exceeds its mean day by its
+  largest order at most.
+* ``improved`` searches around the deal. Per location a fixed number of rounds
+  takes the best move or swap of orders between the heaviest day (or, where
+  nothing helps that, the next one) and a lighter one, such that both end
+  below the heavier one's load. Candidates are a bounded
+  pool of a location's vendors, spread over their days and sizes by ranks that
+  limit groups before the shuffle: a small location has all of its vendors in
+  it, a large one orders of every size. No round raises the peak, so
+  the deal's guarantee stays.
+
+The result need not be the optimum; ``level_gap`` reports the distance to a
+lower bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockplan.config import PlanConfig
 from dockplan.functions.calendar import busday_sub, receive_day_date
 from dockplan.functions.numeric import stable_round_sql
-from dockplan.functions.ordering import running_total
+from dockplan.functions.ordering import running_total, running_totals
+from dockplan.stages import kept
 
 _LONG_MAX = 9.2e18
 
+#: Vendors of a location among which the search moves orders, and its rounds.
+POOL_VENDORS = 96
+ROUNDS = 32
+
 
 def trunc_long_sql(c: str) -> str:
     """int(x): truncate toward zero; NULL for NaN, Infinity and NULL.
@@ -118,31 +134,119 @@ def candidate_days(plan: DataFrame, cfg: PlanConfig) -> DataFrame:
     return g.withColumn("receive_date", receive_day_date(F.lit(cfg.week_start), F.col("day_index")))
 
 
-def level_days(sized: DataFrame, cfg: PlanConfig) -> DataFrame:
-    """Feasible vendors x chosen days with units per day (L3).
+def deal(able: DataFrame, cfg: PlanConfig) -> DataFrame:
+    """Feasible vendors with the days of a first deal as bits of ``_days``.
 
-    Orders are dealt like cards: vendors of a location in falling order size,
-    each taking as many consecutive slots as it has orders. D slots make a
-    round, and round r starts on day r, so the days take turns at the largest
-    orders of a round. A vendor has fewer than D slots, so its days differ; one
-    with an order on every day adds the same to all and takes no slot. The
-    first slot of a vendor is a running total over its location, at any size.
+    Vendors of a location come in falling order size, each taking as many
+    consecutive slots as it has orders. D slots make a round, and round r
+    starts on day r, so the days take turns at the largest orders of a round. A
+    vendor has fewer than D slots, so its days differ; one with an order on
+    every day adds the same to all and takes no slot. The first slot of a
+    vendor is a running total over its location, at any size.
     """
     d = cfg.receiving_days
     daily = F.col("orders") >= d
-    dealt = running_total(
-        feasible(sized, cfg),
-        order=[-F.col("order_units"), "vendor_number"],
-        group=["location_code"],
-        value=F.when(daily, 0).otherwise(F.col("orders")),
-        name="_slot",
-    )
+    dealt = running_total(able, order=[-F.col("order_units"), "vendor_number"], group=["location_code"],
+                          value=F.when(daily, 0).otherwise(F.col("orders")), name="_slot")
     slot = lambda m: F.col("_slot") + m
-    days = F.transform(
-        F.sequence(F.lit(0), F.col("orders") - F.lit(1)),
-        lambda m: F.when(daily, m).otherwise((slot(m) + F.floor(slot(m) / F.lit(d))) % F.lit(d)) + F.lit(1),
-    ).cast("array<int>")
-    out = dealt.withColumn("day_index", F.explode(days)).drop("_slot")
+    day = lambda m: F.when(daily, m).otherwise((slot(m) + F.floor(slot(m) / F.lit(d))) % F.lit(d))
+    bits = F.transform(F.sequence(F.lit(0), F.col("orders") - F.lit(1)), lambda m: F.call_function("shiftleft", F.lit(1), day(m).cast("int")))
+    return dealt.withColumn("_days", F.aggregate(bits, F.lit(0), lambda all_, b: all_.bitwiseOR(b))).drop("_slot")
+
+
+def _bit(days: Column, day: Column) -> Column:
+    return days.bitwiseAND(F.call_function("shiftleft", F.lit(1), day)) != 0
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def search_pool(dealt: DataFrame, cfg: PlanConfig, vendors: int = POOL_VENDORS) -> DataFrame:
+    """(location_code, pool): at most ``vendors`` vendors of a location, an array of (vendor, units, days).
+
+    Vendors are ranked among those with the same days and size to a power of
+    two; all first ones of such a class come before any second. Both ranks
+    limit their groups, so a location with a third of all rows is a few rows a
+    task. Days are those of the deal.
+    """
+    movable = dealt.where((F.col("orders") < cfg.receiving_days) & (F.col("order_units") > 0))
+    movable = movable.select("location_code", "vendor_number", "order_units", "_days", F.floor(F.log2("order_units")).alias("_octave"))
+    largest = [F.desc("order_units"), "vendor_number"]
+    in_class = Window.partitionBy("location_code", "_days", "_octave").orderBy(*largest)
+    in_location = Window.partitionBy("location_code").orderBy("_nth", *largest)
+    few = movable.withColumn("_nth", F.row_number().over(in_class)).where(F.col("_nth") <= vendors)
+    few = few.withColumn("_at", F.row_number().over(in_location)).where(F.col("_at") <= vendors)
+    vendor = F.struct(F.col("vendor_number").alias("vendor"), F.col("order_units").alias("units"), F.col("_days").alias("days"))
+    return few.groupBy("location_code").agg(F.array_sort(F.collect_list(vendor)).alias("pool"))
+
+
+def best_exchange(loads: Column, pool: Column, d: int) -> Column:
+    """The best move or swap off a day: (worse, to, vendor, other, units, from), or null where none helps.
+
+    A vendor with an order on that day and none on another gives it to the
+    other, and takes from it the order of ``other`` (none for a move), which
+    has one there and none here. With a difference in load of f and in units of
+    u, both days end at least min(u, f - u) below the heavier one; the exchange
+    with the largest such gain is best, ties by day and vendors. The heaviest
+    day comes first, and only where nothing helps it the next one: that may
+    make room for the heaviest in a later round.
+    """
+    none = F.struct(F.lit("").alias("vendor"), F.lit(0).cast("long").alias("units"), F.lit(0).alias("days"))
+
+    def to(at: Column, load: Column, day: Column) -> Column:
+        givers = F.filter(pool, lambda x: _bit(x["days"], at) & ~_bit(x["days"], day))
+        takers = F.concat(F.array(none), F.filter(pool, lambda x: _bit(x["days"], day) & ~_bit(x["days"], at)))
+
+        def exchanges(difference: Column, others: Column) -> Column:
+            pairs = F.flatten(F.transform(givers, lambda a: F.transform(others, lambda b: F.struct(
+                (-F.least(a["units"] - b["units"], difference - a["units"] + b["units"])).alias("worse"), day.alias("to"),
+                a["vendor"].alias("vendor"), b["vendor"].alias("other"), (a["units"] - b["units"]).alias("units"), at.alias("from")))))
+            return F.filter(pairs, lambda x: x["worse"] < 0)
+
+        return _let(F.struct((load - F.get(loads, day)).alias("difference"), takers.alias("others")),
+                    lambda s: F.array_min(exchanges(s["difference"], s["others"])))
+
+    def off(place: Column) -> Column:
+        return _let(place, lambda x: F.array_min(F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda day: to(x["at"], -x["less"], day))))
+
+    by_load = F.array_sort(F.transform(loads, lambda load, i: F.struct((-load).alias("less"), i.alias("at"))))
+    return _let(by_load, lambda days: F.coalesce(*[off(F.get(days, F.lit(r))) for r in range(max(1, d - 1))]))
+
+
+def improved(dealt: DataFrame, cfg: PlanConfig, rounds: int = ROUNDS, vendors: int = POOL_VENDORS) -> DataFrame:
+    """``dealt`` (evaluated three times) with the days after the search. One row a location holds its loads and its pool."""
+    d = cfg.receiving_days
+    loads = F.array(*[F.sum(F.when(_bit(F.col("_days"), F.lit(i)), F.col("order_units")).otherwise(0)).cast("long") for i in range(d)])
+    start = dealt.groupBy("location_code").agg(loads.alias("loads"))
+    pool = search_pool(dealt, cfg, vendors).withColumnRenamed("location_code", "_location")
+    start = start.join(pool, F.col("location_code").eqNullSafe(F.col("_location")))
+
+    def round_(state: Column, _) -> Column:
+        def apply(x: Column) -> Column:
+            flip = F.call_function("shiftleft", F.lit(1), x["from"]).bitwiseXOR(F.call_function("shiftleft", F.lit(1), x["to"]))
+            loads = F.transform(state["loads"], lambda load, i: load - F.when(i == x["from"], x["units"]).when(i == x["to"], -x["units"]).otherwise(0))
+            pool = F.transform(state["pool"], lambda v: F.struct(v["vendor"].alias("vendor"), v["units"].alias("units"), F.when(
+                (v["vendor"] == x["vendor"]) | (v["vendor"] == x["other"]), v["days"].bitwiseXOR(flip)).otherwise(v["days"]).alias("days")))
+            return F.when(x.isNull(), state).otherwise(F.struct(loads.alias("loads"), pool.alias("pool")))
+
+        return _let(best_exchange(state["loads"], state["pool"], d), apply)
+
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct("loads", "pool"), round_)
+    moved = start.select("_location", F.explode(end["pool"]).alias("_v"))
+    moved = moved.select("_location", F.col("_v.vendor").alias("_vendor"), F.col("_v.days").alias("_new"))
+    same = F.col("location_code").eqNullSafe(F.col("_location")) & (F.col("vendor_number") == F.col("_vendor"))
+    out = dealt.join(moved, same, "left")
+    return out.withColumn("_days", F.coalesce("_new", "_days")).drop("_location", "_vendor", "_new")
+
+
+def level_days(sized: DataFrame, cfg: PlanConfig, rounds: int = ROUNDS) -> DataFrame:
+    """Feasible vendors x chosen days with units per day (L3). The deal is written before it is searched."""
+    able = feasible(sized, cfg)
+    chosen = improved(kept(deal(able, cfg)), cfg, rounds)
+    days = F.filter(F.sequence(F.lit(1), F.lit(cfg.receiving_days)), lambda x: _bit(F.col("_days"), x - 1))
+    out = chosen.withColumn("day_index", F.explode(days)).drop("_days")
     return out.withColumn("units", F.col("order_units"))
 
 
@@ -162,14 +266,46 @@ def peak_load(levelled: DataFrame) -> DataFrame:
     return day_load(levelled).groupBy("location_code").agg(F.max("load").alias("peak"))
 
 
+def ranked_bound(levelled: DataFrame, cfg: PlanConfig) -> DataFrame:
+    """(location_code, ranked): the greatest of the bounds by rank, over orders that are not of every day.
+
+    Of the kD + 1 largest orders k + 1 share a day, so the peak is at least the
+    sum of the k + 1 smallest of these, for every k. With P the running total
+    of the orders by falling size that is P(kD + 1) - P(k(D - 1)), so each k
+    needs two ranks, which meet in one aggregate.
+    """
+    d = cfg.receiving_days
+    orders = levelled.where(F.col("orders") < d).select("location_code", "vendor_number", "day_index", "units")
+    placed = running_totals(orders, order=[-F.col("units"), "vendor_number", "day_index"], group=["location_code"],
+                            values={"_rank": F.lit(1), "_before": F.col("units")})
+    rank, total = F.col("_rank") + 1, F.col("_before") + F.col("units")
+    last = F.struct(((rank - 1) / d).cast("long").alias("k"), F.lit(1).alias("side"), total.alias("sum"))
+    first = F.struct((rank / (d - 1)).cast("long").alias("k"), F.lit(0).alias("side"), (-total).alias("sum"))
+    ends = F.concat(F.when((rank - 1) % d == 0, F.array(last)).otherwise(F.array().cast("array<struct<k:bigint,side:int,sum:bigint>>")),
+                    F.when(rank % (d - 1) == 0, F.array(first)).otherwise(F.array().cast("array<struct<k:bigint,side:int,sum:bigint>>")))
+    ends = placed.select("location_code", F.explode(ends).alias("e")).select("location_code", "e.*")
+    by_k = ends.groupBy("location_code", "k").agg(F.max("side").alias("reached"), F.sum("sum").alias("bound")).where("reached = 1")
+    # Rank 0 has no row; its total is 0, and k = 0 gives the largest order.
+    return by_k.groupBy("location_code").agg(F.max("bound").cast("long").alias("ranked"))
+
+
 def level_gap(levelled: DataFrame, cfg: PlanConfig) -> DataFrame:
-    """Peak against the lower bound max(ceil(total / D), largest order)."""
+    """Peak against the greatest lower bound: the mean day, the largest order, the bounds by rank.
+
+    Orders of every day add the same to each, so they stand beside the bounds
+    of the others. ``levelled`` is evaluated several times.
+    """
     d = cfg.receiving_days
+    daily = F.col("orders") >= d
     tot = levelled.groupBy("location_code").agg(
-        F.sum("units").cast("long").alias("total_units"), F.max("units").cast("long").alias("largest_order")
+        F.sum("units").cast("long").alias("total_units"), F.max("units").cast("long").alias("largest_order"),
+        F.coalesce(F.sum(F.when(daily & (F.col("day_index") == 1), F.col("units"))), F.lit(0)).cast("long").alias("_daily"),
     )
+    ranked = ranked_bound(levelled, cfg).withColumnRenamed("location_code", "_location")
     g = tot.join(peak_load(levelled), "location_code", "inner")
-    bound = F.greatest(F.ceil(F.col("total_units") / F.lit(float(d))), F.col("largest_order")).cast("long")
+    g = g.join(ranked, F.col("location_code").eqNullSafe(F.col("_location")), "left")
+    mean = F.expr(f"(total_units + {d - 1}) div {d}")
+    bound = F.greatest(mean, F.col("_daily") + F.coalesce("ranked", F.lit(0))).cast("long")
     return g.select(
         "location_code",
         "total_units",

@@ -22,6 +22,7 @@ from dockplan.operators import cadence, demand, leveling, loads, receipts
 from dockplan.operators import schedule as sched
 from dockplan.plans import reports
 from dockplan.sources import AS_OF, SITE, at_location, at_snapshot, bind
+from dockplan.stages import Stages, kept
 
 SNAP = config.snapshot_report(AS_OF, SITE)
 HOR = config.horizon_report(AS_OF)
@@ -378,9 +379,8 @@ def q_level_days(spark, d):
 
 
 def q_audit_schedule(spark, d):
-    """The finished weekly schedule against its plan."""
-    tables = _t(spark, d)
-    return leveling.audit_schedule(weekly_schedule(tables, WP), weekly_sized(tables, WP), WP)
+    """The finished weekly schedule against its plan, both as stored."""
+    return weekly_audit(_t(spark, d), WP)
 
 
 def q_day_load(spark, d):
@@ -392,7 +392,7 @@ def q_peak_load(spark, d):
 
 
 def q_level_gap(spark, d):
-    return leveling.level_gap(_fixture_days(spark, d), WP)
+    return leveling.level_gap(kept(_fixture_days(spark, d)), WP)
 
 
 def q_infeasible_vendors(spark, d):
@@ -407,9 +407,8 @@ def q_order_dates(spark, d):
 
 def q_vendors_by_day(spark, d):
     dated = leveling.with_dates(_fixture_days(spark, d), WP)
-    ranked = ordered_index(dated.select("location_code", "receive_date", "vendor_number"),
-                           order=["vendor_number"], group=["location_code", "receive_date"], name="position")
-    return ranked
+    days = kept(dated.select("location_code", "receive_date", "vendor_number"))
+    return ordered_index(days, order=["vendor_number"], group=["location_code", "receive_date"], name="position")
 
 
 def _fixture_attrs(spark, d):
@@ -429,7 +428,7 @@ def _fixture_attrs(spark, d):
 
 def q_schedule(spark, d):
     lv = _fixture_days(spark, d).join(_fixture_attrs(spark, d), ["location_code", "vendor_number"], "left")
-    return sched.schedule(leveling.with_dates(lv, WP))
+    return sched.schedule(kept(leveling.with_dates(lv, WP)))
 
 
 def weekly_sized(tables: dict, cfg: config.PlanConfig) -> DataFrame:
@@ -438,13 +437,29 @@ def weekly_sized(tables: dict, cfg: config.PlanConfig) -> DataFrame:
     return leveling.order_size(plan, cfg)
 
 
-def weekly_schedule(tables: dict, cfg: config.PlanConfig) -> DataFrame:
+def _stages(tables: dict, stages: Stages | None) -> Stages:
+    return stages or Stages(tables["forecast"].sparkSession)
+
+
+def weekly_schedule(tables: dict, cfg: config.PlanConfig, stages: Stages | None = None) -> DataFrame:
     """End-to-end weekly plan: report, plan rows, levelling, dates, schedule.
 
-    Building it runs two jobs, one for each set of literal bounds (the levelling
-    order, the serial order); nothing is written.
+    The sized plan and the levelled days are stages: written once, and read by
+    all that follows. So the fact tables are scanned once, a lost executor
+    recomputes no report, and a run with named ``stages`` that is started again
+    goes on behind its last finished one.
     """
-    return sched.schedule(leveling.with_dates(leveling.level_days(weekly_sized(tables, cfg), cfg), cfg))
+    stages = _stages(tables, stages)
+    sized = stages.keep("sized", lambda: weekly_sized(tables, cfg))
+    dated = stages.keep("dated", lambda: leveling.with_dates(leveling.level_days(sized, cfg), cfg))
+    return sched.schedule(dated)
+
+
+def weekly_audit(tables: dict, cfg: config.PlanConfig, stages: Stages | None = None) -> DataFrame:
+    """The audit of the weekly schedule (L4), over the stored schedule and the stored plan."""
+    stages = _stages(tables, stages)
+    finished = stages.keep("schedule", lambda: weekly_schedule(tables, cfg, stages))
+    return leveling.audit_schedule(finished, stages.keep("sized", lambda: weekly_sized(tables, cfg)), cfg)
 
 
 def q_weekly_schedule(spark, d):
