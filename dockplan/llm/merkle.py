@@ -112,23 +112,32 @@ def grow(leaves: DataFrame, arity: int) -> tuple[list[DataFrame], list[DataFrame
         most = -(-most // arity)
 
 
-def paths(levels: list[DataFrame], tops: list[DataFrame], above: DataFrame, arity: int) -> DataFrame:
-    """(tree, idx, steps, ...) of every leaf: the siblings from its own level to the root. ``above`` has (tree, steps, ...) of the tops."""
+def paths(levels: list[DataFrame], tops: list[DataFrame], above: DataFrame, arity: int, lowest: int = 0) -> DataFrame:
+    """(tree, idx, steps, ...) of every node of the level ``lowest``: the siblings from its own level to the root.
+
+    ``above`` has (tree, steps, ...) of the tops.
+    """
     rest = [c for c in above.columns if c not in ("tree", "steps")]
 
     def ended(level: int) -> DataFrame:
         return tops[level].select("tree").join(above, "tree").select("tree", F.lit(0).cast("long").alias("idx"), "steps", *rest)
 
     path = ended(len(levels))
-    for level in range(len(levels) - 1, -1, -1):
-        up = path.select("tree", F.col("idx").alias("parent"), F.col("steps").alias("higher"), *rest)
-        nodes = levels[level].select("tree", "idx", F.expr(f"idx div {arity}").alias("parent"), "before", "after")
-        own = F.array(F.struct("before", "after"))
-        path = nodes.join(up, ["tree", "parent"]).select("tree", "idx", F.concat(own, "higher").alias("steps"), *rest)
-        path = path.unionByName(ended(level))
+    for level in range(len(levels) - 1, lowest - 1, -1):
+        path = beside_and_above(levels[level], path, arity).unionByName(ended(level))
     return path
 
 
+def beside_and_above(nodes: DataFrame, path: DataFrame, arity: int) -> DataFrame:
+    """Nodes (tree, idx, before, after, ...) with their siblings before the steps of their parents' ``path``."""
+    rest = [c for c in path.columns if c not in ("tree", "idx", "steps")]
+    payload = [c for c in nodes.columns if c not in ("tree", "idx", "n", "digest", "before", "after")]
+    up = path.select("tree", F.col("idx").alias("parent"), F.col("steps").alias("higher"), *rest)
+    nodes = nodes.withColumn("parent", F.expr(f"idx div {arity}"))
+    own = F.array(F.struct("before", "after"))
+    return nodes.join(up, ["tree", "parent"]).select("tree", "idx", F.concat(own, "higher").alias("steps"), *payload, *rest)
+
+
 def manifest(records: DataFrame, source: str, key: str, arity: int = ARITY) -> DataFrame:
     """The records (with a hex ``leaf``) with subroot, root and ``steps``, their siblings' digests from the leaf upwards.
 
@@ -155,8 +164,13 @@ def manifest(records: DataFrame, source: str, key: str, arity: int = ARITY) -> D
     none = root.select("tree", F.array().cast(step).alias("steps"), F.col("digest").alias("_root"))
     above = paths(upper, upper_tops, none, arity).select(F.col("idx").alias("tree"), "steps", "_root")
     above = subroots.select("tree", F.col("digest").alias("_subroot")).join(above, "tree")
-    path = paths(levels, tops, above, arity)
-    out = leaves.join(path, ["tree", "idx"])
+    # The leaves meet their siblings before their paths, so no join moves whole paths of the table's rows.
+    if levels:
+        out = leaves.join(levels[0].select("tree", "idx", "before", "after"), ["tree", "idx"])
+        out = beside_and_above(out, paths(levels, tops, above, arity, lowest=1), arity)
+        out = out.unionByName(leaves.where("n = 1").drop("n").join(above, "tree"))
+    else:
+        out = leaves.drop("n").join(above, "tree")
     return out.select(*[F.col(f"`{c}`") for c in records.columns], as_text(F.col("_subroot")).alias("subroot"),
                       as_text(F.col("_root")).alias("root"), "steps")
 
