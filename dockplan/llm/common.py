@@ -67,6 +67,11 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_hash(df: DataFrame, column: str, share: float) -> DataFrame:
+    """About that share of the rows: those whose hash of the column is below a threshold. A filter, without a sort or a limit."""
+    return df if share >= 1 else df.where(F.pmod(F.xxhash64(column), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+
 def power_of_two_at_least(n: float) -> int:
     return 1 << max(0, math.ceil(math.log2(max(1.0, n))))
 

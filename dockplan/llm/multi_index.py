@@ -5,9 +5,9 @@ is entered in the cell of its two nearest centroids. A query visits cells by the
 sorted, and a heap holds the next pair of each row, so pairs come out in order without forming all of them. It stops once the
 visited cells hold ``budget`` entries, and these are reranked by their true distance.
 
-* Centroids are fitted on a sample of at most ``SAMPLE_ROWS`` vectors, those with the smallest hash; every vector is entered.
+* Centroids are fitted on a sample of about ``SAMPLE_ROWS`` vectors, those whose hash is below a threshold; every vector is entered.
   The number of centroids follows the number of entries up to ``MAX_CENTROIDS``; beyond, cells get fuller and are read in parts.
-* ``budget`` is not guessed. For at most ``TUNING_QUERIES`` vectors the true neighbours are found against all entries, and the
+* ``budget`` is not guessed. For about ``TUNING_QUERIES`` vectors the true neighbours are found against all entries, and the
   budget is what covers the cells of a ``COVERAGE`` share of them. So it follows the data, whatever their size or shape.
 * Equal vectors are one entry that keeps its k + 1 smallest ids, all that a result can show; the rank that finds them limits groups
   before the shuffle, so one vector that a third of all rows hold is a few rows a task.
@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import ship, stored, table
+from dockplan.llm.common import by_hash, ship, stored, table
 
 SAMPLE_ROWS, MAX_CENTROIDS = 20_000, 256
 TUNING_QUERIES, COVERAGE = 64, 0.97
@@ -164,7 +164,7 @@ def nearest_rows(query: np.ndarray, matrix: np.ndarray, k: int) -> tuple[np.ndar
 
 def build(entries: DataFrame, rows: int, width: int) -> tuple[MultiIndex, DataFrame]:
     """The index of the ``entries`` (vector, ids), and these written with their cell."""
-    sample = entries.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE_ROWS).collect()
+    sample = by_hash(entries.select("vector"), "vector", SAMPLE_ROWS / rows).collect()
     index = MultiIndex(as_matrix([r[0] for r in sample], width), min(MAX_CENTROIDS, max(1, round(rows**0.5 / 1.5))))
 
     def enter(batches):
@@ -181,8 +181,10 @@ def build(entries: DataFrame, rows: int, width: int) -> tuple[MultiIndex, DataFr
 
 def budget_for(index: MultiIndex, entered: DataFrame, k: int) -> int:
     """Entries a query has to read so that a ``COVERAGE`` share of the true neighbours of the tuning queries is among them."""
-    queries = [r[0] for r in entered.select("vector").orderBy(F.xxhash64(F.lit(1), "vector")).limit(TUNING_QUERIES).collect()]
-    tuning = as_matrix(queries, index.width)
+    queries = by_hash(entered.select("vector"), "vector", TUNING_QUERIES / max(1, index.counts.sum())).collect()
+    if not queries:
+        return int(index.counts.sum())
+    tuning = as_matrix([r[0] for r in queries], index.width)
 
     def near(batches):
         best = [(np.empty(0), np.empty(0, dtype=np.int64))] * len(tuning)

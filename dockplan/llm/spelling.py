@@ -6,8 +6,8 @@ box around its counts, once among the words of its own length and once among tho
 same search from the other side). Per length pair, a k-d tree over the counts prunes whole boxes; the words that are left are
 verified letter by letter.
 
-The tree has two storeys. Planes of the upper one come from a sample of at most ``SAMPLE_WORDS`` words of at most ``SAMPLE_LETTERS``
-letters; they only decide how words are dealt, never which pairs are found. Every word is dealt to the one box of its length that
+The tree has two storeys. Planes of the upper one come from a sample of about ``SAMPLE_WORDS`` words of at most ``SAMPLE_LETTERS``
+letters, those whose hash is below a threshold; they only decide how words are dealt, never which pairs are found. Every word is dealt to the one box of its length that
 holds it, and as a probe to every box of both lengths within reach. In a box, the words' own tree has the lower storey. A box with
 more than ``BOX_WORDS`` words or ``BOX_PROBES`` probes is dealt in blocks that all meet, so no task holds an unbounded box, and
 lengths that the sample lacks are one box each, dealt in the same way.
@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import lower_ascii, ship, stored, table
+from dockplan.llm.common import by_hash, lower_ascii, ship, stored, table
 
 #: Fixed values of the contract: the runs that are words, and which of them lose a letter.
 LETTERS = r"[A-Za-zÀ-ÿ]"
@@ -194,10 +194,9 @@ def near_words(words: DataFrame, sample_words: int = SAMPLE_WORDS, box_words: in
     """(word, near, near_n) for every ordered pair of different words of (word, n) that are one edit apart."""
     spark = words.sparkSession
     ship(spark)
-    total = words.count()
+    share = min(1.0, sample_words / max(1, words.count()))
     short = words.where(F.char_length("word") <= SAMPLE_LETTERS).select("word")
-    sample = [r[0] for r in short.orderBy(F.xxhash64("word"), "word").limit(sample_words).collect()]
-    share = min(1.0, sample_words / max(1, total))
+    sample = [r[0] for r in by_hash(short, "word", share).collect()]
     size = max(SAMPLE_A_BOX, int(box_words * share))
     trees: dict[int, Tree] = {}
     by_length: dict[int, list[str]] = {}
