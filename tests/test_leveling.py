@@ -1,12 +1,18 @@
 import datetime as dt
+import itertools
+import random
+from pathlib import Path
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dockplan import config
 from dockplan.operators import leveling
-from dockplan.operators.schedule import schedule, write_schedule
+from dockplan.operators.schedule import recover_schedule, schedule, write_schedule
+from dockplan.plans import catalog
+from dockplan.stages import kept
 
 CFG = config.weekly_plan(dt.date(2000, 1, 1))
 PLAN = "location_code string, vendor_number string, vendor_name string, vendor_lead_time_business_days int, " \
@@ -110,10 +116,110 @@ def test_schedule_serial_and_csv(spark, tmp_path):
     assert [r["serial_no"] for r in got] == list(range(1, len(got) + 1))
     keys = [(r["receive_date"], r["location_code"], r["vendor_number"]) for r in got]
     assert keys == sorted(keys)
+
+
+def optimum(vendors, days=5):
+    """The least possible peak of (units an order, orders) by trying all days."""
+    best = [10**9]
+    vendors = sorted(vendors, reverse=True)
+
+    def place(i, loads):
+        if max(loads) >= best[0]:
+            return
+        if i == len(vendors):
+            best[0] = max(loads)
+            return
+        for chosen in itertools.combinations(range(days), vendors[i][1]):
+            place(i + 1, [load + vendors[i][0] * (d in chosen) for d, load in enumerate(loads)])
+
+    place(0, [0] * days)
+    return best[0]
+
+
+def test_peak_and_bound_against_the_optimum(spark):
+    """Small locations, all tried: the peak within 5 % of the optimum, the bound never above it; a search never ends above its deal."""
+    r = random.Random(5)
+    places = {f"L{k}": [(r.randint(1, 100), r.randint(1, 5)) for _ in range(r.randint(1, 7))] for k in range(50)}
+    rows = [(k, f"V{i}", "n", 1, units * n, n) for k, vendors in places.items() for i, (units, n) in enumerate(vendors)]
+    sized = kept(leveling.order_size(_plan(spark, rows), CFG))
+    dealt = {g["location_code"]: g["peak"] for g in leveling.peak_load(leveling.level_days(sized, CFG, rounds=1)).collect()}
+    gaps = {g["location_code"]: g for g in leveling.level_gap(kept(leveling.level_days(sized, CFG)), CFG).collect()}
+    assert set(gaps) == set(places)
+    for k, vendors in places.items():
+        least = optimum(vendors)
+        assert gaps[k]["lower_bound"] <= least <= gaps[k]["peak"] <= 1.05 * least, (k, vendors)
+        assert gaps[k]["peak"] <= dealt[k]
+
+
+def test_ranked_bounds(spark):
+    """Six orders of 10 and five days: two of them share one, which neither the mean nor the largest order tells."""
+    p = _plan(spark, [("L", f"V{i}", "n", 1, 10, 1) for i in range(6)] + [("L", "W", "n", 1, 35, 5)])
+    gap = leveling.level_gap(kept(leveling.level_days(leveling.order_size(p, CFG), CFG)), CFG).collect()[0]
+    assert (gap["lower_bound"], gap["peak"], gap["total_units"]) == (27, 27, 95)
+
+
+def test_mean_gap_of_the_fixture(spark):
+    g = catalog.q_level_gap(spark, "/root/testdata/sf0.001").collect()
+    assert sum(x["peak"] / x["lower_bound"] for x in g) / len(g) <= 1.10
+
+
+def test_search_in_a_pool_smaller_than_the_location(spark):
+    """Days differ, orders and units stay, and the peak is not above the deal's, whatever the pool holds."""
+    r = random.Random(1)
+    rows = [(loc, f"V{i}", "n", 1, r.randint(1, 900), r.randint(1, 5)) for loc in ("A", None) for i in range(40)]
+    dealt = kept(leveling.deal(leveling.order_size(_plan(spark, rows), CFG), CFG))
+    peak = lambda df: {x[0]: max(sum(u for u, d in x[1] if d >> k & 1) for k in range(5)) for x in (
+        (loc, [(y["order_units"], y["_days"]) for y in df if y["location_code"] == loc]) for loc in ("A", None))}
+    before = dealt.collect()
+    for size in (1, 5, 12):
+        after = leveling.improved(dealt, CFG, vendors=size).collect()
+        assert len(after) == len(before)
+        same = lambda rows: sorted((str(y["location_code"]), y["vendor_number"], y["order_units"], bin(y["_days"]).count("1")) for y in rows)
+        assert same(after) == same(before)
+        assert all(peak(after)[loc] <= peak(before)[loc] for loc in ("A", None))
+
+
+def lines_of(path):
+    """Rows of the part files in the order of their names, as a reader of the folder gets them."""
+    parts = [p.read_text().splitlines() for p in sorted(Path(path).glob("part-*"))]
+    assert len({p[0] for p in parts if p}) == 1
+    return [line for p in parts for line in p[1:]]
+
+
+@pytest.fixture()
+def finished(spark):
+    rows = [(loc, f"V{i}", f'n "{i}", Inc', i % 7, 100 + i, 1 + i % 5) for i, loc in enumerate(["L1", "L2"] * 30)]
+    sized = leveling.order_size(_plan(spark, rows), CFG)
+    return kept(schedule(kept(_named(leveling.with_dates(leveling.level_days(sized, CFG), CFG)))))
+
+
+@pytest.mark.parametrize("partitions, rows_per_file", [(1, 1_000_000), (7, 50), (3, 1)])
+def test_schedule_file_is_in_serial_order(spark, finished, tmp_path, partitions, rows_per_file):
+    out = str(tmp_path / "sched")
+    write_schedule(finished.repartition(partitions), out, rows_per_file)
+    assert [int(x.split(",")[0]) for x in lines_of(out)] == list(range(1, finished.count() + 1))
+    back = spark.read.option("header", True).option("escape", '"').csv(out, schema=finished.schema)
+    assert back.columns[0] == "serial_no"
+    assert sorted(r["vendor_name"] for r in spark.read.option("header", True).csv(out).collect()) == sorted(r["vendor_name"] for r in finished.collect())
+    assert len(list(tmp_path.iterdir())) == 1
+
+
+def test_interrupted_write_leaves_the_old_schedule(spark, finished, tmp_path):
     out = str(tmp_path / "sched")
-    write_schedule(sch, out)
-    back = spark.read.option("header", True).csv(out)
-    assert back.count() == len(got) and back.columns[0] == "serial_no"
+    write_schedule(finished, out)
+    before = lines_of(out)
+    n = finished.count()
+    broken = finished.withColumn("units", F.when(F.col("serial_no") == n, F.raise_error(F.lit("lost")).cast("long")).otherwise(1))
+    with pytest.raises(Exception, match="lost"):
+        write_schedule(broken, out, rows_per_file=20)
+    assert lines_of(out) == before
+    # Died between the two renames: the old schedule is aside, and put back.
+    Path(out).rename(f"{out}.replaced-1")
+    assert recover_schedule(spark, out) and lines_of(out) == before
+    assert not recover_schedule(spark, out)
+    Path(out).rename(f"{out}.replaced-2")
+    write_schedule(finished.where("serial_no <= 5"), out)
+    assert len(lines_of(out)) == 5 and [p.name for p in tmp_path.iterdir() if "replaced" in p.name] == []
 
 
 def test_all_or_nothing_drops_location(spark):

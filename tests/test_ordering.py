@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from dockplan.functions.ordering import ordered_index, running_total
+from dockplan.functions import ordering
+from dockplan.functions.ordering import ordered_index, running_total, running_totals
 
 ROWS = 24_000
 
@@ -43,6 +44,34 @@ def test_hot_group_is_spread(spark):
     assert sizes.distinct().count() == 16
 
 
+@pytest.mark.parametrize("buckets", [2, 10, 64, 65, 300, 2000])
+def test_matches_a_window_at_any_bucket_count(spark, buckets):
+    """One level of bounds, two levels, and more bounds than a gap has keys."""
+    df = _rows(spark).drop("p1", "p2")
+    got = running_totals(df, order=[-F.col("v"), "k"], group=["g"], values={"t": F.col("w"), "i": F.lit(1)}, buckets=buckets)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc(), "k").rowsBetween(Window.unboundedPreceding, -1)
+    ref = df.withColumn("t", F.coalesce(F.sum("w").over(w), F.lit(0))).withColumn("i", F.count(F.lit(1)).over(w))
+    assert got.select(*ref.columns).exceptAll(ref).count() == 0 and got.count() == ROWS
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    """No ceiling, even buckets, and few tuples on the driver: the upper bounds alone."""
+    monkeypatch.setattr(ordering, "ROWS_PER_BUCKET", ROWS // 400)
+    df = _rows(spark).where("g = 0").select("v", "k")
+    n = df.count()
+    bounds = ordering.key_bounds(df, ["v", "k"], [], n * 400 // ROWS, n)
+    sizes = [r["count"] for r in bounds.bucket(df, ["v", "k"]).groupBy("_bucket").count().collect()]
+    assert 200 <= len(sizes) <= 600 and max(sizes) <= 8 * n / len(sizes)
+    assert bounds.n_upper <= 40 and bounds.lower.count() <= bounds.n_upper + 1
+
+
+def test_bisection_counts_smaller_bounds(spark):
+    for n in (0, 1, 2, 3, 7, 8, 9, 31):
+        bounds = F.array(*[F.struct(F.lit(2 * i).alias("k0")) for i in range(n)]) if n else F.array().cast("array<struct<k0:int>>")
+        df = spark.range(-1, 70).select("id", ordering.below(bounds, F.struct(F.col("id").cast("int").alias("k0")), n).alias("b"))
+        assert all(r["b"] == sum(2 * i < r["id"] for i in range(n)) for r in df.collect())
+
+
 def test_small_and_empty(spark):
     df = spark.createDataFrame([(2,), (1,)], "x int")
     assert sorted(tuple(r) for r in ordered_index(df, order=["x"], name="i").collect()) == [(1, 0), (2, 1)]
