@@ -145,22 +145,11 @@ def deal(able: DataFrame, cfg: PlanConfig) -> DataFrame:
     vendor is a running total over its location, at any size.
     """
     d = cfg.receiving_days
-    daily = F.col("orders") >= d
     dealt = running_total(able, order=[-F.col("order_units"), "vendor_number"], group=["location_code"],
-                          value=F.when(daily, 0).otherwise(F.col("orders")), name="_slot")
-    slot = lambda m: F.col("_slot") + m
-    day = lambda m: F.when(daily, m).otherwise((slot(m) + F.floor(slot(m) / F.lit(d))) % F.lit(d))
-    bits = F.transform(F.sequence(F.lit(0), F.col("orders") - F.lit(1)), lambda m: F.call_function("shiftleft", F.lit(1), day(m).cast("int")))
-    return dealt.withColumn("_days", F.aggregate(bits, F.lit(0), lambda all_, b: all_.bitwiseOR(b))).drop("_slot")
-
-
-def _bit(days: Column, day: Column) -> Column:
-    return days.bitwiseAND(F.call_function("shiftleft", F.lit(1), day)) != 0
-
-
-def _let(value: Column, use) -> Column:
-    """``use(value)``, with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+                          value=F.expr(f"CASE WHEN orders >= {d} THEN 0 ELSE orders END"), name="_slot")
+    day = f"CASE WHEN orders >= {d} THEN m ELSE (_slot + m + (_slot + m) div {d}) % {d} END"
+    bits = f"aggregate(sequence(0, orders - 1), 0, (days, m) -> days | shiftleft(1, CAST({day} AS INT)))"
+    return dealt.withColumn("_days", F.expr(bits)).drop("_slot")
 
 
 def search_pool(dealt: DataFrame, cfg: PlanConfig, vendors: int = POOL_VENDORS) -> DataFrame:
@@ -182,59 +171,51 @@ def search_pool(dealt: DataFrame, cfg: PlanConfig, vendors: int = POOL_VENDORS)
     return few.groupBy("location_code").agg(F.array_sort(F.collect_list(vendor)).alias("pool"))
 
 
-def best_exchange(loads: Column, pool: Column, d: int) -> Column:
-    """The best move or swap off a day: (worse, to, vendor, other, units, from), or null where none helps.
-
-    A vendor with an order on that day and none on another gives it to the
-    other, and takes from it the order of ``other`` (none for a move), which
-    has one there and none here. With a difference in load of f and in units of
-    u, both days end at least min(u, f - u) below the heavier one; the exchange
-    with the largest such gain is best, ties by day and vendors. The heaviest
-    day comes first, and only where nothing helps it the next one: that may
-    make room for the heaviest in a later round.
-    """
-    none = F.struct(F.lit("").alias("vendor"), F.lit(0).cast("long").alias("units"), F.lit(0).alias("days"))
+def _on(days: str, day: str) -> str:
+    return f"(shiftright({days}, {day}) & 1) = 1"
 
-    def to(at: Column, load: Column, day: Column) -> Column:
-        givers = F.filter(pool, lambda x: _bit(x["days"], at) & ~_bit(x["days"], day))
-        takers = F.concat(F.array(none), F.filter(pool, lambda x: _bit(x["days"], day) & ~_bit(x["days"], at)))
 
-        def exchanges(difference: Column, others: Column) -> Column:
-            pairs = F.flatten(F.transform(givers, lambda a: F.transform(others, lambda b: F.struct(
-                (-F.least(a["units"] - b["units"], difference - a["units"] + b["units"])).alias("worse"), day.alias("to"),
-                a["vendor"].alias("vendor"), b["vendor"].alias("other"), (a["units"] - b["units"]).alias("units"), at.alias("from")))))
-            return F.filter(pairs, lambda x: x["worse"] < 0)
+def search_sql(cfg: PlanConfig, rounds: int) -> str:
+    """The pool after the rounds, from columns ``loads`` and ``pool``, as one parsed expression.
 
-        return _let(F.struct((load - F.get(loads, day)).alias("difference"), takers.alias("others")),
-                    lambda s: F.array_min(exchanges(s["difference"], s["others"])))
-
-    def off(place: Column) -> Column:
-        return _let(place, lambda x: F.array_min(F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda day: to(x["at"], -x["less"], day))))
-
-    by_load = F.array_sort(F.transform(loads, lambda load, i: F.struct((-load).alias("less"), i.alias("at"))))
-    return _let(by_load, lambda days: F.coalesce(*[off(F.get(days, F.lit(r))) for r in range(max(1, d - 1))]))
+    A vendor a with an order on day p and none on day t gives it to t, and
+    takes from it the order of a vendor b (none, of no units, for a move) that
+    has one there and none on p. With a difference in load of f and in units of
+    u, both days end at least min(u, f - u) below p's load, so an exchange is
+    worth -min(u, f - u) = greatest(-u, u - f), and helps where that is below
+    0; the least is best, ties by day and vendors. Days p come by falling load,
+    a lighter one only where nothing helps the heavier: that may make room for
+    those in a later round. Where no exchange helps, none will in a later round.
+    """
+    last = cfg.receiving_days - 1
+    found = "struct<worse:bigint,target:int,vendor:string,other:string,units:bigint,source:int>"
+    exchange = ("named_struct('worse', greatest(b.units - a.units, a.units - b.units + p.less + s.loads[t]), 'target', t, "
+                "'vendor', a.vendor, 'other', b.vendor, 'units', a.units - b.units, 'source', p.at)")
+    takers = (f"concat(array(named_struct('vendor', '', 'units', 0L, 'days', 0)), "
+              f"filter(s.pool, b -> {_on('b.days', 't')} AND NOT {_on('b.days', 'p.at')}))")
+    givers = f"filter(s.pool, a -> {_on('a.days', 'p.at')} AND NOT {_on('a.days', 't')})"
+    to_day = (f"transform(array({takers}), others -> array_min(flatten(transform({givers}, "
+              f"a -> filter(transform(others, b -> {exchange}), e -> e.worse < 0)))))[0]")
+    best = (f"aggregate(array_sort(transform(s.loads, (load, i) -> named_struct('less', -load, 'at', i))), CAST(NULL AS {found}), "
+            f"(found, p) -> CASE WHEN found IS NOT NULL THEN found ELSE array_min(transform(sequence(0, {last}), t -> {to_day})) END)")
+    loads = "transform(s.loads, (load, i) -> load - CASE i WHEN x.source THEN x.units WHEN x.target THEN -x.units ELSE 0 END)"
+    pool = ("transform(s.pool, v -> named_struct('vendor', v.vendor, 'units', v.units, 'days', CASE WHEN v.vendor IN (x.vendor, x.other) "
+            "THEN v.days ^ (shiftleft(1, x.source) | shiftleft(1, x.target)) ELSE v.days END))")
+    after = (f"transform(array({best}), x -> CASE WHEN x IS NULL THEN named_struct('loads', s.loads, 'pool', s.pool, 'done', true) "
+             f"ELSE named_struct('loads', {loads}, 'pool', {pool}, 'done', false) END)[0]")
+    return (f"aggregate(sequence(1, {rounds}), named_struct('loads', loads, 'pool', pool, 'done', false), "
+            f"(s, r) -> CASE WHEN s.done THEN s ELSE {after} END).pool")
 
 
 def improved(dealt: DataFrame, cfg: PlanConfig, rounds: int = ROUNDS, vendors: int = POOL_VENDORS) -> DataFrame:
     """``dealt`` (evaluated three times) with the days after the search. One row a location holds its loads and its pool."""
-    d = cfg.receiving_days
-    loads = F.array(*[F.sum(F.when(_bit(F.col("_days"), F.lit(i)), F.col("order_units")).otherwise(0)).cast("long") for i in range(d)])
+    of_day = [f"CAST(sum(CASE WHEN {_on('_days', str(i))} THEN order_units ELSE 0 END) AS BIGINT)" for i in range(cfg.receiving_days)]
+    loads = F.expr(f"array({', '.join(of_day)})")
     start = dealt.groupBy("location_code").agg(loads.alias("loads"))
     pool = search_pool(dealt, cfg, vendors).withColumnRenamed("location_code", "_location")
     start = start.join(pool, F.col("location_code").eqNullSafe(F.col("_location")))
 
-    def round_(state: Column, _) -> Column:
-        def apply(x: Column) -> Column:
-            flip = F.call_function("shiftleft", F.lit(1), x["from"]).bitwiseXOR(F.call_function("shiftleft", F.lit(1), x["to"]))
-            loads = F.transform(state["loads"], lambda load, i: load - F.when(i == x["from"], x["units"]).when(i == x["to"], -x["units"]).otherwise(0))
-            pool = F.transform(state["pool"], lambda v: F.struct(v["vendor"].alias("vendor"), v["units"].alias("units"), F.when(
-                (v["vendor"] == x["vendor"]) | (v["vendor"] == x["other"]), v["days"].bitwiseXOR(flip)).otherwise(v["days"]).alias("days")))
-            return F.when(x.isNull(), state).otherwise(F.struct(loads.alias("loads"), pool.alias("pool")))
-
-        return _let(best_exchange(state["loads"], state["pool"], d), apply)
-
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct("loads", "pool"), round_)
-    moved = start.select("_location", F.explode(end["pool"]).alias("_v"))
+    moved = start.select("_location", F.explode(F.expr(search_sql(cfg, rounds))).alias("_v"))
     moved = moved.select("_location", F.col("_v.vendor").alias("_vendor"), F.col("_v.days").alias("_new"))
     same = F.col("location_code").eqNullSafe(F.col("_location")) & (F.col("vendor_number") == F.col("_vendor"))
     out = dealt.join(moved, same, "left")
@@ -245,7 +226,7 @@ def level_days(sized: DataFrame, cfg: PlanConfig, rounds: int = ROUNDS) -> DataF
     """Feasible vendors x chosen days with units per day (L3). The deal is written before it is searched."""
     able = feasible(sized, cfg)
     chosen = improved(kept(deal(able, cfg)), cfg, rounds)
-    days = F.filter(F.sequence(F.lit(1), F.lit(cfg.receiving_days)), lambda x: _bit(F.col("_days"), x - 1))
+    days = F.expr(f"filter(sequence(1, {cfg.receiving_days}), x -> {_on('_days', 'x - 1')})")
     out = chosen.withColumn("day_index", F.explode(days)).drop("_days")
     return out.withColumn("units", F.col("order_units"))
 

@@ -17,17 +17,22 @@ from dockplan.functions.numeric import ieee_div_sql
 from dockplan.sources.tables import at_location
 
 
+def countable_receipts(receipts: DataFrame) -> DataFrame:
+    """Receipts of one transaction type with a non-zero quantity."""
+    return receipts.where((F.col("tran_type") == F.lit(RECEIPT_TRAN_TYPE)) & (F.col("tran_qty") != F.lit(0.0)))
+
+
+def received_since(receipts: DataFrame, cfg: PlanConfig) -> DataFrame:
+    return receipts if cfg.upt_since is None else receipts.where(F.col("tran_date") >= F.lit(cfg.upt_since))
+
+
 def receipt_filter(receipts: DataFrame, cfg: PlanConfig) -> DataFrame:
     """Receipts of the sites, one transaction type, non-zero quantity.
 
     The source reads all history (its date filter is commented out); with
     ``cfg.upt_since`` set, only receipts on or after that date count (D12).
     """
-    r = at_location(receipts, "wh_id", cfg.locations)
-    r = r.where((F.col("tran_type") == F.lit(RECEIPT_TRAN_TYPE)) & (F.col("tran_qty") != F.lit(0.0)))
-    if cfg.upt_since is not None:
-        r = r.where(F.col("tran_date") >= F.lit(cfg.upt_since))
-    return r
+    return received_since(countable_receipts(at_location(receipts, "wh_id", cfg.locations)), cfg)
 
 
 def document_vendors(docs: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -40,13 +45,10 @@ def document_vendors(docs: DataFrame, vendors: DataFrame) -> DataFrame:
     )
 
 
-def receipt_upt_by_document(receipts: DataFrame, docs: DataFrame, vendors: DataFrame, cfg: PlanConfig) -> DataFrame:
-    """Units, distinct items and units per transaction per vendor document (A4, A5)."""
-    per_doc = (
-        receipt_filter(receipts, cfg)
-        .groupBy("wh_id", "control_number")
-        .agg(F.count_distinct("item_number").alias("num_unique_skus"), F.sum("tran_qty").alias("_units"))
-    )
+def document_upt(receipts: DataFrame, docs: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Units, distinct items and units per transaction per vendor document, of receipts or of their day states."""
+    per_doc = receipts.groupBy("wh_id", "control_number").agg(
+        F.count_distinct("item_number").alias("num_unique_skus"), F.sum("tran_qty").alias("_units"))
     links = document_vendors(docs, vendors)
     j = per_doc.join(links, per_doc.control_number == links.document_number, "inner")
     units = "(_units * CAST(links AS DOUBLE))"
@@ -61,10 +63,16 @@ def receipt_upt_by_document(receipts: DataFrame, docs: DataFrame, vendors: DataF
     )
 
 
+def mean_upt(by_document: DataFrame) -> DataFrame:
+    """Mean document UPT per vendor and warehouse, unweighted by volume."""
+    return by_document.groupBy("vendor_number", "vendor_name", "wh_id").agg(F.avg("upt").alias("avg_upt"))
+
+
+def receipt_upt_by_document(receipts: DataFrame, docs: DataFrame, vendors: DataFrame, cfg: PlanConfig) -> DataFrame:
+    """Units, distinct items and units per transaction per vendor document (A4, A5)."""
+    return document_upt(receipt_filter(receipts, cfg), docs, vendors)
+
+
 def vendor_upt(receipts: DataFrame, docs: DataFrame, vendors: DataFrame, cfg: PlanConfig) -> DataFrame:
     """Mean document UPT per vendor and warehouse, unweighted by volume."""
-    return (
-        receipt_upt_by_document(receipts, docs, vendors, cfg)
-        .groupBy("vendor_number", "vendor_name", "wh_id")
-        .agg(F.avg("upt").alias("avg_upt"))
-    )
+    return mean_upt(receipt_upt_by_document(receipts, docs, vendors, cfg))

@@ -20,6 +20,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockplan.session import checkpoint_dir
@@ -73,6 +74,6 @@ class Stages:
         df = build()
         folder = f"{name}-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.folder}/{folder}")
-        marker = self.spark.createDataFrame([(folder, df.schema.json())], MARKER)
-        marker.coalesce(1).write.mode("append").json(f"{self.folder}/{name}.committed")
+        marker = self.spark.range(0, 1, 1, 1).select(F.lit(folder).alias("folder"), F.lit(df.schema.json()).alias("schema"))
+        marker.write.mode("append").json(f"{self.folder}/{name}.committed")
         return self.committed(name)
