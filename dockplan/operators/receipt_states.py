@@ -5,7 +5,7 @@ received that day, with their units. States merge exactly, because a document's
 the history into days, in any order, gives the units per transaction of the whole. So a run reads the days that are not folded yet,
 and the states, which have at most one row for a day, site, document and item.
 
-``ReceiptStates`` keeps them in a folder. A fold writes the states of its days, partitioned by day, to a folder of its own, and then a
+``ReceiptStates`` keeps them in a folder. A fold writes the states of its days, sorted by day, to a folder of its own, and then a
 marker that names that folder, its number and its days. Of the folds that list a day the last one counts, so a day that is folded
 again, because receipts came late or a run was repeated, replaces its state and is never added to it; a fold that died has no marker
 and does not exist. ``compact`` writes all states that count as one fold.
@@ -46,11 +46,23 @@ def upt_from_states(states: DataFrame, docs: DataFrame, vendors: DataFrame, cfg:
     return mean_upt(document_upt(counted, docs, vendors))
 
 
+def _listed(days: set) -> str:
+    return ", ".join(f"DATE'{d.isoformat()}'" for d in sorted(days - {None}))
+
+
 def on_days(days: Iterable) -> Column:
-    days = list(days)
-    known = [d for d in days if d is not None]
-    in_list = F.col("tran_date").isin(known) if known else F.lit(False)
-    return (F.col("tran_date").isNull() | in_list) if None in days else in_list
+    """Rows of these days, as a predicate that the scan takes."""
+    days = set(days)
+    either = [f"tran_date IN ({_listed(days)})"] if days - {None} else []
+    either += ["tran_date IS NULL"] if None in days else []
+    return F.expr(" OR ".join(either) or "false")
+
+
+def off_days(days: Iterable) -> Column:
+    """Rows of all other days; a null day is a day."""
+    days = set(days)
+    known = f"tran_date NOT IN ({_listed(days)})" if days - {None} else "true"
+    return F.expr(f"tran_date IS NOT NULL AND {known}" if None in days else f"tran_date IS NULL OR {known}")
 
 
 class ReceiptStates:
@@ -77,12 +89,15 @@ class ReceiptStates:
 
     def missing(self, receipts: DataFrame) -> set:
         """Days of the receipts that are not folded; where the table is partitioned by day no receipt is read for it."""
-        return {r[0] for r in receipts.select("tran_date").distinct().collect()} - self.days()
+        return self._days_of(receipts) - self.days()
+
+    def _days_of(self, receipts: DataFrame) -> set:
+        return {r[0] for r in receipts.select("tran_date").distinct().collect()}
 
     def _commit(self, states: DataFrame, days: set) -> None:
         folds = self._folds()
         folder = f"fold-{uuid.uuid4().hex}"
-        states.write.partitionBy("tran_date").parquet(f"{self.folder}/{folder}")
+        states.sortWithinPartitions("tran_date").write.parquet(f"{self.folder}/{folder}")
         row = (max((f["number"] for f in folds), default=0) + 1, folder, sorted(days, key=lambda d: (d is not None, d)))
         self.spark.createDataFrame([row], MARKER).coalesce(1).write.mode("append").json(f"{self.folder}/folds")
 
@@ -91,21 +106,30 @@ class ReceiptStates:
 
         Only these days' receipts are read, and they must be complete: a day's state is replaced, not added to.
         """
-        days = self.missing(receipts) if days is None else set(days)
+        if days is None:
+            there = self._days_of(receipts)
+            days = there - self.days()
+            others = there - days
+            # The shorter list: a first fold has none.
+            receipts = receipts.where(on_days(days) if len(days) <= len(others) else off_days(others)) if others else receipts
+        else:
+            days = set(days)
+            receipts = receipts.where(on_days(days))
         if days:
-            states = day_states(receipts.where(on_days(days)))
-            self._commit(states, days)
+            self._commit(day_states(receipts), days)
         return days
 
     def read(self) -> DataFrame:
         """The states of all folded days."""
-        days_of: dict[str, list] = {}
-        for day, folder in self._owners().items():
-            days_of.setdefault(folder, []).append(day)
-        schema = "wh_id string, control_number string, item_number string, tran_qty double, tran_date date"
+        owners = self._owners()
+        schema = "wh_id string, control_number string, item_number string, tran_date date, tran_qty double"
         out = self.spark.createDataFrame([], schema)
-        for folder, days in sorted(days_of.items()):
-            out = out.unionByName(self.spark.read.schema(schema).parquet(f"{self.folder}/{folder}").where(on_days(days)))
+        for fold in self._folds():
+            replaced = {d for d in fold["days"] if owners[d] != fold["folder"]}
+            if len(replaced) == len(fold["days"]):
+                continue
+            states = self.spark.read.schema(schema).parquet(f"{self.folder}/{fold['folder']}")
+            out = out.unionByName(states.where(off_days(replaced)) if replaced else states)
         return out
 
     def compact(self) -> None:

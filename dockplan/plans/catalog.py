@@ -8,6 +8,7 @@ in another summation order hash equal (SURVEY section 5).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 import weakref
 from collections.abc import Callable
 
@@ -20,9 +21,10 @@ from dockplan.functions.numeric import ieee_div_sql, stable_round_sql
 from dockplan.functions.ordering import ordered_index
 from dockplan.operators import cadence, demand, leveling, loads, receipts
 from dockplan.operators import schedule as sched
+from dockplan.operators.receipt_states import ReceiptStates, upt_from_states
 from dockplan.plans import reports
-from dockplan.sources import AS_OF, SITE, at_location, at_snapshot, bind
-from dockplan.stages import Stages, kept
+from dockplan.sources import AS_OF, SITE, at_location, at_snapshot, bind, read_layout, write_layout
+from dockplan.stages import Stages, kept, stage_dir
 
 SNAP = config.snapshot_report(AS_OF, SITE)
 HOR = config.horizon_report(AS_OF)
@@ -312,6 +314,41 @@ def q_report_with_upt(spark, d):
     return finish(reports.report_snapshot(_t(spark, d), EVERY_SITE.with_(finite_filter=False)))
 
 
+def q_vendor_upt_from_days(spark, d):
+    """UPT from day states: history up to a day folded first, then the days since, then one day again."""
+    t = _t(spark, d)
+    states = ReceiptStates(spark, f"{stage_dir(spark)}/receipts-{uuid.uuid4().hex}")
+    states.fold(t["receipt_log"].where(F.col("tran_date") < F.lit(UPT_SINCE)))
+    states.fold(t["receipt_log"])
+    states.fold(t["receipt_log"], {UPT_SINCE})
+    return finish(upt_from_states(states.read(), t["procurement_docs"], t["vendors"], ALL_SITES_UPT))
+
+
+def q_report_self_join_classes(spark, d):
+    """The self-join's different rows, with how often each stands in the report."""
+    classes = finish(reports.report_self_join_classes(_t(spark, d), EVERY_SITE.with_(compat_self_join=True)))
+    copies = F.sum(F.col("own_rows") * F.col("joined_rows")).alias("copies")
+    return classes.groupBy(*reports.SNAPSHOT_COLUMNS).agg(copies)
+
+
+def _from_layout(spark, d) -> dict:
+    """The folder's tables, those that join on (item, location) read from a bucketed layout written for this run."""
+    tables = _t(spark, d)
+    root = f"{stage_dir(spark)}/layout-{uuid.uuid4().hex}"
+    write_layout(tables, root, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    out = _LazyTables(bind(spark, d))
+    out.update(read_layout(spark, root))
+    return out
+
+
+def q_stored_report_weekly_plan(spark, d):
+    return finish(reports.report_weekly_plan(_from_layout(spark, d), WP))
+
+
+def q_stored_report_snapshot(spark, d):
+    return finish(reports.report_snapshot(_from_layout(spark, d), EVERY_SITE))
+
+
 def q_report_self_join(spark, d):
     return finish(reports.report_snapshot(_t(spark, d), EVERY_SITE.with_(compat_self_join=True)))
 

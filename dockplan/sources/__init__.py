@@ -1,6 +1,7 @@
 """Sources: logical schemas, storage scans, and the driver-table bindings."""
 
 from dockplan.sources.bindings import AS_OF, SITE, DriverTables, bind
+from dockplan.sources.layout import read_layout, write_layout
 from dockplan.sources.schemas import SCHEMAS
 from dockplan.sources.tables import at_location, at_snapshot, in_horizon, read_tables
 
@@ -13,5 +14,7 @@ __all__ = [
     "at_location",
     "at_snapshot",
     "in_horizon",
+    "read_layout",
     "read_tables",
+    "write_layout",
 ]
