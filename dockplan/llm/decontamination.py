@@ -1,20 +1,26 @@
 """Benchmark decontamination (operator 1): n-gram seeds, then Smith-Waterman alignment of words.
 
-1. Every n-gram of a test item is a seed, however often it occurs. One scan of the corpus joins texts to items on them: hits on
-   one item that stand within an item's length of each other form a passage, widened by that length on both sides.
-2. No alignment can match more words of the item than those that occur in the passage at all. Passages where even a match of
-   all of these would stay under ``threshold`` go; this loses nothing, and what common seeds find by chance goes here.
-3. The passage and the item are aligned (match ``MATCH``, mismatch ``MISMATCH``, gap ``GAP``), whatever words were replaced, dropped
+1. A seed is three words of a test item that follow each other, or of which one gap of one word parts two: the patterns 111, 1101
+   and 1011, hashed by the words alone, on both sides. An alignment at the threshold matches two words of three, and wherever two of
+   three words match, one of these patterns does; a word put in or left out turns one pattern into another (texts are
+   also looked at in 10101). Rare seeds count: of
+   an item's seeds those in at most ``COMMON`` items, and its ``FEWEST`` rarest in any case, so what a seed fans out to is bounded.
+2. One scan of the corpus joins texts to items on the seeds. Hits on one item that stand within an item's length of each other form
+   a passage, widened by that length on both sides, if they are at least ``1 / SHARE`` of the item's seeds: an edited copy has many
+   more, words that meet by chance fewer. So passages follow the copies, not documents times items.
+3. No alignment can match more words of the item than those that occur in the passage at all. Passages where even a match of
+   all of these would stay under ``threshold`` go; this loses nothing.
+4. The passage and the item are aligned (match ``MATCH``, mismatch ``MISMATCH``, gap ``GAP``), whatever words were replaced, dropped
    or put in. Score: alignment score over that of an identical copy. At ``threshold`` the passage is a leak; then alignment
    goes on in what is left of the passage to either side, in overlapping windows of a few item lengths.
 
-An edited copy is thus found whenever it keeps one run of n words, whatever other copies the corpus holds.
+Recall against an alignment of all pairs is a test; README has the figures by kind and rate of edit.
 
 Words are compared in lower case and without punctuation at their ends. Items with fewer than n words are sought as exact sequences.
 
 Scale: the corpus is scanned in place, without a shuffle; only leaks leave it. Items are taken in blocks of at most
-``items_per_block``, so what is broadcast (the seeds and words of a block) stays bounded however large the benchmark is; a
-block costs one scan. Nothing comes to the driver but the items of a block.
+``items_per_block`` and about ``BLOCK_CHARS`` characters, so what is broadcast (the seeds and words of a block) stays bounded however
+large the benchmark is; a block costs one scan. Nothing comes to the driver but the items of a block.
 
 Defined cases. A null text is the empty text: no leak. Null or wordless items match nothing. Null ids are kept as nulls. Rows that
 repeat a document or an item give their rows again. Texts are read whole. Empty tables give an empty result. Other columns are ignored.
@@ -25,7 +31,6 @@ from __future__ import annotations
 import bisect
 import heapq
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -41,7 +46,13 @@ from dockplan.llm.common import ship, stored, table, whole_text, worker_cache
 N = 3
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-ITEMS_PER_BLOCK = 20_000
+ITEMS_PER_BLOCK, BLOCK_CHARS = 20_000, 16_000_000
+#: Items that hold a seed that counts as rare; seeds that an item keeps in any case; the share of its seeds that makes a passage.
+COMMON, FEWEST, SHARE = 64, 12, 8
+#: Places of a seed's words, by the number of words.
+PATTERNS = {1: ((0,),), 2: ((0, 1),), 3: ((0, 1, 2), (0, 1, 3), (0, 2, 3))}
+#: A text is looked at in these too: three words of an item with others put in between.
+TEXT_PATTERNS = {1: PATTERNS[1], 2: PATTERNS[2], 3: (*PATTERNS[3], (0, 2, 4))}
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…–—¿¡"
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -71,53 +82,81 @@ def hashed(raw: list[bytes]) -> np.ndarray:
     return np.fromiter(map(words.__getitem__, raw), dtype=np.uint64, count=len(raw))
 
 
-def grams(w: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of the n-grams of a sequence of word hashes."""
-    if len(w) < n:
+def grams(w: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
+    """Hashes of the words at ``places`` from every position of a sequence of word hashes."""
+    n = len(w) - places[-1]
+    if n <= 0:
         return np.zeros(0, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        h = np.zeros(len(w) - n + 1, dtype=np.uint64)
-        for k in range(n):
-            h = (h ^ w[k : k + len(h)]) * np.uint64(MULTIPLIER)
+        h = np.zeros(n, dtype=np.uint64)
+        for k in places:
+            h = (h ^ w[k : k + n]) * np.uint64(MULTIPLIER)
             h ^= h >> np.uint64(29)
     return h
 
 
 @dataclass
 class Block:
-    """Items of one block and their seeds: sorted hashes, each with (item, position) pairs."""
+    """Items of one block and their seeds: sorted hashes, and for each the items that it stands for, one after the other."""
 
     ids: list
     words: list[np.ndarray]
-    sizes: list[int]
+    patterns: list[tuple[int, ...]]
     seeds: np.ndarray
-    at: dict[int, list[tuple[int, int]]]
+    first: np.ndarray
+    items: np.ndarray
+    needed: np.ndarray
     filter: np.ndarray
 
     BITS = 20
 
     @classmethod
     def of(cls, ids: list, words: list[np.ndarray]) -> Block:
-        at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        sizes = sorted({min(N, len(w)) for w in words if len(w)})
-        for i, w in enumerate(words):
-            for k, h in enumerate(grams(w, min(N, len(w))).tolist() if len(w) else ()):
-                at[h].append((i, k))
-        seeds = np.array(sorted(at), dtype=np.uint64)
+        own = [np.unique(np.concatenate([grams(w, p) for p in PATTERNS[min(N, len(w))]])) if len(w) else w for w in words]
+        item = np.repeat(np.arange(len(words)), [len(x) for x in own])
+        every, back, held = np.unique(np.concatenate([*own, np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True)
+        # The seeds of an item by the number of items that hold them.
+        order = np.lexsort((back, held[back], item))
+        nth = np.arange(len(order)) - np.searchsorted(item[order], item[order])
+        kept = order[(held[back[order]] <= COMMON) | (nth < FEWEST)]
+        kept = kept[np.argsort(back[kept], kind="stable")]
+        seeds, first = np.unique(back[kept], return_index=True)
         small = np.zeros(1 << cls.BITS, dtype=bool)
-        small[(seeds >> np.uint64(64 - cls.BITS)).astype(np.int64)] = True
-        return cls(ids, words, sizes, seeds, dict(at), small)
-
-    def hits(self, w: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and hashes of the seeds of ``n`` words in a sequence."""
-        h = grams(w, n)
+        small[(every[seeds] >> np.uint64(64 - cls.BITS)).astype(np.int64)] = True
+        needed = np.maximum(1, np.bincount(item[kept], minlength=len(words)) // SHARE)
+        patterns = sorted({p for w in words if len(w) for p in TEXT_PATTERNS[min(N, len(w))]})
+        return cls(ids, words, patterns, every[seeds], np.append(first, len(kept)), item[kept], needed, small)
+
+    def hits(self, w: np.ndarray, places: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the seeds of one pattern in a sequence, and which seeds they are."""
+        h = grams(w, places)
         pos = np.flatnonzero(self.filter[(h >> np.uint64(64 - self.BITS)).astype(np.int64)]) if len(h) else np.zeros(0, dtype=np.int64)
-        h = h[pos]
         if not len(self.seeds) or not len(pos):
-            return pos[:0], h[:0]
-        k = np.minimum(np.searchsorted(self.seeds, h), len(self.seeds) - 1)
-        ok = self.seeds[k] == h
-        return pos[ok], h[ok]
+            return pos[:0], pos[:0]
+        k = np.minimum(np.searchsorted(self.seeds, h[pos]), len(self.seeds) - 1)
+        ok = self.seeds[k] == h[pos]
+        return pos[ok], k[ok]
+
+    def found(self, w: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(text, item, positions in the text) for the texts of a batch that hold as many seeds of an item as a passage needs."""
+        docs, items, places = [], [], []
+        for pattern in self.patterns:
+            pos, k = self.hits(w, pattern)
+            doc, ok = inside(pos, pattern[-1] + 1, bounds)
+            pos, k, doc = pos[ok], k[ok], doc[ok]
+            each = self.first[k + 1] - self.first[k]
+            of = np.repeat(self.first[k] - np.cumsum(each) + each, each) + np.arange(each.sum())
+            docs.append(np.repeat(doc, each))
+            places.append(np.repeat(pos - bounds[doc], each))
+            items.append(self.items[of])
+        doc, item, place = map(np.concatenate, (docs or [bounds[:0]], items or [bounds[:0]], places or [bounds[:0]]))
+        order = np.lexsort((place, item, doc))
+        doc, item, place = doc[order], item[order], place[order]
+        starts = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))) if len(doc) else doc
+        ends = np.append(starts[1:], len(doc))
+        for a, z in zip(starts.tolist(), ends.tolist()):
+            if z - a >= self.needed[item[a]]:
+                yield int(doc[a]), int(item[a]), place[a:z]
 
 
 def sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -199,16 +238,11 @@ def leaks_in(item: np.ndarray, passage: np.ndarray, least: float) -> list[tuple[
     return out
 
 
-def passages(pos: list[int], size: int, length: int) -> list[tuple[int, int]]:
-    """Ranges around the hits of one item, widened by its size; ranges that touch are one."""
-    out: list[list[int]] = []
-    for p in sorted(pos):
-        a, b = max(0, p - size), min(length, p + 2 * size)
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def passages(pos: np.ndarray, size: int, length: int, needed: int) -> list[tuple[int, int]]:
+    """Ranges around ``needed`` hits of one item or more, widened by its size; ranges that touch are one."""
+    ends = np.minimum(length, pos + 2 * size)
+    groups = np.split(np.arange(len(pos)), np.flatnonzero(np.maximum(0, pos[1:] - size) > ends[:-1]) + 1)
+    return [(max(0, int(pos[g[0]]) - size), int(ends[g[-1]])) for g in groups if len(g) >= needed]
 
 
 LEAKS = "item_id long, score double, start long, `end` long, passage string"
@@ -226,19 +260,11 @@ def find_leaks(block, threshold: float, id_column: str) -> callable:
                 part = pdf.iloc[k : k + 1024]
                 texts, ids = part["text"].tolist(), part[id_column].tolist()
                 w, raw, bounds, raw_bounds = sequences(texts)
-                found: dict[tuple[int, int], list[int]] = defaultdict(list)
-                for n in b.sizes:
-                    pos, h = b.hits(w, n)
-                    doc, ok = inside(pos, n, bounds)
-                    for d, p, x in zip(doc[ok].tolist(), pos[ok].tolist(), h[ok].tolist()):
-                        for i in {i for i, _ in b.at[x]}:
-                            if min(N, len(b.words[i])) == n:
-                                found[d, i].append(p - int(bounds[d]))
                 last, places = -1, []
-                for (d, i), hits in sorted(found.items()):
+                for d, i, hits in b.found(w, bounds):
                     item, text = b.words[i], w[bounds[d] : bounds[d + 1]]
                     least = threshold if len(item) >= N else 1.0
-                    for a, z in passages(hits, len(item), len(text)):
+                    for a, z in passages(hits, len(item), len(text), b.needed[i]):
                         for score, s, e in leaks_in(item, text[a:z], least):
                             if d != last:
                                 last, spans = d, [m.span() for m in WORD_PLACES.finditer(texts[d])]
@@ -254,11 +280,13 @@ def item_blocks(items: DataFrame, per_block: int) -> Iterator[pd.DataFrame]:
     """The items in id order, a bounded number at a time."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text"))
     pending: list[tuple] = []
+    held = 0
     for r in rows.orderBy("item_id", "text").toLocalIterator():
         pending.append((r["item_id"], r["text"]))
-        if len(pending) == per_block:
+        held += len(r["text"])
+        if len(pending) == per_block or held >= BLOCK_CHARS:
             yield pd.DataFrame(pending, columns=["item_id", "text"])
-            pending = []
+            pending, held = [], 0
     if pending:
         yield pd.DataFrame(pending, columns=["item_id", "text"])
 
