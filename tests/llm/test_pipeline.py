@@ -1,6 +1,8 @@
 """The pipeline's stages take effect and leave clean documents alone."""
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from dockplan.llm.common import stored
 
@@ -39,6 +41,28 @@ def test_run_and_registry(spark, sample):
     import __spark_entry__ as entry
 
     names = [k for k in entry.queries() if k.startswith("op")]
-    assert {int(k[2:].split("_")[0]) for k in names if k[2].isdigit()} == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(k[2:].split("_")[0]) for k in names if k[2].isdigit()} == set(range(1, 14)) and "pipeline" in entry.queries()
     out = corpus_pipeline.run(spark, sample)
     assert 100 < out.count() < 200 and out.columns[0] == "doc_id"
+
+
+def test_columns_of_any_name_pass_untouched(spark, folder):
+    """Columns named like those that the stages and operators add keep their values through all four filtering stages."""
+    rng = random.Random(4)
+    docs, labels = labelled(spark, folder, 300)
+    docs += [(900, docs[3][1] + " tail"), (901, made(rng, 30) + " mail anna@mail.example.com now " + made(rng, 20))]
+    d = folder(documents=docs, labels=labels, benchmark=spark.createDataFrame([(1, made(rng, 40))], "item_id long, text string"))
+    names = ["stays", "worded", "score", "predicted", "evidence", "base", "added", "_id", "_mark", "first", "component", "salt", "mark",
+             "column_3", "_t", "_k", "_p", "_terms", "toxic", "part", "item_id", "n", "rid", "label"]
+    table = spark.read.parquet(f"{d}/documents.parquet")
+    table = stored(table.select("*", *[F.concat(F.lit(f"{n} of "), "doc_id").alias(n) for n in names]))
+    columns = table.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r["doc_id"] for r in table.select("doc_id").collect()}
+        table = stored(stage(spark, table, d))
+        assert table.columns == columns, name
+        rows = table.collect()
+        assert rows and {r["doc_id"] for r in rows} <= before
+        assert all(r[n] == f"{n} of {r['doc_id']}" for r in rows for n in names), name
+    assert "[EMAIL]" in next(r["text"] for r in rows if r["doc_id"] == 901)
+    assert corpus_pipeline.STAGES[-1][1](spark, table, d).count() == len(rows)
