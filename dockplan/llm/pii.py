@@ -4,7 +4,9 @@ Base spans: e-mail, IP, card and phone patterns, leftmost and non-overlapping pe
 (octet over 255, digit count, Luhn) are dropped without a retry. Offsets are code points: a text split at its matches
 gives the pieces between them, and running sums of piece and match lengths give the starts.
 
-Added spans, by co-occurrence in the corpus. A protected entity e is a distinct base value. Its contexts are the
+Added spans, by co-occurrence in the corpus. A protected entity e is a distinct base value, or what several values share: an
+e-mail's domain or its local part, the first two or three parts of an IP, the first six digits of a card or phone. So a term that gives
+away whose addresses or numbers these are is found although no single value recurs. Contexts of e are the
 ``context_chars`` characters on either side of a mention, cut to whole terms. With N documents, n(e) that mention e, n(t) that
 hold term t and n(e, t) in which t stands in a context of e,
 
@@ -19,8 +21,8 @@ Scale: the pattern scan is one projection. Document counts of terms are summed p
 term hashes; a hot term or entity is a count, never a collected group. What is collected per document (its flagged terms) is
 bounded by the document's own contexts.
 
-Defined cases. A null text is the empty text: no spans. Repeated rows each get their result. A null id is one more id. Texts are
-read whole. An empty table gives an empty result. Other columns are kept by ``sanitise``; columns it adds replace same-named ones.
+Defined cases. A null text is the empty text: no spans. Repeated rows each get their result; rows that share an id, a null one
+too, are told apart by their texts. Texts are read whole. An empty table gives an empty result. Other columns are kept by ``sanitise``; columns it adds replace same-named ones.
 """
 
 from __future__ import annotations
@@ -149,29 +151,40 @@ def context_terms(text: Column, span: Column, chars: int) -> Column:
     return F.array_distinct(terms_of(F.concat(left, F.lit(" "), right)))
 
 
+def entities_of(span: Column) -> Column:
+    """The protected entities that a base span mentions: its value, and what it shares with other values of its kind."""
+    v, kind = F.lower(span["value"]), span["kind"]
+    digits, parts = digits_only(v), F.split(v, r"[.@]")
+    email = F.array(F.concat(F.lit("local:"), F.substring_index(v, "@", 1)), F.concat(F.lit("domain:"), F.substring_index(v, "@", -1)))
+    ip = F.array(*[F.concat(F.lit("network:"), F.array_join(F.slice(parts, 1, n), ".")) for n in (2, 3)])
+    number = F.array(F.concat(kind, F.lit("-prefix:"), F.substring(digits, 1, 6)))
+    shared = F.when(kind == "email", email).when(kind == "ip", ip).otherwise(number)
+    return F.concat(F.array(F.concat_ws(":", kind, v)), shared)
+
+
 def disclosing_terms(spanned: DataFrame, key: str, text: str, rules: Disclosure) -> tuple[DataFrame, DataFrame]:
-    """(contexts: key, entity, term, context hash) and (flagged: entity, term, disclosure) from texts with ``base``."""
+    """(contexts: key, _mark, entity, term, context hash) and (flagged: entity, term, disclosure) from texts with ``base`` and ``_mark``."""
+    row = (key, "_mark")
     mentions = (
         spanned.where(F.size("base") > 0)
-        .select(F.col(key), F.col(text), F.explode("base").alias("s"))
-        .select(F.col(key), F.concat_ws(":", F.col("s.kind"), F.lower(F.col("s.value"))).alias("entity"),
-                context_terms(F.col(text), F.col("s"), rules.context_chars).alias("terms"))
+        .select(*row, F.col(text), F.explode("base").alias("s"))
+        .select(*row, F.explode(entities_of(F.col("s"))).alias("entity"), context_terms(F.col(text), F.col("s"), rules.context_chars).alias("terms"))
     )
-    contexts = stored(mentions.select(key, "entity", F.xxhash64("terms").alias("context"),
+    contexts = stored(mentions.select(*row, "entity", F.xxhash64("terms").alias("context"),
                                       F.explode_outer("terms").alias("term")))
     pairs = contexts.where(F.col("term").isNotNull()).distinct()
     support = (
         pairs.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_contexts"))
         .where(F.col("n_contexts") >= rules.min_contexts)
     )
-    together = pairs.select(key, "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    n_e = contexts.select(key, "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    together = pairs.select(*row, "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
+    n_e = contexts.select(*row, "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     words = spanned.select(F.explode(F.array_distinct(F.transform(terms_of(F.col(text)), lambda w: F.xxhash64(w)))).alias("_h"))
     n_t = words.groupBy("_h").agg(F.count(F.lit(1)).alias("n_t"))
-    total = spanned.agg(F.count(F.lit(1)).alias("n_all"))  # one row
+    total = spanned.agg(F.count(F.lit(1)).alias("n_all"))
     scored = (
         support.join(together, ["entity", "term"]).join(n_e, "entity")
-        .withColumn("_h", F.xxhash64("term")).join(n_t, "_h").crossJoin(F.broadcast(total))
+        .withColumn("_h", F.xxhash64("term")).join(n_t, "_h").withColumn("n_all", total.scalar())
     )
     ic = F.log2(F.col("n_all") / F.col("n_e"))
     pmi = F.log2(F.col("n_all") * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
@@ -186,20 +199,18 @@ def shape_class(value: Column) -> Column:
 
 
 def with_spans(df: DataFrame, key: str, text: str, rules: Disclosure = Disclosure()) -> DataFrame:
-    """``df`` with ``base`` and ``added`` spans; ``added`` kinds are ``generalise`` and ``remove``.
-
-    ``added`` joins back on the key; rows that repeat a key share its flagged terms, each located in its own text.
-    """
+    """``df`` with ``base`` and ``added`` spans; ``added`` kinds are ``generalise`` and ``remove``."""
     kept = [c for c in df.columns if c not in ("base", "added")]
-    source = df.select(*[F.col(f"`{c}`") for c in kept]).withColumn(text, whole_text(text))
+    source = df.select(*[F.col(f"`{c}`") for c in kept]).withColumn(text, whole_text(text)).withColumn("_mark", F.xxhash64(text))
     spanned = with_base_spans(source, text)
-    contexts, flagged = disclosing_terms(with_base_spans(source.select(key, text), text), key, text, rules)
-    per_key = (
+    contexts, flagged = disclosing_terms(with_base_spans(source.select(key, "_mark", text), text), key, text, rules)
+    per_row = (
         contexts.join(flagged, ["entity", "term"])
-        .groupBy(key, "term").agg(F.max("disclosure").alias("disclosure"))
-        .groupBy(F.col(key).alias("_k")).agg(F.sort_array(F.collect_list(F.struct("term", "disclosure"))).alias("_terms"))
+        .groupBy(key, "_mark", "term").agg(F.max("disclosure").alias("disclosure"))
+        .groupBy(F.col(key).alias("_k"), F.col("_mark").alias("_m")).agg(F.sort_array(F.collect_list(F.struct("term", "disclosure"))).alias("_terms"))
     )
-    out = spanned.join(per_key, F.col(key).eqNullSafe(F.col("_k")), "left").drop("_k")
+    same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_mark") == F.col("_m"))
+    out = spanned.join(per_row, same, "left").drop("_k", "_m", "_mark")
     t = F.col(text)
     words = F.transform("_terms", lambda x: x["term"])
     # Terms hold letters and digits only, so they need no quoting.
