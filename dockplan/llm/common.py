@@ -7,12 +7,15 @@ setting (a local test) gets a temporary one.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,6 +107,16 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Free memory goes back to the system: a worker that turns to another operator does not hold the last one's peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 _KEPT: dict = {}
 
 
@@ -113,6 +126,8 @@ def worker_cache(name, make):
     Workers are reused by all queries of a session, so caches of several operators would add up.
     """
     if name not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            give_back()
         _KEPT[name] = make()
     return _KEPT[name]
