@@ -4,8 +4,8 @@ Join plan for scale: the forecast is summed per (item, area) first, so the
 91 daily rows of a horizon collapse map-side before any shuffle; every later
 join on the item side keys on (item, location), which lets Spark keep one
 hash partitioning through the forecast, item-vendor and item-location joins.
-Vendor and override dimensions are joined on (vendor, location); they are
-broadcast only behind a row-count check, and AQE decides for the rest.
+Vendor and override dimensions are joined on (vendor, location) without a
+hint; AQE broadcasts them while their measured size allows.
 """
 
 from __future__ import annotations
