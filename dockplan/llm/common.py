@@ -8,6 +8,7 @@ setting (a local test) gets a temporary one.
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
 import math
 import tempfile
@@ -84,7 +85,6 @@ _SHIPPED: set[str] = set()
 
 #: Rows that go to a Python task at a time: texts are long, and Spark's own default holds ten thousand of them.
 BATCH_ROWS = 1_000
-SPARK_BATCH_ROWS = 10_000
 
 
 def ship(spark: SparkSession) -> None:
@@ -94,7 +94,7 @@ def ship(spark: SparkSession) -> None:
     """
     context = spark.sparkContext
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(name)) == SPARK_BATCH_ROWS:
+    if spark.conf.get(name, None) is None:
         spark.conf.set(name, BATCH_ROWS)
     if context.applicationId in _SHIPPED:
         return
@@ -107,9 +107,25 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def give_back() -> None:
-    """Free memory goes back to the system: a worker that turns to another operator does not hold the last one's peak."""
-    gc.collect()
+#: Codes of glibc's ``mallopt``: fixed values.
+M_TRIM_THRESHOLD, M_MMAP_THRESHOLD = -1, -3
+LARGE_BLOCK = 1 << 20
+
+
+@functools.cache
+def frugal() -> None:
+    """Blocks of ``LARGE_BLOCK`` bytes or more leave this worker process as soon as they are freed; by default the C library
+    raises that size to that of the largest block freed so far, and keeps what is smaller."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(M_MMAP_THRESHOLD, LARGE_BLOCK)
+        libc.mallopt(M_TRIM_THRESHOLD, LARGE_BLOCK)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def trim() -> None:
+    """Free memory of Arrow and the C library goes back to the system."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -117,6 +133,12 @@ def give_back() -> None:
         pass
 
 
+def give_back() -> None:
+    """Free memory goes back to the system: a worker that turns to another operator does not hold the last one's peak."""
+    gc.collect()
+    trim()
+
+
 _KEPT: dict = {}
 
 

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import ship, stored, table, whole_text, worker_cache
+from dockplan.llm.common import frugal, ship, stored, table, trim, whole_text, worker_cache
 
 WORDS = 5
 HUBS = 16  # per posting list and round
@@ -51,6 +51,7 @@ TRIES = (2, 4, 8)  # hubs that a group is verified against, by round
 ROWS_PER_BUCKET = 5_000
 MAX_BUCKETS = 60_000
 UNIT_BYTES = 3_000_000
+SPLIT_BYTES = 500_000  # texts that are split into words at a time
 MULTIPLIER = 0x9E3779B97F4A7C15
 RECORD = [("rid", "<i8"), ("doc_id", "<i8"), ("null", "<i8"), ("n", "<i8"), ("digest", "S33"), ("mark", "<i8")]
 
@@ -63,7 +64,7 @@ class WordTable(dict):
         return code
 
 
-WORD_LIMIT = 400_000
+WORD_LIMIT = 200_000
 
 
 def word_codes(texts: list[list[bytes]], count: int) -> np.ndarray:
@@ -98,12 +99,12 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def units(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``UNIT_BYTES`` characters."""
+def units(texts: list[str], most: int = UNIT_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` characters."""
     start, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t)
-        if size >= UNIT_BYTES:
+        if size >= most:
             yield start, i + 1
             start, size = i + 1, 0
     if start < len(texts):
@@ -117,10 +118,11 @@ def deal(n_buckets: int):
     """Documents -> per bucket: runs (rid, count) over 32-bit keys, and the records of the documents whose rid falls there."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frugal()
         for pdf in batches:
             texts = pdf["text"].tolist()
             for a, z in units(texts):
-                sets = shingle_sets(texts[a:z])
+                sets = [s for x, y in units(texts[a:z], SPLIT_BYTES) for s in shingle_sets(texts[a + x : a + y])]
                 null = pdf["doc_id"].iloc[a:z].isna().to_numpy()
                 ids = pdf["doc_id"].iloc[a:z].fillna("0").astype(np.int64).to_numpy()
                 rec = np.zeros(z - a, dtype=RECORD)
@@ -142,7 +144,9 @@ def deal(n_buckets: int):
                     at = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])) if len(d) else np.zeros(0, dtype=np.int64)
                     cnt = np.diff(np.append(at, len(d))).astype("<u4")
                     rows.append((b, rec["rid"][d[at]].tobytes(), cnt.tobytes(), keys[cuts[b] : cuts[b + 1]].tobytes(), rec[home == b].tobytes()))
+                del sets, h, doc, order, keys, bucket
                 yield pd.DataFrame(rows, columns=["bucket", "rid", "cnt", "key", "rec"])
+        trim()
 
     return run
 
@@ -154,17 +158,19 @@ def answer(n_parts: int):
     """One bucket -> per part of the documents: their shingles that occur at least twice, with document counts."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        frugal()
         join = lambda c, t: np.frombuffer(b"".join(pdf[c]), dtype=t)
         key, rec = join("key", "<u4"), np.frombuffer(b"".join(pdf["rec"]), dtype=RECORD)
-        rid = np.repeat(join("rid", "<i8"), join("cnt", "<u4"))
+        rids, cnt = join("rid", "<i8"), join("cnt", "<u4")
+        at_run = np.repeat(np.arange(len(cnt), dtype=np.uint32), cnt)
         order = np.argsort(key, kind="stable").astype(np.uint32)
         key = key[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
         size = np.diff(np.append(first, len(key)))
         df = np.repeat(np.minimum(size, 0xFFFF).astype("<u2"), size)
         twice = df > 1
-        key, rid, df = key[twice], rid[order[twice]], df[twice]
-        del order, twice, first, size
+        key, rid, df = key[twice], rids[at_run[order[twice]]], df[twice]
+        del order, twice, first, size, at_run, rids, cnt
         order = np.lexsort((rid, rid % n_parts))
         key, rid, df = key[order], rid[order], df[order]
         cuts = np.searchsorted(rid % n_parts, np.arange(n_parts + 1))
@@ -176,6 +182,8 @@ def answer(n_parts: int):
             cnt = np.diff(np.append(at, len(r))).astype("<u4")
             rows.append((p, int(pdf["bucket"].iloc[0]), r[at].tobytes(), cnt.tobytes(), key[cuts[p] : cuts[p + 1]].tobytes(),
                          df[cuts[p] : cuts[p + 1]].tobytes(), rec[home == p].tobytes()))
+        del order, key, rid, df
+        trim()
         return pd.DataFrame(rows, columns=["part", "bucket", "rid", "cnt", "key", "df", "rec"])
 
     return run
@@ -186,6 +194,7 @@ DOCUMENTS = "rid long, doc_id long, is_null boolean, n long, digest string, mark
 
 def gather(pdf: pd.DataFrame) -> pd.DataFrame:
     """One part -> a row per document; ``shingles`` (rarest first) only where a prefix can match."""
+    frugal()
     join = lambda c, t: np.frombuffer(b"".join(pdf[c]), dtype=t)
     rec = np.frombuffer(b"".join(pdf["rec"]), dtype=RECORD)
     sizes = [len(x) // 4 for x in pdf["key"]]
@@ -193,6 +202,7 @@ def gather(pdf: pd.DataFrame) -> pd.DataFrame:
     rid, df = np.repeat(join("rid", "<i8"), join("cnt", "<u4")), join("df", "<u2")
     order = np.lexsort((key, df, rid))
     key, rid = key[order], rid[order]
+    del order, df
     out = []
     for r, doc, null, n, digest, mark in rec.tolist():
         a, z = np.searchsorted(rid, [r, r + 1])
@@ -203,6 +213,8 @@ def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         prefix = n - (4 * n + 4) // 5 + 1 - lone if n else 0
         known = prefix > 0 and len(mine) > 0
         out.append((r, doc, bool(null), n, digest.decode(), mark, lone, min(prefix, len(mine)) if known else 0, mine.tobytes() if known else None))
+    del key, rid
+    trim()
     return pd.DataFrame(out, columns=["rid", "doc_id", "is_null", "n", "digest", "mark", "lone", "n_prefix", "shingles"])
 
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import id_remainder, scratch_dir, ship, stored, table, whole_text, worker_cache
+from dockplan.llm.common import frugal, id_remainder, scratch_dir, ship, stored, table, trim, whole_text, worker_cache
 from dockplan.llm.mapped import map_arrays, open_fs, write_arrays
 
 WORD = r"[^\W_]+"
@@ -48,6 +48,7 @@ ORDER = 16  # longest spelling, in characters
 END = "_"  # closes a word; no word holds it
 MAX_COUNT_ROWS = 20_000
 MAX_CURVE_ROWS = 8_000
+TEXTS = 256  # that are split into words at a time
 
 
 def spelling_hash(prefix: str) -> int:
@@ -90,7 +91,7 @@ class Model:
 class WordRatios:
     """Ratios of words; at most ``limit`` of them remembered by a worker."""
 
-    def __init__(self, model: Model, limit: int = 400_000):
+    def __init__(self, model: Model, limit: int = 250_000):
         self.model, self.limit, self.known = model, limit, {}
         self.arrays = model.arrays()
 
@@ -237,14 +238,16 @@ def with_evidence(df: DataFrame, model: Model, text: str = "text", keep_text: bo
     """``df`` with ``evidence``, without the text unless it is kept (a null one as it was)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frugal()
         ratios = worker_cache(("toxicity", model.file), lambda: WordRatios(model))
         for pdf in batches:
-            for k in range(0, len(pdf), 1024):
-                part = pdf.iloc[k : k + 1024]
+            for k in range(0, len(pdf), TEXTS):
+                part = pdf.iloc[k : k + TEXTS]
                 found = [words_of(t) if t else [] for t in part["_t"].tolist()]
                 bounds = np.cumsum([0, *map(len, found)])
                 rest = part.rename(columns={"_t": text}) if keep_text else part.drop(columns="_t")
                 yield rest.assign(evidence=list(evidence(ratios([w for f in found for w in f]), bounds)))
+        trim()
 
     names = [f.name for f in df.schema.fields if f.name not in ("evidence", text)]
     source = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").cast("string").alias("_t"))
