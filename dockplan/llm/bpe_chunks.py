@@ -17,7 +17,7 @@ Scale: one pass over the texts in place, no shuffle; memory is a batch plus the
 
 Defined cases. A null text is the empty text: no ids, empty decoding. Ids are unsigned little-endian of 2 bytes, or 4
 for vocabularies over 65,536. Repeated rows are encoded alike. Texts are read whole. An empty table gives an empty result.
-Other columns are dropped except those named in ``keep``.
+Other columns are dropped except those named in ``keep``; columns that encoding adds replace same-named ones.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dockplan.llm.common import ship, table, whole_text, worker_cache
 from dockplan.llm.pieces import LETTERS, Pieces, lower_byte_form, plain_latin
@@ -149,17 +150,21 @@ def encode_documents(df: DataFrame, text: str, tokenizer: str, keep: tuple[str,
                      finish: Callable = ids_and_text, schema: str = "ids binary, decoded string") -> DataFrame:
     """``keep`` columns with the ids and the decoded text of every document, or what ``finish`` makes of these."""
     ship(df.sparkSession)
-    names = list(keep)
+    added = StructType.fromDDL(schema).fieldNames()
+    names = [c for c in keep if c not in added]
+    own = "_text"  # no kept column's name
+    while own in names:
+        own = f"_{own}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer)
         for pdf in batches:
             for k in range(0, len(pdf), 512):
                 part = pdf.iloc[k : k + 512]
-                ids = enc.encode(part["_text"].tolist())
+                ids = enc.encode(part[own].tolist())
                 yield finish(part[names], ids, enc.decode(ids))
 
-    source = df.select(*[F.col(f"`{c}`") for c in names], whole_text(f"`{text}`").alias("_text"))
+    source = df.select(*[F.col(f"`{c}`") for c in names], whole_text(f"`{text}`").alias(own))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
     return source.mapInPandas(run, f"{kept}, {schema}" if kept else schema)
 
