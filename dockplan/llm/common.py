@@ -142,6 +142,13 @@ def give_back() -> None:
 _KEPT: dict = {}
 
 
+def forget() -> None:
+    """Drop what this worker process keeps for earlier tasks: the one that starts needs none of it."""
+    if _KEPT:
+        _KEPT.clear()
+        give_back()
+
+
 def worker_cache(name, make):
     """The one cache that a worker process keeps between tasks: asking for another one drops it first.
 

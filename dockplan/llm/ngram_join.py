@@ -20,7 +20,10 @@ Verification intersects the shingle lists. Shingles are 64-bit hashes, dealt as
 ones of a pair of documents are confused with a chance of about |A| |B| / (buckets * 2^32).
 
 Scale: the two packed shuffles carry about 5 and 6 bytes a shingle (the second only of repeated ones); the number of buckets follows
-the number of rows. A hot shingle is a run in a bucket and hot keys in joins are split by adaptive skew joins. Components
+the number of rows, without a ceiling. A bucket never holds a hot shingle: those that ``HOT_ROWS`` of ``HOT_SAMPLE_ROWS`` sampled rows hold are
+found first and dealt by document, with the document count estimated from the sample (it only orders them), so what a bucket holds
+of one shingle is about a 500th of the rows at most. Every shingle of every row takes part either way, and the result is the same.
+Hot keys in joins are split by adaptive skew joins. Components
 are found by alternating star steps over tables in the shared folder. Nothing but counters comes to the driver.
 
 Defined cases. A null text has no words: size 0, alone. A null id is kept and never is a component's smallest unless all
@@ -39,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockplan.llm.common import frugal, ship, stored, table, trim, whole_text, worker_cache
+from dockplan.llm.common import forget, frugal, ship, stored, table, trim, whole_text, worker_cache
 
 WORDS = 5
 HUBS = 16  # per posting list and round
@@ -49,7 +52,8 @@ SIDE = ("gid", "n", "pos", "lone", *[f"b{w}" for w in range(SKETCH_WORDS)])
 POSTINGS = "key long, " + ", ".join(f"{c} long" for c in SIDE)
 TRIES = (2, 4, 8)  # hubs that a group is verified against, by round
 ROWS_PER_BUCKET = 5_000
-MAX_BUCKETS = 60_000
+HOT_SAMPLE_ROWS = 5_000
+HOT_ROWS = 10  # of the sample
 UNIT_BYTES = 3_000_000
 SPLIT_BYTES = 500_000  # texts that are split into words at a time
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -114,11 +118,64 @@ def units(texts: list[str], most: int = UNIT_BYTES) -> Iterator[tuple[int, int]]
 PACKED = "bucket long, rid binary, cnt binary, key binary, rec binary"
 
 
-def deal(n_buckets: int):
-    """Documents -> per bucket: runs (rid, count) over 32-bit keys, and the records of the documents whose rid falls there."""
+def bucket_and_key(h: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket (in the smallest type, which sorts fastest) and 32-bit key of shingle hashes."""
+    return ((h >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.min_scalar_type(n_buckets)), h.astype(np.uint32)
+
+
+def codes_of(bucket, key: np.ndarray) -> np.ndarray:
+    """Bucket number and key as one number: what a shingle is told apart by."""
+    return (np.asarray(bucket, dtype=np.int64) << 32) | key.astype(np.int64)
+
+
+def count_codes(n_buckets: int):
+    """Documents -> codes of their shingles with numbers of documents."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            for a, z in units(texts, SPLIT_BYTES):
+                code, n = np.unique(codes_of(*bucket_and_key(np.concatenate(shingle_sets(texts[a:z])), n_buckets)), return_counts=True)
+                yield pd.DataFrame({"code": code, "n": n.astype(np.int64)})
+
+    return run
+
+
+def hot_shingles(rows: DataFrame, n_rows: int, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes that ``HOT_ROWS`` or more of about ``HOT_SAMPLE_ROWS`` sampled rows hold, and their estimated document counts.
+
+    At most a ``HOT_ROWS``-th of the sample's shingles, whatever the input.
+    """
+    share = min(1.0, HOT_SAMPLE_ROWS / max(1, n_rows))
+    counts = rows.select("text").sample(share, seed=11).mapInPandas(count_codes(n_buckets), "code long, n long")
+    hot = sorted(map(tuple, counts.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_ROWS).collect()))
+    codes, n = (np.array([x[i] for x in hot], dtype=np.int64) for i in (0, 1))
+    return codes, np.clip(n / share, 2, 0xFFFF).astype("<u2")
+
+
+def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the runs of equal neighbours, and their lengths."""
+    at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, dtype=np.int64)
+    return at, np.diff(np.append(at, len(x)))
+
+
+def by_number(*sorted_numbers: np.ndarray) -> Iterator[tuple]:
+    """Each number in any of the sorted arrays, with its slice of each."""
+    every = np.unique(np.concatenate([x.astype(np.int64) for x in sorted_numbers]))
+    ends = [np.searchsorted(x, every, side) for x in sorted_numbers for side in ("left", "right")]
+    for row in zip(every.tolist(), *[e.tolist() for e in ends]):
+        yield row[0], *[slice(a, z) for a, z in zip(row[1::2], row[2::2])]
+
+
+def deal(n_buckets: int, hot):
+    """Documents -> per bucket: runs (rid, count) over 32-bit keys, and the records of the documents whose rid falls there.
+
+    Hot shingles go, with bucket and key as one code, to the part of their document: bucket ``n_buckets`` + part.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frugal()
+        codes = hot.value[0]
         for pdf in batches:
             texts = pdf["text"].tolist()
             for a, z in units(texts):
@@ -129,22 +186,32 @@ def deal(n_buckets: int):
                 rec["doc_id"], rec["null"], rec["n"] = ids, null, [len(s) for s in sets]
                 rec["mark"] = pdf["mark"].iloc[a:z]
                 rec["digest"] = [xxhash.xxh3_128_hexdigest(s.tobytes()).encode() for s in sets]
-                rec["rid"] = [xxhash.xxh64_intdigest(f"{x}:{y}:{d.decode()}:{len(t)}") >> 1
-                              for x, y, d, t in zip(ids.tolist(), null.tolist(), rec["digest"].tolist(), texts[a:z])]
+                rid = np.array([xxhash.xxh64_intdigest(f"{x}:{y}:{d.decode()}:{len(t)}") >> 1
+                                for x, y, d, t in zip(ids.tolist(), null.tolist(), rec["digest"].tolist(), texts[a:z])], dtype="<i8")
+                rec["rid"] = rid
                 h = np.concatenate(sets)
                 doc = np.repeat(np.arange(z - a), rec["n"])
-                bucket = ((h >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.uint16)
-                order = np.argsort(bucket, kind="stable")
-                keys, doc = h.astype(np.uint32)[order], doc[order]
-                cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-                home = rec["rid"] % n_buckets
+                del sets
+                bucket, key = bucket_and_key(h, n_buckets)
                 rows = []
-                for b in np.union1d(np.flatnonzero(np.diff(cuts)), home).tolist():
-                    d = doc[cuts[b] : cuts[b + 1]]
-                    at = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])) if len(d) else np.zeros(0, dtype=np.int64)
-                    cnt = np.diff(np.append(at, len(d))).astype("<u4")
-                    rows.append((b, rec["rid"][d[at]].tobytes(), cnt.tobytes(), keys[cuts[b] : cuts[b + 1]].tobytes(), rec[home == b].tobytes()))
-                del sets, h, doc, order, keys, bucket
+                if len(codes):
+                    code = codes_of(bucket, key)
+                    is_hot = codes[np.minimum(np.searchsorted(codes, code), len(codes) - 1)] == code
+                    part = rid[doc[is_hot]] % n_buckets
+                    order = np.argsort(part, kind="stable")
+                    part, code, of = part[order], code[is_hot][order], doc[is_hot][order]
+                    for p, s in by_number(part):
+                        at, cnt = runs(of[s])
+                        rows.append((n_buckets + p, rid[of[s][at]].tobytes(), cnt.astype("<u4").tobytes(), code[s].tobytes(), b""))
+                    bucket, key, doc = bucket[~is_hot], key[~is_hot], doc[~is_hot]
+                    del code, is_hot, part, of
+                order = np.argsort(bucket, kind="stable")
+                bucket, key, doc = bucket[order], key[order], doc[order]
+                rec = rec[np.argsort(rid % n_buckets, kind="stable")]
+                for b, s, home in by_number(bucket, rec["rid"] % n_buckets):
+                    at, cnt = runs(doc[s])
+                    rows.append((b, rid[doc[s][at]].tobytes(), cnt.astype("<u4").tobytes(), key[s].tobytes(), rec[home].tobytes()))
+                del h, doc, order, key, bucket
                 yield pd.DataFrame(rows, columns=["bucket", "rid", "cnt", "key", "rec"])
         trim()
 
@@ -152,36 +219,42 @@ def deal(n_buckets: int):
 
 
 ANSWERS = "part long, bucket long, rid binary, cnt binary, key binary, df binary, rec binary"
+ALL_BUCKETS = -1  # in ANSWERS: keys are whole codes
+
 
+def answer(n_parts: int, hot):
+    """One bucket -> per part of the documents: their shingles that occur at least twice, with document counts.
 
-def answer(n_parts: int):
-    """One bucket -> per part of the documents: their shingles that occur at least twice, with document counts."""
+    What is hot is in its part already and only gets its counts.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         frugal()
+        forget()
         join = lambda c, t: np.frombuffer(b"".join(pdf[c]), dtype=t)
-        key, rec = join("key", "<u4"), np.frombuffer(b"".join(pdf["rec"]), dtype=RECORD)
+        bucket = int(pdf["bucket"].iloc[0])
+        if bucket >= n_parts:
+            codes, counts = hot.value
+            df = counts[np.searchsorted(codes, join("key", "<i8"))]
+            rows = [(bucket - n_parts, ALL_BUCKETS, *[b"".join(pdf[c]) for c in ("rid", "cnt", "key")], df.tobytes(), b"")]
+            return pd.DataFrame(rows, columns=["part", "bucket", "rid", "cnt", "key", "df", "rec"])
+        key, rec = join("key", "<u4"), join("rec", RECORD)
         rids, cnt = join("rid", "<i8"), join("cnt", "<u4")
         at_run = np.repeat(np.arange(len(cnt), dtype=np.uint32), cnt)
         order = np.argsort(key, kind="stable").astype(np.uint32)
         key = key[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
-        size = np.diff(np.append(first, len(key)))
+        _, size = runs(key)
         df = np.repeat(np.minimum(size, 0xFFFF).astype("<u2"), size)
         twice = df > 1
         key, rid, df = key[twice], rids[at_run[order[twice]]], df[twice]
-        del order, twice, first, size, at_run, rids, cnt
+        del order, twice, size, at_run, rids, cnt
         order = np.lexsort((rid, rid % n_parts))
         key, rid, df = key[order], rid[order], df[order]
-        cuts = np.searchsorted(rid % n_parts, np.arange(n_parts + 1))
-        home = rec["rid"] % n_parts
+        rec = rec[np.argsort(rec["rid"] % n_parts, kind="stable")]
         rows = []
-        for p in np.union1d(np.flatnonzero(np.diff(cuts)), home).tolist():
-            r = rid[cuts[p] : cuts[p + 1]]
-            at = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else np.zeros(0, dtype=np.int64)
-            cnt = np.diff(np.append(at, len(r))).astype("<u4")
-            rows.append((p, int(pdf["bucket"].iloc[0]), r[at].tobytes(), cnt.tobytes(), key[cuts[p] : cuts[p + 1]].tobytes(),
-                         df[cuts[p] : cuts[p + 1]].tobytes(), rec[home == p].tobytes()))
+        for p, s, home in by_number(rid % n_parts, rec["rid"] % n_parts):
+            at, cnt = runs(rid[s])
+            rows.append((p, bucket, rid[s][at].tobytes(), cnt.astype("<u4").tobytes(), key[s].tobytes(), df[s].tobytes(), rec[home].tobytes()))
         del order, key, rid, df
         trim()
         return pd.DataFrame(rows, columns=["part", "bucket", "rid", "cnt", "key", "df", "rec"])
@@ -195,10 +268,11 @@ DOCUMENTS = "rid long, doc_id long, is_null boolean, n long, digest string, mark
 def gather(pdf: pd.DataFrame) -> pd.DataFrame:
     """One part -> a row per document; ``shingles`` (rarest first) only where a prefix can match."""
     frugal()
+    forget()
     join = lambda c, t: np.frombuffer(b"".join(pdf[c]), dtype=t)
-    rec = np.frombuffer(b"".join(pdf["rec"]), dtype=RECORD)
-    sizes = [len(x) // 4 for x in pdf["key"]]
-    key = (np.repeat(pdf["bucket"].to_numpy(dtype=np.int64), sizes) << 32) | join("key", "<u4").astype(np.int64)
+    rec = join("rec", RECORD)
+    key = np.concatenate([np.frombuffer(k, "<i8") if b == ALL_BUCKETS else codes_of(b, np.frombuffer(k, "<u4"))
+                          for b, k in zip(pdf["bucket"].tolist(), pdf["key"])])
     rid, df = np.repeat(join("rid", "<i8"), join("cnt", "<u4")), join("df", "<u2")
     order = np.lexsort((key, df, rid))
     key, rid = key[order], rid[order]
@@ -222,9 +296,11 @@ def documents_with_shingles(docs: DataFrame, key: str, text: str) -> DataFrame:
     """The stored table of ``gather``'s rows."""
     rows = docs.select(F.col(f"`{key}`").cast("long").cast("string").alias("doc_id"), whole_text(f"`{text}`").alias("text"))
     rows = rows.withColumn("mark", F.xxhash64("text"))
-    n = min(MAX_BUCKETS, max(12, -(-docs.count() // ROWS_PER_BUCKET)))
-    packed = rows.mapInPandas(deal(n), PACKED)
-    answers = packed.groupBy("bucket").applyInPandas(answer(n), ANSWERS)
+    n_rows = docs.count()
+    n = max(12, -(-n_rows // ROWS_PER_BUCKET))
+    hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(rows, n_rows, n))
+    packed = rows.mapInPandas(deal(n, hot), PACKED)
+    answers = packed.groupBy("bucket").applyInPandas(answer(n, hot), ANSWERS)
     return stored(answers.groupBy("part").applyInPandas(gather, DOCUMENTS))
 
 
