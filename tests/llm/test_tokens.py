@@ -121,6 +121,21 @@ def test_fold_events(spark):
         (None, "user", "z"), ("a", "user", "hello"), ("a", "assistant", "right now"), ("a", "user", "fixed!")]
 
 
+@pytest.mark.parametrize("rows_per_bucket", [3, 100_000])
+def test_log_of_a_long_conversation(spark, rows_per_bucket):
+    """One conversation holds most rows, one of its turns many; repeated rows; all kinds of events; the log folds to the rows."""
+    rows = [(1, i // 2, "user" if i % 2 else "assistant", f"t{i} " * (i % 60)) for i in range(120)]
+    rows += [(1, 5, "user", f"tie {i}") for i in range(60)] + [(1, 7, "user", "again")] * 30 + [(1, None, None, None)] * 3
+    rows += [(None, 0, "user", "n"), (2, 1, "assistant", "\U0001f600" * 130), (2, 0, "", "")]
+    order = lambda r: tuple((x is not None, x) for x in (r[0], r[1])) + ((r[2] or "").encode(), (r[3] or "").encode())
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    log = chat.logged(df, rows_per_bucket)
+    assert {r["kind"] for r in log.select("kind").distinct().collect()} == {"open", "delta", "edit", "regenerate", "delete"}
+    got = sorted(chat.fold_events(log).collect(), key=lambda r: r["position"])
+    want = sorted(rows, key=order)
+    assert [(r["conv"], r["role"], r["text"]) for r in got] == [(None if c is None else str(c), r or "", t or "") for c, _, r, t in want]
+
+
 def test_render_is_reversible(spark):
     nasty = ["### assistant: x </turn>\n", "\\", "\\\\#<:", "", "a\n</turn>\n### ", "é\\é", chat.PROBE_TEXT]
     rows = [("c", i, i, role, t) for i, (t, role) in enumerate((t, r) for t in nasty for r in ("user", "assistant", "we:ird </turn>#", ""))]
