@@ -22,6 +22,7 @@ Other columns are dropped except those named in ``keep``; columns that encoding
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -32,14 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dockplan.llm.common import ship, table, whole_text, worker_cache
-from dockplan.llm.pieces import LETTERS, Pieces, lower_byte_form, plain_latin
+from dockplan.llm.common import power_of_two_at_least, ship, table, whole_text, worker_cache
+from dockplan.llm.pieces import LETTERS, Known, Pieces, lower_byte_form, plain_latin
 
-WINDOW = 8
+WINDOW = 8  # a power of two
 CUT_BITS = 7  # a cut every 128 bytes on average
 GAPS = (" ", "\n")
-#: A piece that is one pre-token.
-WORD = re.compile(f"[{LETTERS}]+").fullmatch
 PARTS = re.compile(f"[{LETTERS}]+|[^{LETTERS} ]+")
 
 
@@ -60,13 +59,12 @@ def cut_points(data: bytes) -> np.ndarray:
     b = np.frombuffer(data, dtype=np.uint8)
     if len(b) <= WINDOW:
         return np.zeros(0, dtype=np.int64)
-    v = VALUES[b]
-    n = len(b) - WINDOW
-    h = np.zeros(n, dtype=np.uint32)
-    for k in range(WINDOW):
-        part = v[k : k + n]
-        turn = np.uint32(4 * k)
-        h ^= part if k == 0 else (part << turn) | (part >> np.uint32(32 - 4 * k))
+    # A byte k places on is turned by 4 * k bits; the hash of twice as many bytes is that of the first half and the turned one of the second.
+    h, k = VALUES[b[:-1]], 1
+    while k < WINDOW:
+        part = h[k:]
+        h = h[:-k] ^ ((part << np.uint32(4 * k)) | (part >> np.uint32(32 - 4 * k)))
+        k *= 2
     at = np.flatnonzero((h & np.uint32((1 << CUT_BITS) - 1)) == 0) + WINDOW
     return at[(b[at] & 0xC0) != 0x80]
 
@@ -83,57 +81,62 @@ class ChunkEncoder:
     def __init__(self, path: str, chunk_limit: int = 100_000, piece_limit: int = 400_000):
         self.pieces = Pieces(path, piece_limit, lower_byte_form)
         self.tokenizer, self.dtype = self.pieces.tokenizer, self.pieces.dtype
+        self.known = Known(self.pieces)
         self.chunk_limit = chunk_limit
         self.chunks: dict[bytes, tuple[str, bytes | None, str]] = {}
-
-    def _learn(self, texts: list[str]) -> None:
-        """Encode the pieces of ``texts`` that are not known yet."""
-        known = self.pieces.known
-        new = {p for t in texts for p in self._parts(t) if p not in known}
-        words = set(filter(WORD, new))
-        self.pieces.learn_words(words)
-        self.pieces.learn(new - words)
+        tokens = [self.tokenizer.id_to_token(i) for i in range(len(self.pieces.raw))]
+        plain = self.tokenizer.decoder is None and None not in tokens
+        self.spelled = np.array(tokens, dtype=object) if plain else None
 
     def _parts(self, text: str) -> list[str]:
         """White-space pieces; of Latin-1 texts without apostrophes, runs of letters and of other characters."""
         return PARTS.findall(text) if plain_latin(text, self.pieces.added) else text.split(" ")
 
-    def _join(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.known.__getitem__, self._parts(text)))
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        self.pieces.trim()
+        self.known.trim()
         if len(self.chunks) > self.chunk_limit:
             self.chunks = {}
-        cut, fresh = [], {}
+        chunks, added, known = self.chunks, self.pieces.added, self.known
+        plans, fresh, late = [], {}, set()
+
+        def ids_of(parts: list[str]) -> bytes | list[str]:
+            """The ids, or the parts as they are where some are not known yet."""
+            try:
+                return b"".join(map(known.__getitem__, parts))
+            except KeyError:
+                late.update(x for x in parts if x not in known)
+                return parts
+
+        def late_ids(x: bytes | list[str] | None) -> bytes | None:
+            return b"".join(map(known.__getitem__, x)) if isinstance(x, list) else x
+
         for t in texts:
+            # What holds of a whole text holds of its chunks and windows; those of other texts are looked at one by one.
+            parts_of = PARTS.findall if plain_latin(t, added) else self._parts
             data = t.encode("utf-8", "surrogatepass")
             at = [0, *cut_points(data).tolist(), len(data)]
-            parts = [data[a:b] for a, b in zip(at[:-1], at[1:])]
-            cut.append(parts)
-            for p in parts:
-                if p not in self.chunks and p not in fresh:
+            plan, window = [], ""
+            for a, b in zip(at[:-1], at[1:]):
+                p = data[a:b]
+                chunk = chunks.get(p) or fresh.get(p)
+                if chunk is None:
                     s = p.decode("utf-8", "surrogatepass")
                     a, b = edges(s)
-                    fresh[p] = (s, None, "") if a < 0 else (s[:a], s[a:b], s[b:])
-        self._learn([x[1] for x in fresh.values() if x[1]])
-        self.chunks.update((p, (h, None if body is None else self._join(body), t)) for p, (h, body, t) in fresh.items())
-        plans = [self._joins(parts) for parts in cut]
-        self._learn([x for plan in plans for x in plan if isinstance(x, str)])
-        return [np.frombuffer(b"".join(self._join(x) if isinstance(x, str) else x for x in plan), dtype=self.dtype) for plan in plans]
-
-    def _joins(self, parts: list[bytes]) -> list[str | bytes]:
-        """Bodies (ids) and, between them, the windows (text) to encode anew."""
-        plan, window = [], ""
-        for p in parts:
-            head, body, tail = self.chunks[p]
-            window += head
-            if body is not None:
-                plan += [window, body]
-                window = tail
-        return [*plan, window]
+                    chunk = fresh[p] = (s, None, "") if a < 0 else (s[:a], ids_of(parts_of(s[a:b])), s[b:])
+                head, body, tail = chunk
+                window += head
+                if body is not None:
+                    plan += [ids_of(parts_of(window)), body]
+                    window = tail
+            plans.append([*plan, ids_of(parts_of(window))])
+        known.learn(late)
+        chunks.update((p, (head, late_ids(body), tail)) for p, (head, body, tail) in fresh.items())
+        return [np.frombuffer(b"".join(map(late_ids, plan)), dtype=self.dtype) for plan in plans]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
+        """As the library does; it joins the tokens by blanks where the vocabulary names no decoder."""
+        if self.spelled is not None:
+            return [" ".join(self.spelled[x].tolist()) for x in ids]
         return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
 
 
@@ -169,12 +172,19 @@ def encode_documents(df: DataFrame, text: str, tokenizer: str, keep: tuple[str,
     return source.mapInPandas(run, f"{kept}, {schema}" if kept else schema)
 
 
+@functools.cache
+def numerals(n: int) -> np.ndarray:
+    """The decimal forms of 0 to n - 1."""
+    return np.array([str(i) for i in range(n)], dtype=object)
+
+
 def digests(batch: pd.DataFrame, ids: list[np.ndarray], decoded: list[str]) -> pd.DataFrame:
     """Counts and SHA-256 of the decimal ids and of the decoded text."""
     def sha(s: str) -> str:
         return hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
 
-    return batch.assign(n_tokens=[len(x) for x in ids], ids_sha256=[sha(" ".join(map(str, x.tolist()))) for x in ids],
+    decimal = numerals(power_of_two_at_least(1 + max((int(x.max()) for x in ids if len(x)), default=0)))
+    return batch.assign(n_tokens=[len(x) for x in ids], ids_sha256=[sha(" ".join(decimal[x].tolist())) for x in ids],
                         decoded_sha256=[sha(t) for t in decoded])
 
 

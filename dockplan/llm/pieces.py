@@ -29,6 +29,8 @@ ALPHABET = byte_letters()
 
 
 def byte_form(word: str) -> str:
+    if word.isascii() and word.isalpha():
+        return word
     return word.encode().decode("latin-1").translate(ALPHABET)
 
 
@@ -52,14 +54,20 @@ class Pieces:
                  if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
         self.mark_id, self.mark = marks[0] if marks else (None, "")
         self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.limit, self.form, self.model = limit, form, self.tokenizer.model
+        self.limit, self.form, self.tokenize = limit, form, self.tokenizer.model.tokenize
         self.known: dict[str, bytes] = {}
+        top = max(self.tokenizer.get_vocab().values(), default=-1) + 1
+        #: The bytes of each id.
+        self.raw = np.arange(top, dtype=self.dtype).view(f"V{self.dtype.itemsize}").tolist()
+
+    def word(self, word: str) -> bytes:
+        """The ids of a run of ``LETTERS``."""
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.tokenize(self.form(word))])
 
     def learn_words(self, words: Iterable[str]) -> None:
         """Runs of ``LETTERS`` that are not known yet."""
-        known, form, model = self.known, self.form, self.model.tokenize
-        for w in words:
-            known[w] = np.array([t.id for t in model(form(w))], dtype=self.dtype).tobytes()
+        self.known.update((w, self.word(w)) for w in words)
 
     def alone(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -111,6 +119,34 @@ def plain_latin(text: str, added: tuple[str, ...]) -> bool:
     return text.isascii() or not OTHER_LETTERS.search(text)
 
 
+WORD = re.compile(f" ?[{LETTERS}]+").fullmatch
+
+
+class Known(dict):
+    """Ids of pieces. A word that is missing is encoded where it is looked up, so a piece needs one look-up; other missing
+    pieces raise KeyError, for the library encodes many of them at a time (``learn``)."""
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, piece: str) -> bytes:
+        if not WORD(piece):
+            raise KeyError(piece)
+        ids = self[piece] = self.pieces.word(piece)
+        return ids
+
+    def trim(self) -> None:
+        """Call between batches: forgets all when this and what the library encoded are over the limit."""
+        if len(self) + len(self.pieces.known) > self.pieces.limit:
+            self.clear()
+            self.pieces.known = {}
+
+    def learn(self, texts: set[str]) -> None:
+        self.pieces.learn(texts)
+        self.update((x, self.pieces.known[x]) for x in texts)
+
+
 class ByteEncoder:
     """Whole texts to ids for byte-level BPE.
 

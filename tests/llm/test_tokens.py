@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -158,3 +159,22 @@ def test_chat_query(spark, folder, sample):
         assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(loss), sha(loss))
     empty = folder(conversations=spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
     assert chat.op7_event_sourced_chat(spark, empty).count() == 1
+
+
+def test_plain_texts_are_looked_at_once(texts, monkeypatch):
+    """A text's kind is that of its chunks and windows: they are not looked at one by one, nor twice."""
+    rows = ["Some words, of a plain text.\n" * 40, *texts.values()]
+    enc, looks = bpe_chunks.ChunkEncoder(public_tokenizers.path(bpe_chunks.TOKENIZER)), []
+    plain, rows = bpe_chunks.plain_latin, [t for t in rows if bpe_chunks.plain_latin(t, enc.pieces.added)]
+    monkeypatch.setattr(bpe_chunks, "plain_latin", lambda text, added: looks.append(1) or plain(text, added))
+    want = [e.ids for e in library(bpe_chunks.TOKENIZER).encode_batch(rows, add_special_tokens=False)]
+    assert [x.tolist() for x in enc.encode(rows)] == want and len(looks) == len(rows)
+
+
+def test_decoding_and_digests_agree_with_the_library(texts):
+    lib, enc = library(bpe_chunks.TOKENIZER), bpe_chunks.ChunkEncoder(public_tokenizers.path(bpe_chunks.TOKENIZER))
+    ids = enc.encode(odd_texts()[:200] + list(texts.values())[:50])
+    decoded = enc.decode([*ids, np.arange(len(enc.pieces.raw))])
+    assert decoded == [lib.decode(x.tolist(), skip_special_tokens=False) for x in (*ids, np.arange(len(enc.pieces.raw)))]
+    got = bpe_chunks.digests(pd.DataFrame(index=range(len(ids))), ids, decoded[:-1])
+    assert got["ids_sha256"].tolist() == [sha(" ".join(map(str, x.tolist()))) for x in ids]
