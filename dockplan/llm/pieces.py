@@ -65,19 +65,10 @@ class Pieces:
         raw = self.raw
         return b"".join([raw[t.id] for t in self.tokenize(self.form(word))])
 
-    def learn_words(self, words: Iterable[str]) -> None:
-        """Runs of ``LETTERS`` that are not known yet."""
-        self.known.update((w, self.word(w)) for w in words)
-
     def alone(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in got]
 
-    def trim(self) -> None:
-        """Call between batches: forgets all when over the limit."""
-        if len(self.known) > self.limit:
-            self.known = {}
-
     def learn(self, texts: Iterable[str]) -> None:
         new = list({t for t in texts if t not in self.known})
         if self.mark_id is None:
@@ -159,26 +150,31 @@ class ByteEncoder:
         self.pieces = Pieces(tokenizer_path, limit)
         self.dtype = self.pieces.dtype
         self.width = self.dtype.itemsize
-        self.split: set[str] = set()
+        self.fine = Known(self.pieces)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        p = self.pieces
-        if len(p.known) > p.limit:
-            self.split = set()
-        p.trim()
-        known = p.known
-        cut = [FINE.findall(t) if t and plain_latin(t, p.added) else None for t in texts]
-        new = {x for c in cut if c for x in c if x not in known}
-        words = {x for x in new if x[-1].isalpha()}
-        p.learn_words(words)
-        p.learn(new - words)
-        self.split.update(x for x in new - words if SPLIT.search(x))
-        if self.split:
-            cut = [None if c and not self.split.isdisjoint(c) else c for c in cut]
-        rest = [i for i, c in enumerate(cut) if c is None]
-        done = dict(zip(rest, self.coarse([texts[i] for i in rest]))) if rest else {}
-        get = known.__getitem__
-        return [done[i] if c is None else b"".join(map(get, c)) for i, c in enumerate(cut)]
+        self.fine.trim()
+        p, get = self.pieces, self.fine.__getitem__
+        done, late, rest = {}, {}, []
+        for i, t in enumerate(texts):
+            if not t or not plain_latin(t, p.added):
+                rest.append(i)
+                continue
+            cut = FINE.findall(t)
+            try:
+                done[i] = b"".join(map(get, cut))
+            except KeyError:
+                late[i] = cut
+        new = {x for cut in late.values() for x in cut if x not in self.fine and not WORD(x)}
+        split = set(filter(SPLIT.search, new))
+        self.fine.learn(new - split)
+        for i, cut in late.items():
+            if split.isdisjoint(cut):
+                done[i] = b"".join(map(get, cut))
+            else:
+                rest.append(i)
+        done.update(zip(rest, self.coarse([texts[i] for i in rest])))
+        return [done[i] for i in range(len(texts))]
 
     def coarse(self, texts: list[str]) -> list[bytes]:
         whole = [i for i, t in enumerate(texts) if UNSAFE.search(t)]

@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from dockplan.llm import bpe_chunks, chat, token_store
-from dockplan.llm.pieces import ByteEncoder
+from dockplan.llm.pieces import FINE, ByteEncoder
 
 
 def sha(s):
@@ -178,3 +178,27 @@ def test_decoding_and_digests_agree_with_the_library(texts):
     assert decoded == [lib.decode(x.tolist(), skip_special_tokens=False) for x in (*ids, np.arange(len(enc.pieces.raw)))]
     got = bpe_chunks.digests(pd.DataFrame(index=range(len(ids))), ids, decoded[:-1])
     assert got["ids_sha256"].tolist() == [sha(" ".join(map(str, x.tolist()))) for x in ids]
+
+
+def test_pieces_of_other_texts_change_nothing(texts):
+    """White space that ends the first piece of one text stands before a word in the next; and a full cache."""
+    lib, rows = library(token_store.TOKENIZER), [".\n\n it's", "a.\n\nb", "12 3\n\n4 c", *odd_texts()[::7], *list(texts.values())[:40]]
+    want = [e.ids for e in lib.encode_batch(rows, add_special_tokens=False)]
+    for limit in (5, 900_000):
+        enc = ByteEncoder(public_tokenizers.path(token_store.TOKENIZER), limit)
+        assert [np.frombuffer(x, enc.dtype).tolist() for t in rows for x in enc.encode([t])] == want
+
+
+def test_plain_texts_look_a_piece_up_once():
+    """What a plain text's words cost once they are known: one look-up a piece, nothing else."""
+    enc, asked = ByteEncoder(public_tokenizers.path(token_store.TOKENIZER)), []
+    text = "some words, of a plain text. " * 50
+    want = enc.encode([text])
+
+    class Counted(type(enc.fine)):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+    enc.fine.__class__ = Counted
+    assert enc.encode([text]) == want and len(asked) == len(FINE.findall(text))
